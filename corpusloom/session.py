@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are tuned for.
 
     Lookup joins carry no hint: Catalyst broadcasts a side only while its size
     estimate is below ``autoBroadcastJoinThreshold`` and sort-merges above it.
+    ``conf`` adds or overrides settings by their full name.
     """
     b = (
         SparkSession.builder.appName("corpusloom")
@@ -29,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.master(master)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in conf.items():
+        b = b.config(name, value)
     return b.getOrCreate()
 
 

@@ -14,7 +14,7 @@ from corpusloom.session import build_session  # noqa: E402
 
 if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:]
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, **{"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     for name, q in all_queries().items():
