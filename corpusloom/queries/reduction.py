@@ -1 +1,186 @@
-QUERIES = {}
+"""Neighbour graph, edge weight and layout queries over the vector table.
+
+Vectors are scaled by ``1 + vec_id % 7``: the given ones are unit length, which
+would hide a mix-up of the two metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpusloom.operators import affinities as A
+from corpusloom.operators import neighbors as N
+from corpusloom.queries import Query, table
+
+K = 15
+PERPLEXITY = 5
+
+
+def vectors(spark: SparkSession, d: str, split: str = "'all'") -> DataFrame:
+    return table(spark, d, "embeddings").selectExpr(
+        f"{split} AS split",
+        "vec_id AS row_id",
+        "transform(embedding, x -> cast(x AS double) * (1 + vec_id % 7)) AS embeddings",
+    )
+
+
+def one_graph(spark: SparkSession, d: str, metric: str) -> DataFrame:
+    return N.knn_exact(vectors(spark, d), K, metric, ("split",))
+
+
+def rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.drop("split").withColumns({c: F.round(c, 6) for c in columns})
+
+
+def knn_cosine(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(one_graph(spark, d, "cosine"), "distance")
+
+
+def knn_euclidean(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(one_graph(spark, d, "euclidean"), "distance")
+
+
+def knn_per_split(spark: SparkSession, d: str) -> DataFrame:
+    by_label = vectors(spark, d, "cast(label AS string)")
+    return N.knn_exact(by_label, K, "cosine", ("split",)).withColumn("distance", F.round("distance", 6))
+
+
+def tsne_affinities(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(A.tsne_affinities(one_graph(spark, d, "euclidean"), PERPLEXITY, ("split",)), "p")
+
+
+def tsne_symmetric(spark: SparkSession, d: str) -> DataFrame:
+    p = A.tsne_affinities(one_graph(spark, d, "euclidean"), PERPLEXITY, ("split",))
+    counts = vectors(spark, d).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+    joint = A.tsne_symmetrise(p, counts, ("split",))
+    return joint.select("row_id", "neighbor", F.round("p", 9).alias("p"))
+
+
+def umap_scales(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(A.umap_scales(one_graph(spark, d, "cosine"), ("split",)), "rho", "sigma")
+
+
+def umap_memberships(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(A.umap_memberships(one_graph(spark, d, "cosine"), ("split",)), "w")
+
+
+def fuzzy_union(spark: SparkSession, d: str) -> DataFrame:
+    w = A.umap_memberships(one_graph(spark, d, "cosine"), ("split",))
+    return rounded(A.fuzzy_union(w, ("split",)), "w")
+
+
+VEC_SQL = """
+vec AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + vec_id % 7)) AS v FROM embeddings
+)"""
+
+
+def knn_sql(metric: str, per_split: bool = False) -> str:
+    dist = "list_cosine_distance(a.v, b.v)" if metric == "cosine" else "list_distance(a.v, b.v)"
+    same = "AND a.label = b.label" if per_split else ""
+    return f"""{VEC_SQL},
+knn AS (
+  SELECT a.vec_id AS row_id, a.label, b.vec_id AS neighbor, {dist} AS distance,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY {dist}, b.vec_id) AS rank
+  FROM vec a JOIN vec b ON a.vec_id <> b.vec_id {same}
+  QUALIFY rank <= {K}
+),
+near AS (
+  SELECT row_id, list(neighbor ORDER BY rank) AS js, list(distance ORDER BY rank) AS ds FROM knn GROUP BY row_id
+)"""
+
+
+AFFINITY_SQL = f"""{knn_sql("euclidean")},
+gaps AS (SELECT row_id, js, list_transform(ds, lambda x: x * x - ds[1] * ds[1]) AS g FROM near),
+base AS (SELECT *, CASE WHEN list_avg(g) > 0 THEN list_avg(g) ELSE 1 END AS m FROM gaps),
+search AS (
+  SELECT row_id, 0 AS step, -50.0::DOUBLE AS lo, 50.0::DOUBLE AS hi FROM base
+  UNION ALL
+  SELECT row_id, step + 1, CASE WHEN high THEN mid ELSE lo END, CASE WHEN high THEN hi ELSE mid END
+  FROM (
+    SELECT row_id, step, lo, hi, mid, ln(s) + beta * gs / s > ln({PERPLEXITY}) AS high
+    FROM (
+      SELECT b.row_id, step, lo, hi, (lo + hi) / 2 AS mid, pow(2, (lo + hi) / 2) / m AS beta,
+             list_sum(list_transform(g, lambda x: exp(-pow(2, (lo + hi) / 2) / m * x))) AS s,
+             list_sum(list_transform(g, lambda x: x * exp(-pow(2, (lo + hi) / 2) / m * x))) AS gs
+      FROM search r JOIN base b ON r.row_id = b.row_id WHERE step < {A.STEPS}
+    )
+  )
+),
+weighted AS (
+  SELECT b.row_id, js, list_transform(g, lambda x: exp(-pow(2, (lo + hi) / 2) / m * x)) AS w
+  FROM search r JOIN base b ON r.row_id = b.row_id WHERE step = {A.STEPS}
+),
+affinity AS (
+  SELECT row_id, unnest(js) AS neighbor, unnest(list_transform(w, lambda x: x / list_sum(w))) AS p FROM weighted
+)"""
+
+SCALE_SQL = f"""{knn_sql("cosine")},
+nearest AS (SELECT row_id, js, ds, coalesce(list_min(list_filter(ds, lambda x: x > 0)), 0) AS rho FROM near),
+gaps AS (SELECT row_id, js, ds, rho, list_transform(ds, lambda x: greatest(x - rho, 0)) AS g FROM nearest),
+base AS (SELECT *, CASE WHEN list_avg(g) > 0 THEN list_avg(g) ELSE 1 END AS m FROM gaps),
+search AS (
+  SELECT row_id, 0 AS step, -50.0::DOUBLE AS lo, 50.0::DOUBLE AS hi FROM base
+  UNION ALL
+  SELECT row_id, step + 1, CASE WHEN low THEN mid ELSE lo END, CASE WHEN low THEN hi ELSE mid END
+  FROM (
+    SELECT b.row_id, step, lo, hi, (lo + hi) / 2 AS mid,
+           list_sum(list_transform(g, lambda x: exp(-x / (m * pow(2, (lo + hi) / 2))))) <= log2(len(g)) AS low
+    FROM search r JOIN base b ON r.row_id = b.row_id WHERE step < {A.STEPS}
+  )
+),
+scales AS (
+  SELECT b.row_id, js, ds, rho, greatest(m * pow(2, (lo + hi) / 2), {A.MIN_SCALE} * list_avg(ds)) AS sigma
+  FROM search r JOIN base b ON r.row_id = b.row_id WHERE step = {A.STEPS}
+),
+membership AS (
+  SELECT row_id, unnest(js) AS neighbor,
+         unnest(list_transform(ds, lambda x: CASE WHEN x <= rho THEN 1.0::DOUBLE ELSE exp(-(x - rho) / sigma) END)) AS w
+  FROM scales
+)"""
+
+
+QUERIES = {
+    "knn_cosine": Query(
+        knn_cosine,
+        f"""WITH {knn_sql("cosine")} SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",
+    ),
+    "knn_euclidean": Query(
+        knn_euclidean,
+        f"""WITH {knn_sql("euclidean")} SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",
+    ),
+    "knn_per_split": Query(
+        knn_per_split,
+        f"""WITH {knn_sql("cosine", per_split=True)}
+SELECT CAST(label AS VARCHAR) AS split, row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank
+FROM knn""",
+    ),
+    "tsne_affinities": Query(
+        tsne_affinities,
+        f"WITH RECURSIVE {AFFINITY_SQL} SELECT row_id, neighbor, round(p, 6) AS p FROM affinity",
+    ),
+    "tsne_symmetric": Query(
+        tsne_symmetric,
+        f"""WITH RECURSIVE {AFFINITY_SQL},
+both_ways AS (
+  SELECT row_id, neighbor, p FROM affinity UNION ALL SELECT neighbor, row_id, p FROM affinity
+)
+SELECT row_id, neighbor, round(sum(p) / (2 * (SELECT count(*) FROM embeddings)), 9) AS p
+FROM both_ways GROUP BY row_id, neighbor""",
+    ),
+    "umap_scales": Query(
+        umap_scales,
+        f"WITH RECURSIVE {SCALE_SQL} SELECT row_id, round(rho, 6) AS rho, round(sigma, 6) AS sigma FROM scales",
+    ),
+    "umap_memberships": Query(
+        umap_memberships,
+        f"WITH RECURSIVE {SCALE_SQL} SELECT row_id, neighbor, round(w, 6) AS w FROM membership",
+    ),
+    "fuzzy_union": Query(
+        fuzzy_union,
+        f"""WITH RECURSIVE {SCALE_SQL}
+SELECT coalesce(a.row_id, b.neighbor) AS row_id, coalesce(a.neighbor, b.row_id) AS neighbor,
+       round(coalesce(a.w, 0) + coalesce(b.w, 0) - coalesce(a.w, 0) * coalesce(b.w, 0), 6) AS w
+FROM membership a FULL OUTER JOIN membership b ON a.row_id = b.neighbor AND a.neighbor = b.row_id""",
+    ),
+}

@@ -15,7 +15,7 @@ from corpusloom.session import build_session  # noqa: E402
 if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = build_session("local[8]", 8, **{"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     for name, q in all_queries().items():
         if names and not any(name.startswith(n) for n in names):
@@ -27,5 +27,5 @@ if __name__ == "__main__":
             else:
                 verdict = f"{q.build(spark, sf_dir).count()} rows"
         except Exception as exc:  # noqa: BLE001
-            verdict = f"ERROR {type(exc).__name__}: {str(exc)[:600]}"
+            verdict = f"ERROR {type(exc).__name__}: {str(exc)[-700:]}"
         print(f"{name:24s} {time.time() - t:6.1f}s  {verdict}", flush=True)
