@@ -138,3 +138,23 @@ def knn_exact(
 
     partial = paired.groupBy(*split, "_lo", "_hi").applyInArrow(block_pair, schema)
     return closest(partial, k, split, row_id)
+
+
+def knn(
+    df: DataFrame,
+    k: int,
+    metric: str = "cosine",
+    method: str = "auto",
+    split: Sequence[str] = SPLIT,
+    row_id: str = "row_id",
+    vector: str = "embeddings",
+) -> DataFrame:
+    """The k nearest rows of every row inside its split, itself excluded.
+
+    Columns: split, row_id, neighbor, distance, rank; ties go to the smaller id.
+    """
+    if metric not in ("cosine", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    if method in ("auto", "exact"):
+        return knn_exact(df, k, metric, split, row_id, vector)
+    raise ValueError(f"unknown method {method!r}")

@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import affinities as A
 from corpusloom.operators import neighbors as N
+from corpusloom.operators import sampling as SM
+from corpusloom.operators.pca import pca_init as pca_start
+from corpusloom.operators.tsne import no_layout, tsne_layout
+from corpusloom.operators.umap import umap_layout
+from corpusloom.plans import reduce_run as RR
 from corpusloom.queries import Query, table
+from corpusloom.session import cut_lineage
+from corpusloom.sources.splits import label_splits
 
 K = 15
 PERPLEXITY = 5
@@ -69,6 +76,84 @@ def fuzzy_union(spark: SparkSession, d: str) -> DataFrame:
     return rounded(A.fuzzy_union(w, ("split",)), "w")
 
 
+# Layout queries run few rounds: they check the form; quality is tested with more.
+ROUNDS = 8
+SETTINGS = RR.ReduceSettings(iterations=ROUNDS, epochs=ROUNDS)
+
+
+def split_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """The vector table as ten splits of one dataset."""
+    return table(spark, d, "embeddings").selectExpr(
+        "'vectors' AS dataset_key", "cast(label AS string) AS sub_label", "vec_id", "embedding AS embeddings"
+    )
+
+
+def split_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of the vector splits; the registry knows sources only, so defaults apply."""
+    from corpusloom.queries.catalog import configured
+
+    splits = split_vectors(spark, d).select("dataset_key", "sub_label").distinct()
+    return label_splits(splits, configured(spark, d))
+
+
+def points(spark: SparkSession, d: str) -> DataFrame:
+    return RR.select_points(split_vectors(spark, d), "vec_id", SETTINGS)
+
+
+def pca_init(spark: SparkSession, d: str) -> DataFrame:
+    return pca_start(points(spark, d), 3)
+
+
+def tsne_query(dims: int):
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        chosen = points(spark, d)
+        params = SM.reduction_params(SM.count_splits(chosen))
+        near = N.knn(chosen, SM.MIN_TSNE_NEIGHBORS, "euclidean")
+        p = A.tsne_affinities(near, F.col("perplexity"), params=params.select(*SM.SPLIT, "perplexity"))
+        return tsne_layout(cut_lineage(A.tsne_symmetrise(p, params)), cut_lineage(pca_start(chosen, dims)), dims, ROUNDS)
+
+    return build
+
+
+def umap_query(dims: int):
+    def build(spark: SparkSession, d: str) -> DataFrame:
+        chosen = points(spark, d)
+        fuzzy = A.fuzzy_union(A.umap_memberships(N.knn(chosen, SM.NEIGHBORS, "cosine")))
+        return umap_layout(cut_lineage(fuzzy), cut_lineage(pca_start(chosen, dims)), dims, ROUNDS)
+
+    return build
+
+
+def reduce_full(spark: SparkSession, d: str) -> DataFrame:
+    return RR.reduce(split_vectors(spark, d), split_labels(spark, d), "vec_id", SETTINGS)
+
+
+def reduced_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The reduced table with every layout switched off: labels, numbers, NaN coordinates."""
+    chosen = points(spark, d)
+    bare = chosen.select(*SM.SPLIT, "row_id")
+    off = {name: no_layout(bare, 3 if name.endswith("3d") else 2) for name in ("tsne_2d", "umap_2d", "tsne_3d", "umap_3d")}
+    table_ = RR.assemble(chosen, split_labels(spark, d), off, extra=["vec_id"])
+    all_nan = " AND ".join(f"isnan({c})" for c in RR.COORDINATE_COLUMNS)
+    return table_.selectExpr(*RR.LABEL_COLUMNS, "row_id", "vec_id", f"{all_nan} AS no_coordinates")
+
+
+def reduction_record(spark: SparkSession, d: str) -> DataFrame:
+    """Records of a reduction capped at 20 points per split."""
+    capped = RR.ReduceSettings(cap=20)
+    available = SM.count_splits(split_vectors(spark, d))
+    record = RR.reduction_record(RR.select_points(split_vectors(spark, d), "vec_id", capped), available)
+    return record.withColumn("columns_2d_3d", F.array_join("columns_2d_3d", ","))
+
+
+def pending_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Splits of the document table; those of English and German count as done."""
+    splits = table(spark, d, "documents").groupBy(
+        F.col("source").alias("dataset_key"), F.col("lang").alias("sub_label")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+    return RR.pending_splits(splits, splits.filter(F.col("sub_label").isin("en", "de")))
+
+
 VEC_SQL = """
 vec AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + vec_id % 7)) AS v FROM embeddings
@@ -183,4 +268,28 @@ SELECT coalesce(a.row_id, b.neighbor) AS row_id, coalesce(a.neighbor, b.row_id)
        round(coalesce(a.w, 0) + coalesce(b.w, 0) - coalesce(a.w, 0) * coalesce(b.w, 0), 6) AS w
 FROM membership a FULL OUTER JOIN membership b ON a.row_id = b.neighbor AND a.neighbor = b.row_id""",
     ),
+    "pca_init": Query(pca_init),
+    "tsne_2d": Query(tsne_query(2)),
+    "tsne_3d": Query(tsne_query(3)),
+    "umap_2d": Query(umap_query(2)),
+    "umap_3d": Query(umap_query(3)),
+    "reduce_full": Query(reduce_full),
+    "reduced_labels": Query(
+        reduced_labels,
+        """SELECT 'vectors' AS dataset_key, 'vectors' AS dataset_name, CAST(label AS VARCHAR) AS sub_label,
+       'unknown' AS category, 'unknown' AS text_strategy_template, '[]' AS text_strategy_fields,
+       row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row_id, vec_id, true AS no_coordinates
+FROM embeddings QUALIFY count(*) OVER (PARTITION BY label) >= 5""",
+    ),
+    "reduction_record": Query(
+        reduction_record,
+        f"""SELECT 'vectors' AS dataset_key, CAST(label AS VARCHAR) AS sub_label, least(count(*), 20) AS num_rows,
+       count(*) AS total_available, 'spark' AS reduction_backend, '{",".join(RR.COORDINATE_COLUMNS)}' AS columns_2d_3d
+FROM embeddings GROUP BY label HAVING count(*) >= 5""",
+    ),
+    "pending_splits": Query(
+        pending_splits,
+        """SELECT source AS dataset_key, lang AS sub_label, count(*) AS rows FROM documents
+WHERE lang NOT IN ('en', 'de') GROUP BY ALL""",
+    ),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,10 +51,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder, so a lost executor costs one read."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _new_table_path(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` below the checkpoint folder and read it back.
+
+    A lost executor then costs one file read. Unlike ``checkpoint()`` the result
+    has the size of its files as its statistics, not the product of all sizes in
+    its history, so a loop can run for any number of rounds and Catalyst keeps
+    choosing its joins by true sizes.
+    """
+    spark = df.sparkSession
+    path = path or _new_table_path(spark)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class LoopState:
+    """The state of an iterative job: each round's table replaces the one before."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self._path: str | None = None
+
+    def save(self, df: DataFrame) -> DataFrame:
+        path = _new_table_path(self._spark)
+        saved = cut_lineage(df, path)
+        if self._path:
+            old = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
+            old.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(old, True)
+        self._path = path
+        return saved
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
