@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,6 +25,9 @@ RESULT_SCHEMA = "key string, ok boolean, error string"
 
 Embedder = Callable[[DataFrame], DataFrame]
 
+# Appends to one folder share its commit folder, so they take turns.
+_APPEND = threading.Lock()
+
 
 @dataclass(frozen=True)
 class EmbedSettings:
@@ -77,7 +81,9 @@ def embed_dataset(
     counted = vectors.observe(seen, F.count(F.lit(1)).alias("docs"))
     write_parquet(counted, row["embeddings_out"], rows_per_shard=settings.rows_per_shard, mode="overwrite")
     elapsed = time.perf_counter() - start
-    write_json(run_record(spark, settings, row, seen.get["docs"], elapsed), records, mode="append")
+    record = run_record(spark, settings, row, seen.get["docs"], elapsed)
+    with _APPEND:
+        write_json(record, records, mode="append")
 
 
 def run_all(
