@@ -77,10 +77,18 @@ def hash_embed(
     dim: int = EMBEDDING_DIM,
     max_tokens: int = MAX_SEQ_LENGTH,
     max_chars: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Key and vector of every row, by the default embedder."""
+    """Key and vector of every row, by the default embedder.
+
+    ``partitions`` spreads the rows first when the input has fewer shards than
+    the cluster has workers.
+    """
     toks = token_window(F.col(text), max_tokens, max_chars)
-    return embed_input(df, key, text).select(key, hashing_embedder(dim)(toks).alias("embeddings"))
+    source = embed_input(df, key, text)
+    if partitions:
+        source = source.repartition(partitions)
+    return source.select(key, hashing_embedder(dim)(toks).alias("embeddings"))
 
 
 def hashing_model(dim: int = EMBEDDING_DIM, max_tokens: int = MAX_SEQ_LENGTH) -> PredictFactory:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from corpusloom.operators.sampling import SPLIT, count_splits
-from corpusloom.session import broadcast_if_small
+from corpusloom.operators.sampling import SEED, SPLIT, count_splits
+from corpusloom.session import broadcast_if_small, cut_lineage
 
 # Rows of one block: two blocks of 4096-wide float32 vectors take 64 MB in a task.
 BLOCK_ROWS = 2048
@@ -20,6 +25,11 @@ BLOCK_ROWS = 2048
 # so that exact copies tie and the smaller id wins.
 TIE_DECIMALS = 10
 
+# Splits up to this size get the exact graph; larger ones are searched by cells.
+EXACT_ROWS = 50_000
+MAX_CELLS = 4096
+PROBES = 8
+
 
 def stack_vectors(column: pa.ChunkedArray) -> np.ndarray:
     """A list column of equal lengths as a float64 matrix."""
@@ -140,6 +150,134 @@ def knn_exact(
     return closest(partial, k, split, row_id)
 
 
+
+def with_probes(
+    df: DataFrame, centers: np.ndarray, probes: int, metric: str, vector: str = "embeddings"
+) -> DataFrame:
+    """Add ``_cells``: the ``probes`` nearest centres of every row, nearest first."""
+    shared = df.sparkSession.sparkContext.broadcast(centers)
+    take = min(probes, len(centers))
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def assign(column: pd.Series) -> pd.Series:
+        x = np.stack(column.to_numpy()).astype(np.float64)
+        d2 = squared_distances(unit_rows(x) if metric == "cosine" else x, shared.value)
+        near = np.argpartition(d2, take - 1, axis=1)[:, :take]
+        order = np.take_along_axis(d2, near, 1).argsort(1)
+        return pd.Series(list(np.take_along_axis(near, order, 1).astype(np.int32)))
+
+    return df.withColumn("_cells", assign(vector))
+
+
+def knn_ivf(
+    df: DataFrame,
+    k: int,
+    metric: str = "cosine",
+    split: Sequence[str] = SPLIT,
+    row_id: str = "row_id",
+    vector: str = "embeddings",
+    cells: int | None = None,
+    probes: int = PROBES,
+    block_rows: int = BLOCK_ROWS,
+    seed: int = SEED,
+) -> DataFrame:
+    """Approximate graph of one split: exact ranking inside the nearest k-means cells.
+
+    A row lives in its nearest cell and searches the ``probes`` nearest ones.
+    Cells are cut on both sides into blocks of about ``block_rows`` rows, so a
+    cell that holds a third of the split is many bounded tasks and loses
+    nothing. With as many probes as cells the graph is exact. The number of
+    cells is at most ``MAX_CELLS``, which bounds the shared centres.
+    """
+    split = list(split)
+    n = df.count()
+    cells = cells or max(1, min(MAX_CELLS, int(np.ceil(np.sqrt(n)))))
+    unit = array_to_vector(F.col(vector))
+    train = df.select(unit.alias("features"))
+    if metric == "cosine":
+        train = Normalizer(p=2.0, inputCol="features", outputCol="unit").transform(train).select(F.col("unit").alias("features"))
+    model = KMeans(k=cells, seed=seed, maxIter=5, initMode="random").fit(train)
+    placed = cut_lineage(with_probes(df.select(*split, row_id, vector), np.array(model.clusterCenters()), probes, metric))
+    searching = placed.withColumn("_cell", F.explode("_cells"))
+    living = placed.withColumn("_cell", F.col("_cells")[0])
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("_cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(name))
+
+    sizes = F.broadcast(blocks(searching, "_queries").join(blocks(living, "_bases"), "_cell"))  # at most MAX_CELLS rows
+
+    def spread(rows: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
+        return (
+            rows.join(sizes, "_cell")
+            .withColumn(own_block, F.pmod(F.xxhash64(row_id), F.col(own)).cast("int"))
+            .withColumn(other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+            .select(*split, row_id, vector, "_cell", "_q", "_b")
+        )
+
+    queries = spread(searching, "_queries", "_bases", "_q", "_b")
+    bases = spread(living, "_bases", "_queries", "_b", "_q")
+    bases = bases.select(*[F.col(c).alias(c) for c in bases.columns])  # own column identities for the cogroup
+    schema = edge_schema(df, split, row_id)
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table([pa.array([], f.type) for f in out_arrow], names=schema.names)
+        right = right.sort_by(row_id)
+        a, b = stack_vectors(left[vector]), stack_vectors(right[vector])
+        if metric == "cosine":
+            a, b = unit_rows(a), unit_rows(b)
+        ids, others = left[row_id].to_numpy(), right[row_id].to_numpy()
+        r, c, d2 = nearest(ids, a, others, b, k)
+        columns = [pa.array([left[s][0].as_py()] * len(r), left.schema.field(s).type) for s in split]
+        columns += [pa.array(ids[r]), pa.array(others[c]), pa.array(to_distance(d2, metric))]
+        return pa.table(columns, names=schema.names)
+
+    out_arrow = to_arrow_schema(schema)
+    keys = ["_cell", "_q", "_b"]
+    partial = queries.groupBy(*keys).cogroup(bases.groupBy(*keys)).applyInArrow(search, schema)
+    return closest(partial, k, split, row_id)
+
+
+def knn_over_copies(
+    df: DataFrame,
+    k: int,
+    graph: Callable[[DataFrame], DataFrame],
+    split: Sequence[str] = SPLIT,
+    row_id: str = "row_id",
+    vector: str = "embeddings",
+) -> DataFrame:
+    """Build the graph over distinct vectors and give every copy its neighbours.
+
+    Of each set of copies only the smallest id enters ``graph``, and only its
+    first k + 1 ids can appear as neighbours, so a set that holds a third of all
+    rows costs one vector. The result equals the graph over all rows.
+    """
+    split = list(split)
+    marks = ["_h1", "_h2"]
+    keyed = df.withColumn("_h1", F.xxhash64(vector)).withColumn("_h2", F.xxhash64(F.lit(1), vector))
+    by_copy = Window.partitionBy(*split, *marks).orderBy(row_id)
+    heads = keyed.withColumn("_nth", F.row_number().over(by_copy)).filter(F.col("_nth") <= k + 1)
+    heads = cut_lineage(heads)
+    first = heads.filter("_nth = 1")
+    rep = first.select(*split, *marks, F.col(row_id).alias("_rep"))
+    members = heads.select(*split, *marks, F.col(row_id).alias("_member")).join(rep, [*split, *marks]).drop(*marks)
+    edges = cut_lineage(graph(first.select(*split, row_id, vector)).drop("rank"))
+    others = edges.withColumnsRenamed({row_id: "_from", "neighbor": "_rep"}).join(members, [*split, "_rep"])
+    own = members.select(*split, F.col("_rep").alias("_from"), "_member", F.lit(0.0).alias("distance"))
+    reachable = others.select(*split, "_from", "_member", "distance").unionByName(own)
+    best = Window.partitionBy(*split, "_from").orderBy("distance", "_member")
+    nearby = reachable.withColumn("_nth", F.row_number().over(best)).filter(F.col("_nth") <= k + 1).drop("_nth")
+    rows = keyed.select(*split, row_id, *marks).join(rep, [*split, *marks]).drop(*marks)
+    pairs = rows.withColumnRenamed("_rep", "_from").join(nearby, [*split, "_from"]).filter(F.col("_member") != F.col(row_id))
+    named = pairs.select(*split, row_id, F.col("_member").alias("neighbor"), "distance")
+    return closest(named, k, split, row_id)
+
+
+def has_copies(df: DataFrame, split: Sequence[str] = SPLIT, vector: str = "embeddings") -> bool:
+    marked = df.select(*split, F.xxhash64(vector).alias("_h1"), F.xxhash64(F.lit(1), vector).alias("_h2"))
+    return not marked.groupBy(*split, "_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty()
+
+
 def knn(
     df: DataFrame,
     k: int,
@@ -152,9 +290,37 @@ def knn(
     """The k nearest rows of every row inside its split, itself excluded.
 
     Columns: split, row_id, neighbor, distance, rank; ties go to the smaller id.
+    ``exact`` compares all block pairs. ``ivf`` searches the nearest k-means
+    cells. ``auto`` is exact for splits of up to ``EXACT_ROWS`` distinct vectors
+    and uses ``ivf`` for each larger one. Copies of a vector are handled once.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
-    if method in ("auto", "exact"):
-        return knn_exact(df, k, metric, split, row_id, vector)
-    raise ValueError(f"unknown method {method!r}")
+    if method not in ("auto", "exact", "ivf"):
+        raise ValueError(f"unknown method {method!r}")
+
+    def graph(distinct: DataFrame) -> DataFrame:
+        if method == "exact":
+            return knn_exact(distinct, k, metric, split, row_id, vector)
+        counts = count_splits(distinct, split)
+        limit = EXACT_ROWS if method == "auto" else 0
+        large = counts.filter(F.col("rows") > limit).select(*split).collect()  # one row per large split
+        if not large:
+            return knn_exact(distinct, k, metric, split, row_id, vector)
+        parts = []
+        for row in large:
+            mine = distinct
+            for c in split:
+                mine = mine.filter(F.col(c).eqNullSafe(F.lit(row[c])))
+            parts.append(knn_ivf(mine, k, metric, split, row_id, vector))
+        if limit:
+            small = broadcast_if_small(counts.filter(F.col("rows") <= limit).select(*split))
+            parts.append(knn_exact(distinct.join(small, list(split), "left_semi"), k, metric, split, row_id, vector))
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    if has_copies(df, split, vector):
+        return knn_over_copies(df, k, graph, split, row_id, vector)
+    return graph(df)

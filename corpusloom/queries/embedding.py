@@ -47,6 +47,10 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents")
 
 
+def workers(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def text_projection(spark: SparkSession, d: str) -> DataFrame:
     return E.embed_input(documents(spark, d), "doc_id")
 
@@ -60,7 +64,7 @@ def truncate_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_embed(spark: SparkSession, d: str) -> DataFrame:
-    return long_form(E.hash_embed(documents(spark, d), "doc_id", dim=DIM), "doc_id")
+    return long_form(E.hash_embed(documents(spark, d), "doc_id", dim=DIM, partitions=workers(spark)), "doc_id")
 
 
 def hash_embed_window(spark: SparkSession, d: str) -> DataFrame:
@@ -68,8 +72,7 @@ def hash_embed_window(spark: SparkSession, d: str) -> DataFrame:
 
 
 def batch_embed(spark: SparkSession, d: str) -> DataFrame:
-    workers = spark.sparkContext.defaultParallelism
-    return long_form(E.embed(documents(spark, d), "doc_id", E.hashing_model(DIM), partitions=workers), "doc_id")
+    return long_form(E.embed(documents(spark, d), "doc_id", E.hashing_model(DIM), partitions=workers(spark)), "doc_id")
 
 
 def mean_pool(spark: SparkSession, d: str) -> DataFrame:

@@ -47,6 +47,16 @@ def knn_euclidean(spark: SparkSession, d: str) -> DataFrame:
     return rounded(one_graph(spark, d, "euclidean"), "distance")
 
 
+def knn_over_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector three times under new ids: the graph of copies."""
+    tripled = vectors(spark, d).withColumn("row_id", F.explode(F.expr("array(3 * row_id, 3 * row_id + 1, 3 * row_id + 2)")))
+    return rounded(N.knn(tripled, K, "euclidean", split=("split",)), "distance")
+
+
+def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(N.knn(vectors(spark, d), K, "cosine", "ivf", ("split",)), "distance")
+
+
 def knn_per_split(spark: SparkSession, d: str) -> DataFrame:
     by_label = vectors(spark, d, "cast(label AS string)")
     return N.knn_exact(by_label, K, "cosine", ("split",)).withColumn("distance", F.round("distance", 6))
@@ -234,6 +244,21 @@ QUERIES = {
         knn_euclidean,
         f"""WITH {knn_sql("euclidean")} SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",
     ),
+    "knn_ivf": Query(knn_ivf),
+    "knn_over_copies": Query(
+        knn_over_copies,
+        f"""WITH tripled AS (
+  SELECT 3 * vec_id + unnest([0, 1, 2]) AS id,
+         list_transform(embedding, lambda x: CAST(x AS DOUBLE) * (1 + vec_id % 7)) AS v
+  FROM embeddings
+),
+ranked AS (
+  SELECT a.id AS row_id, b.id AS neighbor, list_distance(a.v, b.v) AS distance,
+         row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rank
+  FROM tripled a JOIN tripled b ON a.id <> b.id
+)
+SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= {K}""",
+    ),
     "knn_per_split": Query(
         knn_per_split,
         f"""WITH {knn_sql("cosine", per_split=True)}

@@ -74,3 +74,25 @@ def test_identical_points_have_finite_weights(spark):
     assert np.allclose(p, 0.2)
     w = [r["w"] for r in A.fuzzy_union(A.umap_memberships(knn, SPLIT), SPLIT).collect()]
     assert np.allclose(w, 1.0)
+
+
+def test_cells_are_exact_with_all_probes_and_close_with_few(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(6, 8)) * 3
+    m = np.concatenate([c + rng.normal(size=(n, 8)) for c, n in zip(centers, (80, 20, 10, 10, 10, 10))])
+    parts = {"a": m}
+    df = frame(spark, parts)
+    full = N.knn_ivf(df, 5, "euclidean", SPLIT, cells=6, probes=6, block_rows=16)
+    check(full, parts, 5, "euclidean")
+    few = {(r["row_id"], r["neighbor"]) for r in N.knn_ivf(df, 5, "cosine", SPLIT, cells=6, probes=2, block_rows=16).collect()}
+    want = {(i, j) for i, near in brute(m, 5, "cosine").items() for _, j in near}
+    assert len(few) == len(want) and len(few & want) / len(want) > 0.85
+
+
+def test_large_splits_take_the_cell_path(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    parts = {"big": rng.normal(size=(70, 4)), "small": rng.normal(size=(12, 4))}
+    monkeypatch.setattr(N, "EXACT_ROWS", 40)
+    got = N.knn(frame(spark, parts), 4, "euclidean", "auto", SPLIT)
+    check(got.filter("s = 'small'"), {"small": parts["small"]}, 4, "euclidean")
+    assert got.filter("s = 'big'").count() == 280
