@@ -82,7 +82,7 @@ def sample_split(
         (F.lit(cap) - F.col("_before")).alias("_need"),
         (F.col("_total") > cap).alias("_cut"),
     )
-    marked = bucketed.join(broadcast_if_small(edge), split)
+    marked = bucketed.join(broadcast_if_small(cut_lineage(edge)), split)
     rank = F.row_number().over(Window.partitionBy(*split, "_bucket").orderBy("_digest", key))
     inner = marked.filter(~F.col("_cut") | (F.col("_bucket") < F.col("_edge")))
     border = (

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from corpusloom.operators import sampling as SM
 from corpusloom.operators.affinities import fuzzy_union, tsne_affinities, tsne_symmetrise, umap_memberships
+from corpusloom.operators.layout import build_graph
 from corpusloom.operators.neighbors import knn
 from corpusloom.operators.pca import pca_init
 from corpusloom.operators.sampling import SPLIT
@@ -68,7 +69,7 @@ def select_points(vectors: DataFrame, key: str, settings: ReduceSettings) -> Dat
     Keeps the source key beside ``row_id``, which counts the sampled order.
     """
     sampled = SM.sample_split(SM.to_vectors(vectors.select(*SPLIT, key, "embeddings")), key, settings.cap, settings.seed)
-    numbered = cut_lineage(SM.with_row_id(sampled, SPLIT, ["sample_order", key]).drop("sample_order"))
+    numbered = SM.with_row_id(sampled, SPLIT, ["sample_order", key]).drop("sample_order")
     enough = SM.eligible(SM.count_splits(numbered)).select(*SPLIT)
     return numbered.join(broadcast_if_small(enough), list(SPLIT), "left_semi")
 
@@ -86,16 +87,20 @@ def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]
     fuzzy = cut_lineage(
         fuzzy_union(umap_memberships(knn(points, settings.neighbors, "cosine", method=settings.method)))
     )
-    flat = init.drop("y2")
-    out = {"tsne_2d": tsne_layout(joint, flat, 2, settings.iterations)}
-    out["umap_2d"] = umap_layout(fuzzy, flat, 2, settings.epochs, settings.min_dist, settings.seed)
-    out["tsne_3d"] = (
-        tsne_layout(joint, init, 3, settings.iterations)
-        if settings.tsne_3d
-        else no_layout(points.select(*SPLIT, "row_id"), 3)
-    )
-    out["umap_3d"] = umap_layout(fuzzy, init, 3, settings.epochs, settings.min_dist, settings.seed)
-    return out
+    by_p, by_w = build_graph(init, joint, "p", SPLIT), build_graph(init, fuzzy, "w", SPLIT)
+
+    def tsne(dims: int) -> DataFrame:
+        return tsne_layout(joint, init, dims, settings.iterations, graph=by_p)
+
+    def umap(dims: int) -> DataFrame:
+        return umap_layout(fuzzy, init, dims, settings.epochs, settings.min_dist, settings.seed, graph=by_w)
+
+    return {
+        "tsne_2d": tsne(2),
+        "umap_2d": umap(2),
+        "tsne_3d": tsne(3) if settings.tsne_3d else no_layout(points.select(*SPLIT, "row_id"), 3),
+        "umap_3d": umap(3),
+    }
 
 
 def assemble(points: DataFrame, labels: DataFrame, coords: dict[str, DataFrame], extra: Sequence[str] = ()) -> DataFrame:
@@ -171,7 +176,6 @@ def run_reduce(
     reduced = cut_lineage(reduce(chosen, labels, key, settings))
     by_split = ["dataset_key", "sub_label"]
     spread = reduced.repartitionByRange(*by_split, "row_id")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     write_parquet(spread, f"{out}/reduced", partition_by=by_split, mode="overwrite")
     write_csv(spread, f"{out}/reduced_csv", enabled=csv, partition_by=by_split, mode="overwrite")
     write_json(reduction_record(reduced, good), f"{out}/records", mode="append")

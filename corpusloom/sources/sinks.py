@@ -25,8 +25,8 @@ def write_parquet(
     writer = out.write.mode(mode)
     if rows_per_shard:
         writer = writer.option("maxRecordsPerFile", rows_per_shard)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by:  # an overwrite replaces only the partitions it writes
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
@@ -42,8 +42,8 @@ def write_csv(
     if not enabled:
         return
     writer = df.write.mode(mode).option("header", "true").option("sep", sep)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if partition_by:  # an overwrite replaces only the partitions it writes
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.csv(path)
 
 
