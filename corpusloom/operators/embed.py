@@ -67,7 +67,8 @@ def hashing_embedder(dim: int = EMBEDDING_DIM) -> Callable[[Column], Column]:
             out.extend(_pool_codes(np.concatenate(block), lengths, dim))
         return pd.Series(out)
 
-    return lambda toks: pooled(token_codes(toks))
+    once = pooled.asNondeterministic()  # so that no rule copies the call into a filter
+    return lambda toks: once(token_codes(toks))
 
 
 def hash_embed(
@@ -131,7 +132,7 @@ def embed(
     source = embed_input(df, key, text)
     if partitions:
         source = source.repartition(partitions)
-    infer = predict_batch_udf(model, return_type=VECTOR, batch_size=batch_size)
+    infer = predict_batch_udf(model, return_type=VECTOR, batch_size=batch_size).asNondeterministic()
     return source.select(key, infer(truncate_chars(F.col(text), max_chars)).alias("embeddings"))
 
 
