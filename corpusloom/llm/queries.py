@@ -18,6 +18,29 @@ def tokenizer_model(name: str = "piece_bpe_32k.model") -> bytes:
         return f.read()
 
 
+def op1_chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.chat_layouts import format_chats, loss_texts, parse_chat
+
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, [("user", control), ("assistant", control)])],
+        "conv_id long, messages array<struct<role: string, content: string>>",
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    chats = format_chats(rows.unionByName(extra, allowMissingColumns=True))
+    turns, loss = parse_chat(F.col("formatted")), F.array_join(loss_texts(F.col("formatted"), F.col("loss_spans")), "")
+    read = chats.select("conv_id", "formatted", turns.alias("turns"), loss.alias("loss"))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op3_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.piece_table import encode_texts
 
@@ -30,6 +53,18 @@ def op3_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.hash_mix import mix
+
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.pu_quality import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.text_density import extract_main_text
 
@@ -53,9 +88,135 @@ def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printed.select("key.*", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.url_verdicts import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
+    "op1_chat_layouts": op1_chat_layouts,
     "op3_piece_table": op3_piece_table,
+    "op4_hash_mix": op4_hash_mix,
+    "op6_pu_quality": op6_pu_quality,
     "op7_text_density": op7_text_density,
     "op8_chunk_prints": op8_chunk_prints,
+    "op10_url_verdicts": op10_url_verdicts,
+}
+
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLES: dict[str, str] = {
+    "op1_chat_layouts": r"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+         length(text) + (length(text) - length(replace(text, '\', '')))
+           + len(regexp_extract_all(text, '\[/?INST\]|</?s>|<</?SYS>>|\[AS\]|\[/?TEXT\]')) AS body,
+         CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17 ELSE 21 + length(role) END AS marks
+  FROM raw
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(body + marks + 1) - 1 AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+""",
+    "op4_hash_mix": rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{_WORDS}')), 0) AS BIGINT) AS size FROM documents
+),
+h AS (
+  SELECT *, CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), '~') || '|' || coalesce(source, '~') || '|' || size)[1:15]
+                 AS BIGINT) AS h
+  FROM d
+),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM h GROUP BY source
+),
+r AS (
+  SELECT *, 2 * source_size AS most, sum(source_size) OVER () * CAST(1.5 AS DOUBLE) AS budget,
+         row_number() OVER (ORDER BY CAST(2 * source_size AS DOUBLE) / weight, source NULLS LAST) AS k
+  FROM s
+),
+q AS (
+  SELECT *, (budget - coalesce(sum(most) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rate
+  FROM r
+),
+g AS (
+  SELECT source, source_size,
+         CASE WHEN most <= rate * weight THEN CAST(most AS DOUBLE)
+              ELSE least((max(rate) FILTER (most > rate * weight) OVER ()) * weight, CAST(most AS DOUBLE)) END AS target
+  FROM q
+),
+p AS (
+  SELECT h.doc_id, h.source, h.h, h.size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+         target - whole * source_size AS budget
+  FROM h JOIN g ON h.source IS NOT DISTINCT FROM g.source
+),
+c AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS reached,
+         sum(size) OVER (PARTITION BY source, h) AS tied
+  FROM p
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN budget > 0 AND (reached < budget OR (reached - tied < budget AND reached - budget <= budget - reached + tied))
+                                 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM c
+""",
+    "op10_url_verdicts": r"""
+WITH RECURSIVE p AS (
+  SELECT page_id, url,
+         lower(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')) AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+),
+rules AS (
+  SELECT * FROM (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),
+                        ('org', '/fr/', 'allow')) v(rule_host, rule_path, said)
+),
+nodes AS (
+  SELECT url FROM p WHERE url IS NOT NULL UNION SELECT split_part(url, '#', 1) FROM p WHERE url IS NOT NULL
+  UNION SELECT regexp_extract(html, 'rel="canonical" href="([^"]+)"', 1) FROM pages WHERE url IS NOT NULL
+),
+n AS (
+  SELECT url, lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')) AS host,
+         regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM nodes
+),
+j AS (
+  SELECT url, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         max_by(said, length(rule_host || rule_path)) AS said
+  FROM n JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY url
+),
+e AS (
+  SELECT url AS a, split_part(url, '#', 1) AS b FROM p WHERE url IS NOT NULL
+  UNION ALL SELECT url, regexp_extract(html, 'rel="canonical" href="([^"]+)"', 1) FROM pages
+            WHERE url IS NOT NULL AND regexp_matches(html, 'rel="canonical" href="[^"]')
+),
+sym AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(url) AS (
+  SELECT url FROM j WHERE said = 'block' UNION SELECT sym.b FROM reach JOIN sym ON sym.a = reach.url
+)
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN url IN (SELECT url FROM reach) THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN j USING (url)
+""",
 }
-ORACLES: dict[str, str] = {}
