@@ -59,6 +59,12 @@ def op4_hash_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_voronoi_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.voronoi_knn import top_products
+
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.pu_quality import score_documents
 
@@ -106,6 +112,7 @@ QUERIES = {
     "op1_chat_layouts": op1_chat_layouts,
     "op3_piece_table": op3_piece_table,
     "op4_hash_mix": op4_hash_mix,
+    "op5_voronoi_knn": op5_voronoi_knn,
     "op6_pu_quality": op6_pu_quality,
     "op7_text_density": op7_text_density,
     "op8_chunk_prints": op8_chunk_prints,
@@ -179,6 +186,19 @@ SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN budget > 0 AND (reached < budget OR (reached - tied < budget AND reached - budget <= budget - reached + tied))
                                  THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM c
+""",
+    "op5_voronoi_knn": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5
 """,
     "op10_url_verdicts": r"""
 WITH RECURSIVE p AS (
