@@ -94,6 +94,12 @@ def op8_chunk_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return printed.select("key.*", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op9_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.lsh_forest import similarity_classes
+
+    return similarity_classes(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = (
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -116,6 +122,7 @@ QUERIES = {
     "op6_pu_quality": op6_pu_quality,
     "op7_text_density": op7_text_density,
     "op8_chunk_prints": op8_chunk_prints,
+    "op9_lsh_forest": op9_lsh_forest,
     "op10_url_verdicts": op10_url_verdicts,
 }
 
@@ -199,6 +206,26 @@ s AS (
 ),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5
+""",
+    "op9_lsh_forest": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '{_WORDS}'), []) AS ws FROM documents),
+g AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS sh
+  FROM w
+),
+k AS (SELECT min(doc_id) AS rep, count(*) AS copies, sh FROM g GROUP BY sh),
+u AS (SELECT rep, len(sh) AS n, unnest(sh) AS s FROM k),
+i AS (
+  SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM u a JOIN u b ON a.s = b.s AND a.rep <> b.rep GROUP BY a.rep, b.rep
+),
+l AS (SELECT a, b FROM i WHERE 9 * c >= 4 * (na + nb)),
+reach(a, b) AS (SELECT rep, rep FROM k UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+cls AS (SELECT a AS rep, min(b) AS class_id FROM reach GROUP BY a),
+cnt AS (SELECT a AS rep, sum(k.copies) AS links FROM l JOIN k ON k.rep = l.b GROUP BY a)
+SELECT g.doc_id, class_id, CAST(coalesce(links, 0) + copies - 1 AS BIGINT) AS n_links
+FROM g JOIN k ON g.sh = k.sh JOIN cls ON cls.rep = k.rep LEFT JOIN cnt ON cnt.rep = k.rep
 """,
     "op10_url_verdicts": r"""
 WITH RECURSIVE p AS (
