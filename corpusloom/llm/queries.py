@@ -41,6 +41,12 @@ def op1_chat_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.suffix_tree import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpusloom.llm.piece_table import encode_texts
 
@@ -116,6 +122,7 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_layouts": op1_chat_layouts,
+    "op2_suffix_tree": op2_suffix_tree,
     "op3_piece_table": op3_piece_table,
     "op4_hash_mix": op4_hash_mix,
     "op5_voronoi_knn": op5_voronoi_knn,
