@@ -41,6 +41,7 @@ DROP_WORDS = frozenset(
 )
 KEEP_TAGS = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {
+    "a": frozenset(["a"]),
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
     "dd": frozenset(["dt", "dd"]),
@@ -51,20 +52,21 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("html body article section main div ul ol dl table td th blockquote nav aside footer header form".split())
 
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
-_TORN = re.compile(r"<(?:[/!?]?[a-zA-Z][^<]*|[/!?])?\Z")
+_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
+_BROKEN_OFF = re.compile(r"</?(?:[a-zA-Z]|\Z)")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s"'>/=]+)""")
 _WORDS = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False) -> None:
         self.tag, self.parent, self.drop = tag, parent, drop
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.best = self
 
 
 def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
@@ -88,16 +90,19 @@ def parse(page: str) -> Node:
     root = Node("html", None)
     at, where, body, articles = 0, root, None, 0
     size = len(page)
-    find = _MARKUP.search
     while at < size:
-        m = find(page, at)
-        if m is None:
-            rest = _TORN.sub("", page[at:])
-            if rest:
-                where.items.append(rest)
+        start = page.find("<", at)
+        if start != at:
+            where.items.append(page[at : start if start >= 0 else size])
+        if start < 0:
             break
-        if m.start() > at:
-            where.items.append(page[at : m.start()])
+        m = _MARKUP.match(page, start)
+        if m is None:
+            if _BROKEN_OFF.match(page, start):
+                break  # the page ends within a tag
+            where.items.append("<")
+            at = start + 1
+            continue
         at = m.end()
         closing, tag, attributes = m.groups()
         if tag is None:
@@ -173,7 +178,7 @@ def _density(n: Node, link_share: float) -> float:
 
 
 def weigh(top: Node) -> list[Node]:
-    """Fill in counts, densities and sums; returns the kept elements, each before its children."""
+    """Fill in counts, densities, sums and the element of the highest sum in each subtree; returns the kept elements, each before its children."""
     order = _in_order(top)
     own: dict[int, int] = {}
     for n in reversed(order):
@@ -195,16 +200,20 @@ def weigh(top: Node) -> list[Node]:
             text.chars = own[id(n)]
             text.link_chars = text.chars if n.tag == "a" else 0
             n.sum += _density(text, share)
+    for n in reversed(order):
+        for x in n.items:
+            if not isinstance(x, str) and not x.drop and x.best.sum > n.best.sum:
+                n.best = x.best
     return order
 
 
 def choose(top: Node) -> list[Node]:
     """The elements that hold the main text, in page order, none inside another."""
-    order = [n for n in weigh(top) if n.chars]
-    if not order:
+    weigh(top)
+    if not top.chars:
         return []
-    best = max(order, key=lambda n: n.sum)
-    threshold, node = best.density, best
+    node = top.best
+    threshold = node.density
     while node is not top:
         node = node.parent
         threshold = min(threshold, node.density)
@@ -213,9 +222,8 @@ def choose(top: Node) -> list[Node]:
     while stack:
         node = stack.pop()
         if node.density >= threshold and node.chars:
-            inner = max((n for n in _in_order(node) if n.chars), key=lambda n: n.sum)
-            chosen.add(id(inner))
-            if inner is node:
+            chosen.add(id(node.best))
+            if node.best is node:
                 continue
         stack.extend(x for x in reversed(node.items) if not isinstance(x, str) and not x.drop and x.chars)
     found, stack = [], [top]
