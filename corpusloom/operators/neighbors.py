@@ -7,28 +7,24 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Normalizer
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusloom.operators.sampling import SEED, SPLIT, count_splits
-from corpusloom.session import broadcast_if_small, cut_lineage
+from corpusloom.session import broadcast_if_small, cut_lineage, join_keys
 
-# Rows of one block: two blocks of 4096-wide float32 vectors take 64 MB in a task.
+# Rows of one block: two blocks of 4096-wide vectors take 128 MB as float64, their products 32 MB each.
 BLOCK_ROWS = 2048
 
-# Candidate distances are compared on this many decimals of the block's scale,
-# so that exact copies tie and the smaller id wins.
-TIE_DECIMALS = 10
+# Numbers of a task's difference rows looked at together.
+DIFFERENCES = 1 << 22
 
-# Splits up to this size get the exact graph; larger ones are searched by cells.
-EXACT_ROWS = 50_000
+# Cells of the approximate search at most, cells searched at least, and values of the sample its centres come from.
 MAX_CELLS = 4096
 PROBES = 8
+SAMPLE_VALUES = 1 << 25
 
 
 def stack_vectors(column: pa.ChunkedArray) -> np.ndarray:
@@ -53,22 +49,28 @@ def nearest(
     """The k nearest right rows of every left row, itself excluded, ties by id.
 
     Returns left positions, right positions and squared distances. ``right_ids``
-    must be ascending. All rows that tie with the k-th are kept until ranked.
+    must be ascending. The product form of a distance is off by a few units in
+    the last place of the two rows' own lengths, so every row that may belong to
+    the k nearest by that bound is looked at again with exact differences. Far
+    rows have wide bounds of their own and none on other pairs.
     """
-    d2 = squared_distances(left, right)
-    scale = max(float(d2.max(initial=0.0)), 1e-300)
-    key = np.round(d2 / scale, TIE_DECIMALS)
-    key[left_ids[:, None] == right_ids[None, :]] = np.inf
+    squares = (left * left).sum(1)[:, None] + (right * right).sum(1)[None, :]
+    d2 = np.maximum(squares - 2.0 * (left @ right.T), 0.0)
+    slack = squares * (4 * (left.shape[1] + 4) * np.finfo(np.float64).eps)
+    d2[left_ids[:, None] == right_ids[None, :]] = np.inf
     take = min(k, len(right_ids))
-    kth = np.partition(key, take - 1, axis=1)[:, take - 1 : take]
-    row, col = np.nonzero((key <= kth) & np.isfinite(key))
-    order = np.lexsort((col, key[row, col], row))
-    row, col = row[order], col[order]
+    kth = np.partition(d2 + slack, take - 1, axis=1)[:, take - 1 : take]
+    row, col = np.nonzero((d2 - slack <= kth) & np.isfinite(d2))
+    exact = np.empty(len(row))
+    step = max(1, DIFFERENCES // max(1, left.shape[1]))
+    for start in range(0, len(row), step):
+        diff = left[row[start : start + step]] - right[col[start : start + step]]
+        exact[start : start + step] = np.einsum("ij,ij->i", diff, diff)
+    order = np.lexsort((col, exact, row))
+    row, col, exact = row[order], col[order], exact[order]
     first = np.searchsorted(row, np.arange(len(left_ids)))
     keep = np.arange(len(row)) - first[row] < k
-    row, col = row[keep], col[keep]
-    diff = left[row] - right[col]
-    return row, col, np.einsum("ij,ij->i", diff, diff)
+    return row[keep], col[keep], exact[keep]
 
 
 def to_distance(d2: np.ndarray, metric: str) -> np.ndarray:
@@ -109,7 +111,7 @@ def knn_exact(
     """
     split = list(split)
     blocks = count_splits(df, split).select(*split, F.ceil(F.col("rows") / block_rows).cast("int").alias("_blocks"))
-    own = df.select(*split, row_id, vector).join(broadcast_if_small(blocks), split)
+    own = join_keys(df.select(*split, row_id, vector), broadcast_if_small(blocks), split)
     own = own.withColumn("_own", F.pmod(F.xxhash64(row_id), F.col("_blocks")).cast("int"))
     other = own.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     paired = other.select(
@@ -150,21 +152,44 @@ def knn_exact(
     return closest(partial, k, split, row_id)
 
 
+def cell_centers(sample: np.ndarray, cells: int, rounds: int = 5) -> np.ndarray:
+    """Lloyd's rounds from the first ``cells`` rows of a sample; a cell that empties keeps its centre."""
+    centers = sample[:cells].copy()
+    for _ in range(rounds):
+        own = np.concatenate(
+            [squared_distances(sample[i : i + BLOCK_ROWS], centers).argmin(1) for i in range(0, len(sample), BLOCK_ROWS)]
+        )
+        sums = np.zeros_like(centers)
+        np.add.at(sums, own, sample)
+        counts = np.bincount(own, minlength=len(centers))[:, None]
+        centers = np.where(counts > 0, sums / np.maximum(counts, 1), centers)
+    return centers
+
 
 def with_probes(
-    df: DataFrame, centers: np.ndarray, probes: int, metric: str, vector: str = "embeddings"
+    df: DataFrame, centers: np.ndarray, probes: int, metric: str, vector: str = "embeddings",
+    living: np.ndarray | None = None, rows: int = 0,
 ) -> DataFrame:
-    """Add ``_cells``: the ``probes`` nearest centres of every row, nearest first."""
-    shared = df.sparkSession.sparkContext.broadcast(centers)
-    take = min(probes, len(centers))
+    """Add ``_cells``: the ``probes`` nearest centres of every row, nearest first.
+
+    With ``living``, the rows of each cell, further centres follow until the
+    cells hold ``rows`` rows.
+    """
+    shared = df.sparkSession.sparkContext.broadcast((centers, living))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def assign(column: pd.Series) -> pd.Series:
+        centers, living = shared.value
         x = np.stack(column.to_numpy()).astype(np.float64)
-        d2 = squared_distances(unit_rows(x) if metric == "cosine" else x, shared.value)
-        near = np.argpartition(d2, take - 1, axis=1)[:, :take]
-        order = np.take_along_axis(d2, near, 1).argsort(1)
-        return pd.Series(list(np.take_along_axis(near, order, 1).astype(np.int32)))
+        found = []
+        for start in range(0, len(x), BLOCK_ROWS):
+            part = x[start : start + BLOCK_ROWS]
+            order = squared_distances(unit_rows(part) if metric == "cosine" else part, centers).argsort(1, kind="stable")
+            need = np.full(len(part), probes)
+            if living is not None:
+                need = np.maximum(need, (living[order].cumsum(1) < rows).sum(1) + 1)
+            found += [row[:n].astype(np.int32) for row, n in zip(order, need)]
+        return pd.Series(found)
 
     return df.withColumn("_cells", assign(vector))
 
@@ -181,23 +206,32 @@ def knn_ivf(
     block_rows: int = BLOCK_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Approximate graph of one split: exact ranking inside the nearest k-means cells.
+    """Approximate graph of one split: exact ranking inside the nearest cells.
 
-    A row lives in its nearest cell and searches the ``probes`` nearest ones.
+    A row lives in its nearest cell and searches the ``probes`` nearest ones, or as
+    many more as it takes to see ``k`` other rows, so every list is complete.
     Cells are cut on both sides into blocks of about ``block_rows`` rows, so a
     cell that holds a third of the split is many bounded tasks and loses
-    nothing. With as many probes as cells the graph is exact. The number of
-    cells is at most ``MAX_CELLS``, which bounds the shared centres.
+    nothing. With as many probes as cells the graph is exact.
+
+    Centres come from a sample of ``SAMPLE_VALUES`` numbers at most (but a row for
+    each cell), chosen by a hash of the id, so the graph is the same under any
+    partitioning. Their number is ``cells``, by default the root of the rows and
+    ``MAX_CELLS`` at most, which bounds what every task is sent.
     """
     split = list(split)
     n = df.count()
     cells = cells or max(1, min(MAX_CELLS, int(np.ceil(np.sqrt(n)))))
-    unit = array_to_vector(F.col(vector))
-    train = df.select(unit.alias("features"))
-    if metric == "cosine":
-        train = Normalizer(p=2.0, inputCol="features", outputCol="unit").transform(train).select(F.col("unit").alias("features"))
-    model = KMeans(k=cells, seed=seed, maxIter=5, initMode="random").fit(train)
-    placed = cut_lineage(with_probes(df.select(*split, row_id, vector), np.array(model.clusterCenters()), probes, metric))
+    width = df.select(F.max(F.size(vector))).first()[0] or 1
+    by_hash = df.select(vector).orderBy(F.xxhash64(F.lit(seed), row_id), row_id)
+    some = by_hash.limit(max(cells, min(50 * cells, SAMPLE_VALUES // width))).toArrow()
+    sample = stack_vectors(some[vector])
+    centers = cell_centers(unit_rows(sample) if metric == "cosine" else sample, min(cells, len(sample)))
+    own = cut_lineage(with_probes(df.select(*split, row_id, vector), centers, 1, metric).withColumn("_home", F.col("_cells")[0]))
+    homes = {r["_home"]: r["count"] for r in own.groupBy("_home").count().collect()}  # a row per cell
+    living = np.array([homes.get(c, 0) for c in range(len(centers))])
+    reached = with_probes(own.drop("_cells"), centers, probes, metric, vector, living, min(k + 1, n))
+    placed = cut_lineage(reached.drop("_home"))
     searching = placed.withColumn("_cell", F.explode("_cells"))
     living = placed.withColumn("_cell", F.col("_cells")[0])
 
@@ -260,15 +294,15 @@ def knn_over_copies(
     heads = cut_lineage(heads)
     first = heads.filter("_nth = 1")
     rep = first.select(*split, *marks, F.col(row_id).alias("_rep"))
-    members = heads.select(*split, *marks, F.col(row_id).alias("_member")).join(rep, [*split, *marks]).drop(*marks)
+    members = join_keys(heads.select(*split, *marks, F.col(row_id).alias("_member")), rep, [*split, *marks]).drop(*marks)
     edges = cut_lineage(graph(first.select(*split, row_id, vector)).drop("rank"))
-    others = edges.withColumnsRenamed({row_id: "_from", "neighbor": "_rep"}).join(members, [*split, "_rep"])
+    others = join_keys(edges.withColumnsRenamed({row_id: "_from", "neighbor": "_rep"}), members, [*split, "_rep"])
     own = members.select(*split, F.col("_rep").alias("_from"), "_member", F.lit(0.0).alias("distance"))
     reachable = others.select(*split, "_from", "_member", "distance").unionByName(own)
     best = Window.partitionBy(*split, "_from").orderBy("distance", "_member")
     nearby = reachable.withColumn("_nth", F.row_number().over(best)).filter(F.col("_nth") <= k + 1).drop("_nth")
-    rows = keyed.select(*split, row_id, *marks).join(rep, [*split, *marks]).drop(*marks)
-    pairs = rows.withColumnRenamed("_rep", "_from").join(nearby, [*split, "_from"]).filter(F.col("_member") != F.col(row_id))
+    rows = join_keys(keyed.select(*split, row_id, *marks), rep, [*split, *marks]).drop(*marks)
+    pairs = join_keys(rows.withColumnRenamed("_rep", "_from"), nearby, [*split, "_from"]).filter(F.col("_member") != F.col(row_id))
     named = pairs.select(*split, row_id, F.col("_member").alias("neighbor"), "distance")
     return closest(named, k, split, row_id)
 
@@ -282,7 +316,7 @@ def knn(
     df: DataFrame,
     k: int,
     metric: str = "cosine",
-    method: str = "auto",
+    method: str = "exact",
     split: Sequence[str] = SPLIT,
     row_id: str = "row_id",
     vector: str = "embeddings",
@@ -290,32 +324,26 @@ def knn(
     """The k nearest rows of every row inside its split, itself excluded.
 
     Columns: split, row_id, neighbor, distance, rank; ties go to the smaller id.
-    ``exact`` compares all block pairs. ``ivf`` searches the nearest k-means
-    cells. ``auto`` is exact for splits of up to ``EXACT_ROWS`` distinct vectors
-    and uses ``ivf`` for each larger one. Copies of a vector are handled once.
+    ``exact`` compares all block pairs, at any size; ``ivf`` searches the nearest
+    cells and may miss neighbours, but never returns short lists. Copies of a
+    vector are handled once.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
-    if method not in ("auto", "exact", "ivf"):
+    if method not in ("exact", "ivf"):
         raise ValueError(f"unknown method {method!r}")
 
     def graph(distinct: DataFrame) -> DataFrame:
         if method == "exact":
             return knn_exact(distinct, k, metric, split, row_id, vector)
-        counts = count_splits(distinct, split)
-        limit = EXACT_ROWS if method == "auto" else 0
-        large = counts.filter(F.col("rows") > limit).select(*split).collect()  # one row per large split
-        if not large:
-            return knn_exact(distinct, k, metric, split, row_id, vector)
         parts = []
-        for row in large:
+        for row in distinct.select(*split).distinct().collect():  # one row per split; each is a search of its own
             mine = distinct
             for c in split:
                 mine = mine.filter(F.col(c).eqNullSafe(F.lit(row[c])))
             parts.append(knn_ivf(mine, k, metric, split, row_id, vector))
-        if limit:
-            small = broadcast_if_small(counts.filter(F.col("rows") <= limit).select(*split))
-            parts.append(knn_exact(distinct.join(small, list(split), "left_semi"), k, metric, split, row_id, vector))
+        if not parts:
+            return knn_exact(distinct, k, metric, split, row_id, vector)
         out = parts[0]
         for part in parts[1:]:
             out = out.unionByName(part)

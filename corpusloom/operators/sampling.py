@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ordering import digest_bucket, sample_digest
-from corpusloom.session import broadcast_if_small, cut_lineage
+from corpusloom.session import broadcast_if_small, cut_lineage, join_keys
 
 SPLIT = ("dataset_key", "sub_label")
 
@@ -82,7 +82,7 @@ def sample_split(
         (F.lit(cap) - F.col("_before")).alias("_need"),
         (F.col("_total") > cap).alias("_cut"),
     )
-    marked = bucketed.join(broadcast_if_small(cut_lineage(edge)), split)
+    marked = join_keys(bucketed, broadcast_if_small(cut_lineage(edge)), split)
     rank = F.row_number().over(Window.partitionBy(*split, "_bucket").orderBy("_digest", key))
     inner = marked.filter(~F.col("_cut") | (F.col("_bucket") < F.col("_edge")))
     border = (
@@ -114,7 +114,7 @@ def with_row_id(df: DataFrame, split: Sequence[str], order: Sequence[str], name:
     runs = numbered.groupBy(*split, "_part").agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*split).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    joined = numbered.join(broadcast_if_small(offsets), [*split, "_part"])
+    joined = join_keys(numbered, broadcast_if_small(offsets), [*split, "_part"])
     row_id = F.col("_mid") - F.col("_first") + F.col("_offset")
     return joined.withColumn(name, row_id).drop("_mid", "_part", "_first", "_offset")
 

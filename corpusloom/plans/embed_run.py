@@ -18,7 +18,7 @@ from corpusloom.sources.sinks import ROWS_PER_SHARD, write_json, write_parquet
 
 RECORD_SCHEMA = (
     "dataset_key string, model_id string, embedding_dim int, max_seq_length int, batch_size int, "
-    "num_workers int, num_input_files long, num_documents long, time_taken_s double, "
+    "num_gpus int, num_input_files long, num_documents long, time_taken_s double, "
     "throughput_docs_per_sec double, timestamp string"
 )
 RESULT_SCHEMA = "key string, ok boolean, error string"
@@ -53,7 +53,7 @@ def run_record(spark: SparkSession, s: EmbedSettings, row: Row, docs: int, elaps
     )
     rate = F.when(F.col("elapsed") > 0, F.col("num_documents") / F.col("elapsed")).otherwise(F.lit(0.0))
     return (
-        base.withColumn("num_workers", F.lit(spark.sparkContext.defaultParallelism))
+        base.withColumn("num_gpus", F.lit(spark.sparkContext.defaultParallelism))
         .withColumn("time_taken_s", F.round("elapsed", 2))
         .withColumn("throughput_docs_per_sec", F.round(rate, 1))
         .withColumn("timestamp", F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss"))
@@ -107,7 +107,7 @@ def run_all(
         try:
             embed_dataset(spark, row, records, settings, embedder, source)
         except Exception as exc:  # noqa: BLE001 - reported in the result
-            return row["key"], False, f"{type(exc).__name__}: {exc}"[:2000]
+            return row["key"], False, f"{type(exc).__name__}: {exc}"
         return row["key"], True, None
 
     with ThreadPoolExecutor(max_workers=max(parallel, 1)) as pool:

@@ -17,8 +17,9 @@ from corpusloom.operators.pca import pca_init
 from corpusloom.operators.sampling import SPLIT
 from corpusloom.operators.tsne import ITERATIONS, no_layout, tsne_layout
 from corpusloom.operators.umap import umap_layout
-from corpusloom.session import broadcast_if_small, cut_lineage
+from corpusloom.session import broadcast_if_small, cut_lineage, join_keys
 from corpusloom.sources.catalog import pending
+from corpusloom.sources.splits import NO_FIELDS, UNKNOWN
 from corpusloom.sources.sinks import write_csv, write_json, write_parquet
 
 # Column names and order of the reduced table.
@@ -60,7 +61,7 @@ class ReduceSettings:
     tsne_3d: bool = True
     iterations: int = ITERATIONS
     epochs: int | None = None
-    method: str = "auto"
+    method: str = "exact"
 
 
 def select_points(vectors: DataFrame, key: str, settings: ReduceSettings) -> DataFrame:
@@ -71,7 +72,7 @@ def select_points(vectors: DataFrame, key: str, settings: ReduceSettings) -> Dat
     sampled = SM.sample_split(SM.to_vectors(vectors.select(*SPLIT, key, "embeddings")), key, settings.cap, settings.seed)
     numbered = SM.with_row_id(sampled, SPLIT, ["sample_order", key]).drop("sample_order")
     enough = SM.eligible(SM.count_splits(numbered)).select(*SPLIT)
-    return numbered.join(broadcast_if_small(enough), list(SPLIT), "left_semi")
+    return join_keys(numbered, broadcast_if_small(enough), SPLIT, "left_semi")
 
 
 def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]:
@@ -104,11 +105,21 @@ def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]
 
 
 def assemble(points: DataFrame, labels: DataFrame, coords: dict[str, DataFrame], extra: Sequence[str] = ()) -> DataFrame:
-    """Labels, row_id and the ten coordinates in their fixed order, then ``extra`` keys."""
-    out = points.select(*SPLIT, "row_id", *extra).join(labels.select(*LABEL_COLUMNS), list(SPLIT))
+    """Labels, row_id and the ten coordinates in their fixed order, then ``extra`` keys.
+
+    A split without a label row keeps its rows and gets the labels' defaults. A
+    split with several label rows would repeat its rows, so that is an error.
+    """
+    twice = labels.groupBy(*SPLIT).count().filter("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"more than one label row for {twice[0].asDict()}")
+    out = join_keys(points.select(*SPLIT, "row_id", *extra), labels.select(*LABEL_COLUMNS), SPLIT, "left")
+    defaults = {"category": UNKNOWN, "text_strategy_template": UNKNOWN, "text_strategy_fields": NO_FIELDS}
+    out = out.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
+    out = out.withColumn("dataset_name", F.coalesce("dataset_name", "dataset_key"))
     for name, table in coords.items():
         renamed = table.withColumnsRenamed({c: f"{name}_{c}" for c in ("x", "y", "z") if c in table.columns})
-        out = out.join(renamed, [*SPLIT, "row_id"])
+        out = join_keys(out, renamed, [*SPLIT, "row_id"])
     return out.select(*LABEL_COLUMNS, "row_id", *COORDINATE_COLUMNS, *extra)
 
 
@@ -121,7 +132,7 @@ def reduce(vectors: DataFrame, labels: DataFrame, key: str, settings: ReduceSett
 def reduction_record(reduced: DataFrame, available: DataFrame) -> DataFrame:
     """One record per reduced split; ``available`` has the rows before sampling."""
     counts = reduced.groupBy(*SPLIT).agg(F.count(F.lit(1)).alias("num_rows"))
-    return counts.join(available.select(*SPLIT, F.col("rows").alias("total_available")), list(SPLIT)).select(
+    return join_keys(counts, available.select(*SPLIT, F.col("rows").alias("total_available")), SPLIT).select(
         *SPLIT,
         "num_rows",
         "total_available",
@@ -155,28 +166,36 @@ def run_reduce(
 
     A split whose vectors are ragged or null is reported as failed and left
     out; the others go through one job. Rows are written per split with dynamic
-    overwrite, and the record — which marks a split as done — comes last, so an
-    interrupted run is simply repeated. Returns (split, ok, error).
+    overwrite below folders ``split_key=…/split_label=…``, which repeat the split's
+    name, so the files hold every column in its order and type. The record — which
+    marks a split as done — comes last, so an interrupted run is simply repeated.
+    Returns (split, done, error, ok); ``done`` are the splits with a written record.
     """
     spark = vectors.sparkSession
     checked = cut_lineage(SM.check_vectors(SM.to_vectors(vectors)))
     todo = cut_lineage(pending_splits(checked, read_records(spark, f"{out}/records")))
     good = SM.eligible(todo.filter("ok"))
-    report = todo.select(
-        *SPLIT,
-        (F.col("ok") & (F.col("rows") >= SM.MIN_ROWS)).alias("done"),
-        F.when(~F.col("ok"), "vectors are ragged, empty or null")
-        .when(F.col("rows") < SM.MIN_ROWS, "too few rows")
-        .alias("error"),
-        F.coalesce(F.col("ok"), F.lit(False)).alias("ok"),
-    )
+    fine = F.coalesce(F.col("ok"), F.lit(False))
+
+    def report() -> DataFrame:
+        finished = read_records(spark, f"{out}/records").select(*SPLIT, F.lit(True).alias("_done")).distinct()
+        return join_keys(todo, finished, SPLIT, "left").select(
+            *SPLIT,
+            F.coalesce("_done", F.lit(False)).alias("done"),
+            F.when(~fine, "vectors are ragged, empty or null")
+            .when(F.col("rows") < SM.MIN_ROWS, "too few rows")
+            .when(F.col("_done").isNull(), "no rows were written")
+            .alias("error"),
+            fine.alias("ok"),
+        )
+
     if good.isEmpty():
-        return report
-    chosen = vectors.join(broadcast_if_small(good.select(*SPLIT)), list(SPLIT), "left_semi")
+        return report()
+    chosen = join_keys(vectors, broadcast_if_small(good.select(*SPLIT)), SPLIT, "left_semi")
     reduced = cut_lineage(reduce(chosen, labels, key, settings))
-    by_split = ["dataset_key", "sub_label"]
-    spread = reduced.repartitionByRange(*by_split, "row_id")
+    by_split = ["split_key", "split_label"]
+    spread = reduced.repartitionByRange(*SPLIT, "row_id").withColumns(dict(zip(by_split, map(F.col, SPLIT))))
     write_parquet(spread, f"{out}/reduced", partition_by=by_split, mode="overwrite")
     write_csv(spread, f"{out}/reduced_csv", enabled=csv, partition_by=by_split, mode="overwrite")
     write_json(reduction_record(reduced, good), f"{out}/records", mode="append")
-    return report
+    return report()

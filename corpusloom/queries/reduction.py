@@ -57,6 +57,34 @@ def knn_ivf(spark: SparkSession, d: str) -> DataFrame:
     return rounded(N.knn(vectors(spark, d), K, "cosine", "ivf", ("split",)), "distance")
 
 
+def knn_outlier(spark: SparkSession, d: str) -> DataFrame:
+    """One vector a million times as long as the others, which must not blur their distances."""
+    far = "CASE WHEN vec_id = 3 THEN 1e6D ELSE double(1 + vec_id % 7) END"
+    rows = table(spark, d, "embeddings").selectExpr(
+        "'all' AS split", "vec_id AS row_id", f"transform(embedding, x -> cast(x AS double) * {far}) AS embeddings"
+    )
+    return N.knn(rows, K, "euclidean", split=("split",)).drop("split").withColumn("distance", F.round("distance", 3))
+
+
+def knn_exact_default(spark: SparkSession, d: str) -> DataFrame:
+    """As many neighbours as a t-SNE layout asks for."""
+    return rounded(N.knn(vectors(spark, d), SM.MIN_TSNE_NEIGHBORS, "euclidean", split=("split",)), "distance")
+
+
+def knn_ivf_all_probes(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(N.knn_ivf(vectors(spark, d), K, "cosine", ("split",), cells=12, probes=12), "distance")
+
+
+def knn_ivf_complete(spark: SparkSession, d: str) -> DataFrame:
+    """Length of each list of the approximate search, and whether its ranks are 1, 2, ... without a gap."""
+    edges = N.knn(vectors(spark, d), SM.MIN_TSNE_NEIGHBORS, "cosine", "ivf", ("split",))
+    return edges.groupBy("row_id").agg(
+        F.count("*").alias("edges"),
+        F.countDistinct("neighbor").alias("neighbors"),
+        F.max("rank").cast("long").alias("last_rank"),
+    )
+
+
 def knn_per_split(spark: SparkSession, d: str) -> DataFrame:
     by_label = vectors(spark, d, "cast(label AS string)")
     return N.knn_exact(by_label, K, "cosine", ("split",)).withColumn("distance", F.round("distance", 6))
@@ -148,6 +176,23 @@ def reduced_labels(spark: SparkSession, d: str) -> DataFrame:
     return table_.selectExpr(*RR.LABEL_COLUMNS, "row_id", "vec_id", f"{all_nan} AS no_coordinates")
 
 
+def sampled_null_split(spark: SparkSession, d: str) -> DataFrame:
+    """Sampling and numbering where one split's name is null."""
+    rows = table(spark, d, "embeddings").selectExpr("nullif(label, 3) AS label", "vec_id")
+    sampled = SM.sample_split(rows, "vec_id", 20, SM.SEED, ("label",))
+    return SM.with_row_id(sampled, ("label",), ["vec_id"]).select("label", "vec_id", "row_id")
+
+
+def reduced_unlabelled(spark: SparkSession, d: str) -> DataFrame:
+    """The reduced table's labels where one split is named null and every second split has no label row."""
+    rows = split_vectors(spark, d).withColumn("sub_label", F.expr("nullif(sub_label, '3')"))
+    chosen = RR.select_points(rows, "vec_id", SETTINGS)
+    bare = chosen.select(*SM.SPLIT, "row_id")
+    off = {name: no_layout(bare, 3 if name.endswith("3d") else 2) for name in ("tsne_2d", "umap_2d", "tsne_3d", "umap_3d")}
+    labels = split_labels(spark, d).filter("int(sub_label) % 2 = 0").withColumn("category", F.lit("even"))
+    return RR.assemble(chosen, labels, off, extra=["vec_id"]).select(*RR.LABEL_COLUMNS, "row_id", "vec_id")
+
+
 def reduction_record(spark: SparkSession, d: str) -> DataFrame:
     """Records of a reduction capped at 20 points per split."""
     capped = RR.ReduceSettings(cap=20)
@@ -170,7 +215,7 @@ vec AS (
 )"""
 
 
-def knn_sql(metric: str, per_split: bool = False) -> str:
+def knn_sql(metric: str, per_split: bool = False, k: int = K) -> str:
     dist = "list_cosine_distance(a.v, b.v)" if metric == "cosine" else "list_distance(a.v, b.v)"
     same = "AND a.label = b.label" if per_split else ""
     return f"""{VEC_SQL},
@@ -178,7 +223,7 @@ knn AS (
   SELECT a.vec_id AS row_id, a.label, b.vec_id AS neighbor, {dist} AS distance,
          row_number() OVER (PARTITION BY a.vec_id ORDER BY {dist}, b.vec_id) AS rank
   FROM vec a JOIN vec b ON a.vec_id <> b.vec_id {same}
-  QUALIFY rank <= {K}
+  QUALIFY rank <= {k}
 ),
 near AS (
   SELECT row_id, list(neighbor ORDER BY rank) AS js, list(distance ORDER BY rank) AS ds FROM knn GROUP BY row_id
@@ -258,6 +303,51 @@ ranked AS (
   FROM tripled a JOIN tripled b ON a.id <> b.id
 )
 SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= {K}""",
+    ),
+    "knn_outlier": Query(
+        knn_outlier,
+        f"""WITH vec AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CASE WHEN vec_id = 3 THEN 1e6 ELSE 1 + vec_id % 7 END) AS v
+  FROM embeddings
+),
+ranked AS (
+  SELECT a.vec_id AS row_id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS distance,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
+  FROM vec a JOIN vec b ON a.vec_id <> b.vec_id
+)
+SELECT row_id, neighbor, round(distance, 3) AS distance, CAST(rank AS INTEGER) AS rank FROM ranked WHERE rank <= {K}""",
+    ),
+    "knn_exact_default": Query(
+        knn_exact_default,
+        f"""WITH {knn_sql("euclidean", k=SM.MIN_TSNE_NEIGHBORS)}
+SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",
+    ),
+    "knn_ivf_all_probes": Query(
+        knn_ivf_all_probes,
+        f"""WITH {knn_sql("cosine")} SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",
+    ),
+    "knn_ivf_complete": Query(
+        knn_ivf_complete,
+        f"""SELECT vec_id AS row_id, least({SM.MIN_TSNE_NEIGHBORS}, n - 1) AS edges, least({SM.MIN_TSNE_NEIGHBORS}, n - 1) AS neighbors,
+       least({SM.MIN_TSNE_NEIGHBORS}, n - 1) AS last_rank
+FROM embeddings, (SELECT count(*) AS n FROM embeddings)""",
+    ),
+    "sampled_null_split": Query(
+        sampled_null_split,
+        f"""WITH s AS (
+  SELECT nullif(label, 3) AS label, vec_id FROM embeddings
+  QUALIFY row_number() OVER (PARTITION BY nullif(label, 3) ORDER BY md5('{SM.SEED}:' || vec_id), vec_id) <= 20
+)
+SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS row_id FROM s""",
+    ),
+    "reduced_unlabelled": Query(
+        reduced_unlabelled,
+        """WITH v AS (SELECT CAST(nullif(label, 3) AS VARCHAR) AS sub_label, vec_id FROM embeddings)
+SELECT 'vectors' AS dataset_key, 'vectors' AS dataset_name, sub_label,
+       CASE WHEN CAST(sub_label AS INTEGER) % 2 = 0 THEN 'even' ELSE 'unknown' END AS category,
+       'unknown' AS text_strategy_template, '[]' AS text_strategy_fields,
+       row_number() OVER (PARTITION BY sub_label ORDER BY vec_id) - 1 AS row_id, vec_id
+FROM v QUALIFY count(*) OVER (PARTITION BY sub_label) >= 5""",
     ),
     "knn_per_split": Query(
         knn_per_split,

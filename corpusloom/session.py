@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +89,13 @@ class LoopState:
         return saved
 
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys of one name where null equals null, keeping the left side's key columns."""
+    renamed = {k: f"_right_{k}" for k in keys}
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()))
+    return left.join(right.withColumnsRenamed(renamed), same, how).drop(*renamed.values())
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only if counting shows at most ``max_rows`` rows.
 

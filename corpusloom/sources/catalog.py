@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import paths as P
+from corpusloom.session import join_keys
 
 # Status words and the exported column order.
 READY = "ready"
@@ -153,4 +154,4 @@ def estimate(cat: DataFrame, dim: int) -> DataFrame:
 
 def pending(cat: DataFrame, done: DataFrame, on: tuple[str, ...] = ("key",)) -> DataFrame:
     """Rows whose key has no finished output yet."""
-    return cat.join(done.select(*on).distinct(), list(on), "left_anti")
+    return join_keys(cat, done.select(*on).distinct(), on, "left_anti")

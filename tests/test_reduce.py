@@ -38,7 +38,8 @@ def test_run_writes_records_and_resumes(spark, tmp_path, vectors, labels):
     assert not report["ragged"]["ok"] and "ragged" in report["ragged"]["error"]
 
     reduced = spark.read.parquet(f"{out}/reduced")
-    assert set(reduced.columns) == {*RR.LABEL_COLUMNS, "row_id", *RR.COORDINATE_COLUMNS, "id"}
+    assert reduced.columns == [*RR.LABEL_COLUMNS, "row_id", *RR.COORDINATE_COLUMNS, "id", "split_key", "split_label"]
+    assert dict(reduced.dtypes)["sub_label"] == "string"
     counts = {r["sub_label"]: r["count"] for r in reduced.groupBy("sub_label").count().collect()}
     assert counts == {"one": 30, "two": 12}
     one = reduced.filter("sub_label = 'one'")
@@ -46,6 +47,8 @@ def test_run_writes_records_and_resumes(spark, tmp_path, vectors, labels):
     assert one.filter("NOT isnan(tsne_3d_x) OR isnan(tsne_2d_x) OR isnan(umap_2d_x) OR isnan(umap_3d_z)").isEmpty()
     assert os.path.isdir(f"{out}/reduced_csv")
 
+    assert {r[0] for r in reduced.select("sub_label").distinct().collect()} == {"one", "two"}
+
     record = {r["sub_label"]: r for r in RR.read_records(spark, f"{out}/records").collect()}
     assert record["one"]["num_rows"] == 30 and record["one"]["total_available"] == 40
     assert record["two"]["columns_2d_3d"] == RR.COORDINATE_COLUMNS
