@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from corpusloom.functions.text import is_blank, strip_text
 from corpusloom.operators.sampling import with_row_id
@@ -63,11 +64,15 @@ def project_preprocessed(
 def limit_records(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
     """The first ``n`` rows in ``order``; ``None`` means all.
 
-    Small limits merge per-partition tops. A large one would pull ``n`` rows
-    into one task, so it numbers range partitions and filters.
+    Rows that tie in ``order`` are told apart by their other columns, so the
+    choice is the same however it is made: small limits merge per-partition
+    tops, a large one, which would pull ``n`` rows into one task, numbers range
+    partitions and filters.
     """
     if n is None:
         return df
+    atomic = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType) and f.name not in order]
+    order = [*order, *atomic]
     if n <= TOPK_ROWS:
         return df.orderBy(*order).limit(n)
     return with_row_id(df, (), order, name="_record").filter(F.col("_record") < n).drop("_record")
@@ -87,7 +92,10 @@ def preprocess(
 
     Blank rows go before the join, so null keys never reach the shuffle. The
     limit counts surviving rows; the join keeps exactly one row for each.
+    Metadata without a row is an error: nothing could be looked up in it.
     """
+    if meta.isEmpty():
+        raise ValueError("the metadata has no rows")
     clean = drop_blank(content, key, text)
     if record_limit is not None:
         clean = limit_records(clean, record_limit, record_order or [key])

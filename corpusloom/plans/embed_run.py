@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.embed import BATCH_SIZE, EMBEDDING_DIM, MAX_SEQ_LENGTH, hash_embed, to_embeddings
 from corpusloom.plans.reduce_run import read_records
 from corpusloom.sources.catalog import candidates, pending
+from corpusloom.sources.shards import limit_shards, list_files, shard_filter
 from corpusloom.sources.sinks import ROWS_PER_SHARD, write_json, write_parquet
 
 RECORD_SCHEMA = (
@@ -38,16 +39,17 @@ class EmbedSettings:
     max_seq_length: int = MAX_SEQ_LENGTH
     batch_size: int = BATCH_SIZE
     rows_per_shard: int = ROWS_PER_SHARD
+    file_limit: int | None = None
 
 
 def default_embedder(s: EmbedSettings) -> Embedder:
     return lambda df: hash_embed(df, s.key, s.text, s.dim, s.max_seq_length)
 
 
-def run_record(spark: SparkSession, s: EmbedSettings, row: Row, docs: int, elapsed: float) -> DataFrame:
+def run_record(spark: SparkSession, s: EmbedSettings, key: str, files: int, docs: int, elapsed: float) -> DataFrame:
     """The record of one finished dataset: counts, time (2 dp), docs/s (1 dp)."""
     base = spark.createDataFrame(
-        [(row["key"], s.model_id, s.dim, s.max_seq_length, s.batch_size, row["shards"], docs, elapsed)],
+        [(key, s.model_id, s.dim, s.max_seq_length, s.batch_size, files, docs, elapsed)],
         "dataset_key string, model_id string, embedding_dim int, max_seq_length int, batch_size int, "
         "num_input_files long, num_documents long, elapsed double",
     )
@@ -61,6 +63,18 @@ def run_record(spark: SparkSession, s: EmbedSettings, row: Row, docs: int, elaps
     )
 
 
+def listed_shards(spark: SparkSession, folder: str, limit: int | None = None) -> list[str]:
+    """Paths of a dataset's shards by the embed step's listing rule, the first ``limit`` by name of each folder.
+
+    One path per shard of one dataset, as many as Spark's reader lists itself.
+    """
+    shards = limit_shards(shard_filter(list_files(spark, folder), "embed"), limit)
+    paths = [r["path"] for r in shards.select("path").orderBy("path").collect()]
+    if not paths:
+        raise FileNotFoundError(f"no shards in {folder}")
+    return paths
+
+
 def embed_dataset(
     spark: SparkSession,
     row: Row,
@@ -71,17 +85,23 @@ def embed_dataset(
 ) -> None:
     """Embed one catalog row and append its record.
 
-    Documents are counted while the vectors are written. The record is appended
-    after the write has committed, so an interrupted dataset is done again.
+    Only listed shards are read, whatever else lies in the folder. Documents are
+    counted while the vectors are written. The record is appended after the write
+    has committed, so an interrupted dataset is done again.
     """
-    docs = source(row) if source else spark.read.parquet(row["preprocessed"])
+    files = row["shards"]
+    if source:
+        docs = source(row)
+    else:
+        paths = listed_shards(spark, row["preprocessed"], settings.file_limit)
+        docs, files = spark.read.parquet(*paths), len(paths)
     vectors = to_embeddings((embedder or default_embedder(settings))(docs), settings.dim)
     seen = Observation()
     start = time.perf_counter()
     counted = vectors.observe(seen, F.count(F.lit(1)).alias("docs"))
     write_parquet(counted, row["embeddings_out"], rows_per_shard=settings.rows_per_shard, mode="overwrite")
     elapsed = time.perf_counter() - start
-    record = run_record(spark, settings, row, seen.get["docs"], elapsed)
+    record = run_record(spark, settings, row["key"], files, seen.get["docs"], elapsed)
     with _APPEND:
         write_json(record, records, mode="append")
 

@@ -27,7 +27,7 @@ def content(spark: SparkSession, d: str) -> DataFrame:
         F.lit("blank").alias("source_shard"),
     )
     keyless = table(spark, d, "conversations").select(
-        F.lit(None).cast("long").alias("doc_id"), F.col("text").alias("content"), F.col("role").alias("source_shard")
+        F.when(F.col("turn") < 0, F.col("conv_id")).alias("doc_id"), F.col("text").alias("content"), F.col("role").alias("source_shard")
     )
     return docs.unionByName(blank).unionByName(keyless)
 
@@ -52,7 +52,7 @@ content AS (
   SELECT doc_id, CASE WHEN quality = 1 THEN chr(12288) || chr(10) || ' ' WHEN toxic = 1 THEN '' END, 'blank'
   FROM labels
   UNION ALL
-  SELECT CAST(NULL AS BIGINT), text, role FROM conversations
+  SELECT CASE WHEN turn < 0 THEN conv_id END, text, role FROM conversations
 )"""
 META_SQL = """
 meta AS (

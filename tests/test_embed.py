@@ -57,3 +57,18 @@ def test_run_all_isolates_failures_and_resumes(spark, tmp_path, sf):
     second = ER.run_all(cat, records, s)
     assert [(r["key"], r["ok"]) for r in second.collect()] == [("b", True)]
     assert ER.run_all(cat, records, s).isEmpty()
+
+
+def test_only_listed_shards_are_embedded(spark, tmp_path):
+    folder = tmp_path / "d"
+    for name, ids in (("part-00000", range(5)), ("part-00001", range(5, 8)), ("leftover", range(100, 104))):
+        spark.createDataFrame([(i, "x y") for i in ids], "id long, text string").coalesce(1).write.parquet(str(tmp_path / name))
+        (file,) = (tmp_path / name).glob("*.parquet")
+        folder.mkdir(exist_ok=True)
+        (folder / f"{name}.parquet").write_bytes(file.read_bytes())
+    cat = spark.createDataFrame([("d", str(folder), str(tmp_path / "out"), 2)], "key string, preprocessed string, embeddings_out string, shards long")
+    for limit, docs, files in ((None, 8, 2), (1, 5, 1)):
+        records = str(tmp_path / f"records{limit}")
+        assert ER.all_succeeded(ER.run_all(cat, records, ER.EmbedSettings(dim=8, file_limit=limit)))
+        record = spark.read.schema(ER.RECORD_SCHEMA).json(records).collect()[0]
+        assert (record["num_documents"], record["num_input_files"]) == (docs, files)
