@@ -18,9 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    from corpusloom.queries import catalog, embedding, preprocess, reduction, sampling
+    from corpusloom.queries import catalog, embedding, preprocess, reduction, runs, sampling
 
     merged: dict[str, Query] = {}
-    for module in (preprocess, catalog, embedding, sampling, reduction):
+    for module in (preprocess, catalog, embedding, sampling, reduction, runs):
         merged.update(module.QUERIES)
     return merged
