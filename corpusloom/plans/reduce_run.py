@@ -16,7 +16,7 @@ from corpusloom.operators.neighbors import knn
 from corpusloom.operators.pca import pca_init
 from corpusloom.operators.sampling import SPLIT
 from corpusloom.operators.tsne import ITERATIONS, no_layout, tsne_layout
-from corpusloom.operators.umap import umap_layout
+from corpusloom.operators.umap import EPOCHS, umap_layout
 from corpusloom.session import broadcast_if_small, cut_lineage, join_keys
 from corpusloom.sources.catalog import pending
 from corpusloom.sources.splits import NO_FIELDS, UNKNOWN
@@ -60,7 +60,7 @@ class ReduceSettings:
     seed: int = SM.SEED
     tsne_3d: bool = True
     iterations: int = ITERATIONS
-    epochs: int | None = None
+    epochs: int = EPOCHS
     method: str = "exact"
 
 
