@@ -270,7 +270,8 @@ def similarity_classes(
     chosen = cut_lineage(shared.join(sizes, "set_key"))  # at most one entry a tree in `shared`
 
     # The whole sets of candidates only, computed again from one text of each set.
-    wanted = broadcast_if_small(chosen.select("text_key", "set_key", "copies", "shared"))
+    # Up to 100,000 rows of at most TREES entries, some 50 MB, are broadcast; more are joined by a shuffle.
+    wanted = broadcast_if_small(chosen.select("text_key", "set_key", "copies", "shared"), 100_000)
     texts = rows.join(wanted, "text_key").select("text", "set_key", "copies", "shared")
     kind = "set_key long, copies long, shared array<struct<bucket: long, blocks: int>>, shingles binary"
     sets = texts.mapInArrow(_sets, kind)
