@@ -17,7 +17,7 @@ from corpusloom.operators.pca import pca_init
 from corpusloom.operators.sampling import SPLIT
 from corpusloom.operators.tsne import ITERATIONS, no_layout, tsne_layout
 from corpusloom.operators.umap import EPOCHS, umap_layout
-from corpusloom.session import broadcast_if_small, cut_lineage, join_keys
+from corpusloom.session import broadcast_if_small, cut_lineage, join_keys, scratch_tables
 from corpusloom.sources.catalog import pending
 from corpusloom.sources.splits import NO_FIELDS, UNKNOWN
 from corpusloom.sources.sinks import write_csv, write_json, write_parquet
@@ -169,9 +169,18 @@ def run_reduce(
     overwrite below folders ``split_key=…/split_label=…``, which repeat the split's
     name, so the files hold every column in its order and type. The record — which
     marks a split as done — comes last, so an interrupted run is simply repeated.
-    Returns (split, done, error, ok); ``done`` are the splits with a written record.
+    Returns (split, done, error, ok), a row for each split; ``done`` are those with
+    a written record. Intermediate tables are deleted at the end, also of a failed run.
     """
     spark = vectors.sparkSession
+    with scratch_tables(spark):
+        report = _reduce_pending(spark, vectors, labels, key, out, settings, csv)
+        return spark.createDataFrame(report.collect(), report.schema)
+
+
+def _reduce_pending(
+    spark: SparkSession, vectors: DataFrame, labels: DataFrame, key: str, out: str, settings: ReduceSettings, csv: bool
+) -> DataFrame:
     checked = cut_lineage(SM.check_vectors(SM.to_vectors(vectors)))
     todo = cut_lineage(pending_splits(checked, read_records(spark, f"{out}/records")))
     good = SM.eligible(todo.filter("ok"))

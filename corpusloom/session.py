@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -54,6 +55,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete every table that ``cut_lineage`` writes inside the block when it ends.
+
+    For runs that write their results elsewhere: nothing that leaves the block
+    may still read from one of its tables.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def _new_table_path(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
 
@@ -68,6 +94,8 @@ def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = path or _new_table_path(spark)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -83,8 +111,7 @@ class LoopState:
         path = _new_table_path(self._spark)
         saved = cut_lineage(df, path)
         if self._path:
-            old = self._spark._jvm.org.apache.hadoop.fs.Path(self._path)
-            old.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(old, True)
+            _delete(self._spark, self._path)
         self._path = path
         return saved
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.plans import reduce_run as RR
+from corpusloom.session import ensure_checkpoint_dir
 
 SETTINGS = RR.ReduceSettings(cap=30, iterations=2, epochs=2, tsne_3d=False)
 
@@ -32,7 +33,10 @@ def labels(vectors):
 
 def test_run_writes_records_and_resumes(spark, tmp_path, vectors, labels):
     out = str(tmp_path / "out")
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     report = {r["sub_label"]: r for r in RR.run_reduce(vectors, labels, "id", out, SETTINGS).collect()}
+    assert set(os.listdir(scratch)) == before
     assert report["one"]["done"] and report["two"]["done"]
     assert not report["few"]["done"] and report["few"]["ok"]
     assert not report["ragged"]["ok"] and "ragged" in report["ragged"]["error"]
