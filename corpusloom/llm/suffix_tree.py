@@ -18,9 +18,9 @@ nothing bounds, stay a table and are joined.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import worker_memo
 from corpusloom.session import cut_lineage
 
 #: Longest context, smallest share of a string that takes part, and its smallest count.
@@ -51,12 +50,16 @@ class Tree(NamedTuple):
     """Frequent words and strings. ``keys[k]`` are the sorted keys of strings of k + 2 words:
     the number of the string without its last word, and that word."""
 
-    name: str
     words: list[bytes]
     counts: np.ndarray
     keys: list[np.ndarray]
     string_counts: list[np.ndarray]
 
+    @property
+    def end(self) -> int:
+        """Number of the end; -2 where it isn't frequent, and so no context either."""
+        return self.words.index(END) if END in self.words else -2
+
 
 class Scores(NamedTuple):
     """Log10 probabilities: of frequent words at the root; of each string's last word in its context;
@@ -68,12 +71,11 @@ class Scores(NamedTuple):
     kept: list[np.ndarray]
 
 
-def _numbers(tree: Tree) -> dict[bytes, int]:
-    memo = worker_memo("suffix_tree")
-    if tree.name not in memo:
-        memo.clear()
-        memo[tree.name] = {w: i for i, w in enumerate(tree.words)}
-    return memo[tree.name]
+class Numbers(dict):
+    """Numbers of frequent words, -1 for any other."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -103,13 +105,6 @@ def _context(strings: np.ndarray, ids: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
-def _coded(texts: list[str | None], number: dict[bytes, int]) -> tuple[np.ndarray, list[list[bytes]]]:
-    tokens = [tokens_of(t) for t in texts]
-    get = number.get
-    size = sum(map(len, tokens))
-    return np.fromiter((get(w, -1) for ws in tokens for w in ws), np.int64, size), tokens
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
@@ -138,14 +133,49 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def count_strings(texts: DataFrame, tree: Tree) -> DataFrame:
-    """``key, c`` of the strings one word longer than the tree's longest whose parts are all frequent."""
+def code_texts(rows: DataFrame, tree: Tree) -> DataFrame:
+    """Texts as numbers of frequent words, and the other words with their counts: ``key, held_out, ids, rare``.
+
+    ``rows`` has ``key, held_out, text``.
+    """
+    key = rows.schema["key"].dataType.simpleString()
+    schema = f"key {key}, held_out boolean, ids array<int>, rare array<struct<word: binary, n: int>>"
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = Numbers((w, i) for i, w in enumerate(tree.words))
+        for part in _slices(batches):
+            tokens = [tokens_of(t) for t in part.column(2).to_pylist()]
+            sizes = np.array([len(t) for t in tokens])
+            flat = list(chain.from_iterable(tokens))
+            ids = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
+            rest = ids < 0
+            owner = np.repeat(np.arange(len(sizes)), sizes)[rest]
+            rare = Counter(zip(owner.tolist(), compress(flat, rest.tolist())))  # in the order of texts
+            first = np.searchsorted([i for i, _ in rare], np.arange(len(sizes) + 1))
+            words = pa.array([w for _, w in rare], pa.binary())
+            counted = pa.StructArray.from_arrays([words, pa.array(rare.values(), pa.int32())], ["word", "n"])
+            ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+            lists = [
+                pa.ListArray.from_arrays(ends, pa.array(ids)),
+                pa.ListArray.from_arrays(pa.array(first, pa.int32()), counted),
+            ]
+            names = ["key", "held_out", "ids", "rare"]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names=names)
+
+    return rows.mapInArrow(code, schema)
+
+
+def count_strings(coded: DataFrame, tree: Tree) -> DataFrame:
+    """``key, c`` of the strings one word longer than the tree's longest whose parts are all frequent.
+
+    ``coded`` has the one column ``ids``.
+    """
+    end, tree = tree.end, tree._replace(words=[])  # tasks need numbers only
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, size = _numbers(tree), [], 0
-        end = number.get(END, -2)
+        held, size = [], 0
         for part in _slices(batches):
-            ids, _ = _coded(part.column(0).to_pylist(), number)
+            ids = part.column(0).flatten().to_numpy().astype(np.int64)
             found = _strings(ids, end, tree)
             before = _context(found[-1], ids, end)
             # The string without its first word must be frequent too.
@@ -171,7 +201,7 @@ def count_strings(texts: DataFrame, tree: Tree) -> DataFrame:
     def _rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], names=["key", "c"])
 
-    return texts.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return coded.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
 
 def _suffixes(tree: Tree) -> list[np.ndarray]:
@@ -218,21 +248,38 @@ def weigh(tree: Tree, total: int, different: int) -> Scores:
     return Scores(np.log10(root), [np.log10(x) for x in of[1:]], [np.log10(x) for x in rests], kept)
 
 
-def train(texts: DataFrame, depth: int = DEPTH, least: float = LEAST) -> tuple[Tree, Scores, DataFrame, int, int]:
-    """Tree and scores of a one-column table of texts, its word counts, and the numbers of tokens and different tokens."""
+class Words(NamedTuple):
+    """What a corpus's words say: the tree's frequent ones, the counts of the others, all and different tokens."""
+
+    tree: Tree
+    rare: DataFrame
+    total: int
+    different: int
+    fewest: int
+
+
+def learn_words(texts: DataFrame, least: float = LEAST) -> Words:
+    """Count the words of a one-column table of texts."""
     words = cut_lineage(count_words(texts))
     total, different = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
     fewest = max(FEWEST, math.ceil(least * total))
-    # Strings with a share of at least `least`: 1 / least of each length at most.
+    # Words with a share of at least `least`: 1 / least at most.
     some = words.where(F.col("c") >= fewest).toArrow().sort_by("word")
-    tree = Tree(uuid.uuid4().hex, some["word"].to_pylist(), some["c"].to_numpy(), [], [])
+    tree = Tree(some["word"].to_pylist(), some["c"].to_numpy(), [], [])
+    return Words(tree, words.where(F.col("c") < fewest), total, different, fewest)
+
+
+def grow(words: Words, coded: DataFrame, depth: int = DEPTH) -> tuple[Tree, Scores]:
+    """The tree of a table of coded texts, length by length, and its distributions."""
+    tree = words.tree
     for _ in range(depth):
-        found = count_strings(texts, tree).where(F.col("c") >= fewest).toArrow().sort_by("key")
+        # 1 / least strings of each length at most.
+        found = count_strings(coded.select("ids"), tree).where(F.col("c") >= words.fewest).toArrow().sort_by("key")
         keys, counts = found["key"].to_numpy(), found["c"].to_numpy()
         tree = tree._replace(keys=[*tree.keys, keys], string_counts=[*tree.string_counts, counts])
         if not len(keys):
             break
-    return tree, weigh(tree, total, different), words.where(F.col("c") < fewest), total, different
+    return tree, weigh(tree, words.total, words.different)
 
 
 def _word_scores(ids: np.ndarray, end: int, tree: Tree, scores: Scores) -> np.ndarray:
@@ -267,44 +314,39 @@ def score_documents(
     rows stay, one result each; other columns take no part. Without training rows
     every token has probability 1 over the single unknown word.
 
-    Scoring reads the texts once; what it can't know, the counts of rare words, is
+    Texts are read twice, to count words and to code them as numbers; all further
+    passes read numbers. What these can't tell, the counts of rare words, is
     looked up by a join of one row per document and rare word with the table of
     counts, summed before and after the shuffle.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
-    tree, scores, rare_counts, total, different = train(rows.where("NOT held_out").select("text"), depth, least)
-    norm = total + 0.1 * (different + 1)
+    words = learn_words(rows.where("NOT held_out").select("text"), least)
+    total, norm = words.total, words.total + 0.1 * (words.different + 1)
+    # Numbered and written in one go: the numbers hold from here on, and texts aren't split into words again.
+    coded = cut_lineage(code_texts(rows, words.tree).withColumn("row", F.monotonically_increasing_id()))
+    tree, scores = grow(words, coded.where("NOT held_out"), depth)
+    end, tree = tree.end, tree._replace(words=[])  # tasks need numbers only
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = _numbers(tree)
-        end = number.get(END, -2)
         for part in _slices(batches):
-            ids, tokens = _coded(part.column(2).to_pylist(), number)
-            sizes = np.array([len(t) for t in tokens])
+            lists = part.column(3)
+            ids = lists.flatten().to_numpy().astype(np.int64)
+            sizes = lists.value_lengths().to_numpy()
             starts = np.cumsum(sizes) - sizes
             known = ids >= 0
             base = np.where(known, scores.root[ids] if len(scores.root) else 0.0, 0.0)
-            rare = []
-            for at, words in zip(starts, tokens):
-                rare.append(Counter(words[i] for i in np.flatnonzero(~known[at : at + len(words)])))
-            sums = [np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, _word_scores(ids, end, tree, scores))]
-            listed = [[{"word": w, "n": n} for w, n in r.items()] for r in rare]
-            arrays = [part.column(0), part.column(1), pa.array(sizes), *map(pa.array, sums), pa.array(listed, kind)]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
-    names = ["key", "held_out", "n_tokens", "known", "base", "own", "rare"]
-    id_kind = docs.schema[key].dataType.simpleString()
-    schema = (
-        f"key {id_kind}, held_out boolean, n_tokens long, known long, base double, own double, "
-        "rare array<struct<word: binary, n: int>>"
-    )
-    # Numbered and written in one go: the numbers hold from here on.
-    scored = cut_lineage(rows.mapInArrow(score, schema).withColumn("row", F.monotonically_increasing_id()))
-    looked = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(rare_counts, "word")
+            own = _word_scores(ids, end, tree, scores)
+            sums = [pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), base, own)]
+            arrays = [*part.columns[:3], pa.array(sizes.astype(np.int64)), *sums]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "held_out", "n_tokens", "known", "base", "own"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    schema = f"row long, key {kind}, held_out boolean, n_tokens long, known long, base double, own double"
+    scored = coded.select("row", "key", "held_out", "ids").mapInArrow(score, schema)
+    looked = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words.rare, "word")
     share = F.log10((F.col("c") + 0.1) / norm) * F.col("n")
     found = looked.groupBy("row").agg(F.sum("n").alias("found"), F.sum(share).alias("share"))
-    both = scored.drop("rare").join(found, "row", "left").na.fill({"found": 0, "share": 0.0})
+    both = scored.join(found, "row", "left").na.fill({"found": 0, "share": 0.0})
     unknown = (F.col("n_tokens") - F.col("known") - F.col("found")) * math.log10(0.1 / norm)
     return both.select(
         F.col("key").alias(key), "held_out", "n_tokens", (F.col("known") + F.col("found")).alias("n_known"),

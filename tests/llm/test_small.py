@@ -194,8 +194,9 @@ def test_suffix_tree_is_a_distribution(spark):
     assert sum(r["score"] for r in found if not r["held_out"]) > sum(r["base_score"] for r in found if not r["held_out"])
 
     # After any two words the probabilities of all words and of the unknown one add up to 1.
-    train = df.where(~suffix_tree.held_out(df["doc_id"])).select("text")
-    tree, scores, rare, total, different = suffix_tree.train(train)
+    train = df.where(~suffix_tree.held_out(df["doc_id"])).selectExpr("doc_id AS key", "false AS held_out", "text")
+    learned_words = suffix_tree.learn_words(train.select("text"))
+    tree, scores = suffix_tree.grow(learned_words, suffix_tree.code_texts(train, learned_words.tree))
     assert any(k.any() for k in scores.kept)
     number, norm = {w: i for i, w in enumerate(tree.words)}, n + 0.1 * (v + 1)
     for first in ("the cat", "a dog", "y the", "unseen x"):
