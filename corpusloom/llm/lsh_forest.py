@@ -32,7 +32,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEEPEST, RECALL = 24, 16, 0.9999
 #: Members, and shingles of all members, of a block of a bucket.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 500_000
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 300_000
 #: Columns of a matrix product.
 CHUNK = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
