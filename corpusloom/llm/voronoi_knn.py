@@ -2,7 +2,7 @@
 
 A few pivots cut space into cells. Queries are grouped by their nearest pivot,
 data vectors too, and each group is summed up by a few numbers: radius, largest
-norm, and the smallest distances to the pivot. From the summaries alone follows,
+norm, and the smallest distances of different ids to the pivot. From the summaries alone follows,
 for each group of queries, a score that its k-th best candidate reaches at least;
 a data vector is copied to a group only if its own distance to its pivot allows
 such a score. Groups are then solved one by one, exactly.
@@ -56,8 +56,9 @@ def _needs(cells: list, pivots: np.ndarray, k: int):
 
     A query is its cell's pivot plus at most the radius, a data vector its pivot
     plus ``far``: their product differs from the pivots' product by no more than
-    radius * |pivot| + norm * far. The k + 1 best lower bounds over all cells (one
-    candidate may be the query itself) give what the k-th best score reaches.
+    radius * |pivot| + norm * far. The lower bounds of the k + 1 best ids over all
+    cells (one may be the query's own) give what the k-th best score reaches; an id
+    counts once, with its best bound, however many rows have it.
     """
     norms, products = np.sqrt((pivots**2).sum(1)), pivots @ pivots.T
 
@@ -65,14 +66,12 @@ def _needs(cells: list, pivots: np.ndarray, k: int):
         for b in batches:
             out = []
             for g in b.itertuples():
-                at_least = sorted(
-                    (
-                        products[g.cell, c] - g.radius * norms[c] - g.norm * far
-                        for c, nearest in cells
-                        for far in nearest
-                    ),
-                    reverse=True,
-                )
+                bound: dict = {}
+                for c, nearest in cells:
+                    for far, i in nearest:
+                        low = products[g.cell, c] - g.radius * norms[c] - g.norm * far
+                        bound[i] = max(bound.get(i, -np.inf), low)
+                at_least = sorted(bound.values(), reverse=True)
                 reach = at_least[k] - 1e-6 * (1 + abs(at_least[k])) if len(at_least) > k else -np.inf
                 for c, _ in cells:
                     gap = reach - products[g.cell, c] - g.radius * norms[c]
@@ -166,11 +165,13 @@ def top_products(
 
     small = Window.partitionBy("cell").orderBy("far", "id")
     cells = [
-        (r["cell"], r["nearest"])
-        for r in located.withColumn("n", F.row_number().over(small))
+        (r["cell"], [(x["far"], x["id"]) for x in r["nearest"]])
+        for r in located.groupBy("cell", "id")
+        .agg(F.min("far").alias("far"))
+        .withColumn("n", F.row_number().over(small))
         .where(f"n <= {k + 1}")
         .groupBy("cell")
-        .agg(F.collect_list("far").alias("nearest"))
+        .agg(F.collect_list(F.struct("far", "id")).alias("nearest"))
         .collect()
     ]
     summary = queries.groupBy("group", "cell").agg(F.max("far").alias("radius"), F.max("norm").alias("norm"))

@@ -241,6 +241,18 @@ def test_top_products(spark, settings):
     assert sorted((r["query_id"], r["rank"]) for r in few) == [(0, 1), (0, 2)]
 
 
+def test_top_products_of_an_id_with_many_copies(spark):
+    # All rows are pivots, so bounds are exact; copies of one id must not stand in for other ids.
+    vectors = [(0, [1.0, 0.0])] + [(1, [9.0, 0.0])] * 8 + [(i, [9.0 - i, float(i)]) for i in range(2, 8)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    found = voronoi_knn.top_products(df, df["vec_id"] == 0).collect()
+    want = [(0, n + 1, i, 65536 * (9 if i == 1 else 9 - i)) for n, i in enumerate(range(1, 6))]
+    assert sorted(tuple(r) for r in found) == want
+    # Copies of the query's own id take no places either.
+    own = spark.createDataFrame([(0, [9.0, 0.0])] * 8 + vectors, "vec_id long, embedding array<double>")
+    assert {(r["rank"], r["vec_id"]) for r in voronoi_knn.top_products(own, own["vec_id"] == 0).collect()} == {(n, n) for n in range(1, 6)}
+
+
 # ---- URLs
 
 
