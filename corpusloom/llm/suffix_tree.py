@@ -1,22 +1,25 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-The tree's nodes are contexts of one to ``depth`` words. A string of words takes
-part only if its share of all training tokens is at least ``least``, so there are
-at most 1 / least of each length, whatever the corpus. Of these a context is kept
-if its next-word distribution diverges from its suffix's by more than its entries
-cost. Distributions are smoothed: frequent next words have their discounted
-share, all others what is left, in proportion to the suffix's distribution, down
-to the root, which covers every word. A word is scored from the longest kept
-context in front of it.
-
-Counts are gathered from the whole corpus, one pass for each length, combined in
-the tasks before they are shuffled. The frequent strings, bounded as above, make
-the model that travels to the tasks; the root's counts of all other words, which
-nothing bounds, stay a table and are joined.
+The tree's nodes are contexts of one to ``depth`` words. Every string of words
+seen ``fewest`` times takes part, however large the corpus; of these a context is
+kept if its next-word distribution diverges from its suffix's by more than its
+entries cost. Distributions are smoothed: repeated next words have their
+discounted share, all others what is left, in proportion to the suffix's
+distribution, down to the root, which covers every word. A word is scored from
+the longest kept context in front of it.
+
+Strings are tables, one for each length, named by 64-bit hashes, and grow with
+the corpus. A word's score is the root's and, for each string that ends at it,
+what the string changes of its suffix's score; so a text's score is a sum over
+its strings, which a join looks up. What travels to the tasks only saves work:
+the numbers of common words, and bitmaps of which strings are worth a look.
+
+``grow`` and ``weigh`` make the same tree in memory, for small corpora.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -30,12 +33,16 @@ from pyspark.sql import functions as F
 
 from corpusloom.session import cut_lineage
 
-#: Longest context, smallest share of a string that takes part, and its smallest count.
-DEPTH, LEAST, FEWEST = 3, 1e-6, 2
+#: Longest context, and smallest count of a string that takes part.
+DEPTH, FEWEST = 3, 2
+#: Share of all tokens from which tasks hold a word's count themselves, instead of joining it: 1 / COMMON words at most.
+COMMON = 1e-6
+#: Bits of a bitmap for each of its strings, and at most. Fuller bitmaps let more strings pass in vain.
+MARK_BITS, MOST_BITS = 8, 1 << 28
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
 DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
-SHIFT = 20  # bits of a word's number in a string's key; 2**20 * LEAST > 1
+SHIFT = 31  # bits of a word's number in a string's key in memory
 SLICE = 256
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
@@ -258,22 +265,19 @@ class Words(NamedTuple):
     fewest: int
 
 
-def learn_words(texts: DataFrame, least: float = LEAST) -> Words:
+def learn_words(texts: DataFrame, fewest: int = FEWEST) -> Words:
     """Count the words of a one-column table of texts."""
     words = cut_lineage(count_words(texts))
     total, different = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
-    fewest = max(FEWEST, math.ceil(least * total))
-    # Words with a share of at least `least`: 1 / least at most.
     some = words.where(F.col("c") >= fewest).toArrow().sort_by("word")
     tree = Tree(some["word"].to_pylist(), some["c"].to_numpy(), [], [])
     return Words(tree, words.where(F.col("c") < fewest), total, different, fewest)
 
 
 def grow(words: Words, coded: DataFrame, depth: int = DEPTH) -> tuple[Tree, Scores]:
-    """The tree of a table of coded texts, length by length, and its distributions."""
+    """The tree of a table of coded texts, length by length, and its distributions, in memory."""
     tree = words.tree
     for _ in range(depth):
-        # 1 / least strings of each length at most.
         found = count_strings(coded.select("ids"), tree).where(F.col("c") >= words.fewest).toArrow().sort_by("key")
         keys, counts = found["key"].to_numpy(), found["c"].to_numpy()
         tree = tree._replace(keys=[*tree.keys, keys], string_counts=[*tree.string_counts, counts])
@@ -305,8 +309,165 @@ def held_out(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 10 == 0
 
 
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(x)
+    for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """What ``xxhash64(first, second)`` is in Spark, of two arrays of longs."""
+
+    def turn(x: np.ndarray, n: int) -> np.ndarray:
+        return (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+
+    h = np.full(len(first), 42, np.uint64)
+    for x in (first, second):
+        h = h + _P5 + np.uint64(8)
+        h ^= turn(x.astype(np.uint64) * _P2, 31) * _P1
+        h = turn(h, 27) * _P1 + _P4
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        h ^= h >> np.uint64(32)
+    return h.astype(np.int64)
+
+
+class Keys(dict):
+    """Numbers of common words; of any other a negative 64-bit hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
+
+
+class Marks(NamedTuple):
+    """A bitmap that has every string of a table, and some others."""
+
+    bits: np.ndarray
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys & (8 * len(self.bits) - 1)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def mark(keys: DataFrame) -> Marks:
+    """Bitmap of the column ``key``; its size is bounded, and decides about work only."""
+    size = min(MOST_BITS, 1 << max(20, (MARK_BITS * keys.count()).bit_length()))
+    at = keys.select(F.col("key").bitwiseAND(F.lit(size - 1)).alias("at"))
+    blocks = at.groupBy(F.shiftright("at", 15).alias("block")).agg(
+        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")
+    )
+    bits = np.zeros((size >> 15, 1 << 12), np.uint8)
+    for r in blocks.collect():
+        bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return Marks(bits.reshape(-1))
+
+
+def _all_strings(ids: np.ndarray, end: int, longest: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For 2, 3, ... words: the places where a string of so many ends, its key, its context's and its suffix's."""
+    found, key, there = [], ids, np.ones(len(ids), bool)
+    follows = np.append(False, ids[:-1] != end)
+    for _ in range(longest - 1):
+        there = there & follows & np.append(False, there[:-1])
+        at = np.flatnonzero(there)
+        context, suffix = key[at - 1], key[at]
+        key = np.zeros(len(ids), np.int64)
+        key[at] = pair_keys(context, suffix)
+        found.append((at, key[at], context, suffix))
+    return found
+
+
+def count_pairs(coded: DataFrame, end: int, length: int, shorter: Marks | None) -> DataFrame:
+    """``context, suffix, c`` of the strings of ``length`` words; where given, only if ``shorter`` has both parts.
+
+    ``coded`` has the one column ``ids``.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for part in _slices(batches):
+            _, key, context, suffix = _all_strings(part.column(0).flatten().to_numpy(), end, length)[-1]
+            if shorter:
+                ok = shorter.has(context) & shorter.has(suffix)
+                key, context, suffix = key[ok], context[ok], suffix[ok]
+            held.append((key, context, suffix, np.ones(len(key), np.int64)))
+            size += len(key)
+            if size > HELD:
+                yield _rows(held)
+                held, size = [], 0
+        if held:
+            yield _rows(held)
+
+    def _rows(held: list) -> pa.RecordBatch:
+        key, context, suffix, n = (np.concatenate(x) for x in zip(*held))
+        _, first, c = np.unique(key, return_index=True, return_counts=True)
+        columns = [pa.array(x) for x in (context[first], suffix[first], c.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["context", "suffix", "c"])
+
+    counted = coded.mapInArrow(count, "context long, suffix long, c long")
+    return counted.groupBy("context", "suffix").agg(F.sum("c").alias("c"))
+
+
+def grow_tables(words: DataFrame, coded: DataFrame, end: int, norm: float, depth: int, fewest: int) -> DataFrame:
+    """``key, change``: by how much each string changes the log10 score of what its suffix says, where it does.
+
+    ``words`` has ``key, c``, ``coded`` the one column ``ids``. A kept context
+    takes part itself, with the log10 of the rest that it leaves to its suffix;
+    a string in a kept context with what it adds to that.
+    """
+    tables, marks = [], None
+    for k in range(depth):
+        found = count_pairs(coded, end, k + 2, marks).where(F.col("c") >= fewest)
+        tables.append(cut_lineage(found.withColumn("key", F.xxhash64("context", "suffix"))))
+        if k + 1 < depth:
+            marks = mark(tables[-1])
+
+    def joined(strings: DataFrame, parents: DataFrame) -> DataFrame:
+        return strings.join(parents.select(F.col("key").alias("suffix"), F.col("p").alias("parent")), "suffix")
+
+    def left(p: str):
+        return F.greatest(1 - F.sum(p), F.lit(1e-12))
+
+    root = words.select("key", ((F.col("c") + 0.1) / norm).alias("p"))
+    # The divergence tests, each against the shorter contexts that have passed theirs.
+    of, strings, kept = root, [], []
+    counts = [words, *tables]
+    for k, table in enumerate(tables):
+        whole = counts[k].select(F.col("key").alias("context"), F.col("c").alias("whole"))
+        own = table.join(whole, "context").withColumn("own", (F.col("c") - DISCOUNT) / F.col("whole"))
+        own = cut_lineage(joined(own.select("key", "context", "suffix", "whole", "own"), of))
+        tests = own.groupBy("context").agg(
+            F.first("whole").alias("whole"), F.count("*").alias("n"), left("own").alias("left"), left("parent").alias("parent_left"),
+            F.sum(F.col("own") * F.log(F.col("own") / F.col("parent"))).alias("gain"),
+        )
+        gain = F.col("whole") * (F.col("gain") + F.col("left") * F.log(F.col("left") / F.col("parent_left")))
+        # Rounded, so that the order of sums decides nothing.
+        passed = cut_lineage(tests.where(F.round(gain - PENALTY * (F.col("n") + 1), 9) >= 0).select("context"))
+        strings.append(own.drop("whole", "parent"))
+        kept.append(passed)
+        if k + 1 < depth:
+            marked = own.join(passed.withColumn("keep", F.lit(True)), "context", "left")
+            of = cut_lineage(marked.select("key", F.when(F.col("keep"), F.col("own")).otherwise(F.col("parent")).alias("p")))
+    # Suffixes of kept contexts are kept.
+    for k in range(depth - 1, 0, -1):
+        suffixes = tables[k - 1].join(kept[k].withColumnRenamed("context", "key"), "key").select(F.col("suffix").alias("context"))
+        kept[k - 1] = cut_lineage(kept[k - 1].union(suffixes).distinct())
+    of, changes = root, []
+    for k in range(depth):
+        own = cut_lineage(joined(strings[k], of).join(kept[k].withColumn("keep", F.lit(True)), "context", "left"))
+        inside = own.where("keep")
+        rests = cut_lineage(inside.groupBy("context").agg(F.log10(left("own") / left("parent")).alias("rest")))
+        changes.append(rests.select(F.col("context").alias("key"), F.col("rest").alias("change")))
+        change = F.log10(F.col("own") / F.col("parent")) - F.col("rest")
+        changes.append(inside.join(rests, "context").select("key", change.alias("change")))
+        of = own.select("key", F.when(F.col("keep"), F.col("own")).otherwise(F.col("parent")).alias("p"))
+    out = changes[0]
+    for c in changes[1:]:
+        out = out.union(c)
+    return cut_lineage(out)
+
+
 def score_documents(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, least: float = LEAST
+    docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, fewest: int = FEWEST
 ) -> DataFrame:
     """Score every whole text: ``key, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -315,42 +476,89 @@ def score_documents(
     every token has probability 1 over the single unknown word.
 
     Texts are read twice, to count words and to code them as numbers; all further
-    passes read numbers. What these can't tell, the counts of rare words, is
-    looked up by a join of one row per document and rare word with the table of
-    counts, summed before and after the shuffle.
+    passes read numbers. Counts of words that aren't common, and what strings
+    change, are looked up by a join of one row per document and string.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
-    words = learn_words(rows.where("NOT held_out").select("text"), least)
-    total, norm = words.total, words.total + 0.1 * (words.different + 1)
+    counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
+    total, different = (int(x or 0) for x in counted.agg(F.sum("c"), F.count("*")).first())
+    norm = total + 0.1 * (different + 1)
+    # 1 / COMMON words at most.
+    some = counted.where(F.col("c") >= COMMON * total).toArrow().sort_by("word")
+    common = some["word"].to_pylist()
+    root = np.log10((some["c"].to_numpy() + 0.1) / norm)
+    end = Keys((w, i) for i, w in enumerate(common))[END]
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys((w, i) for i, w in enumerate(common))
+        for part in batches:
+            named = pa.array([keys[w] for w in part.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([named, part.column(1)], names=["key", "c"])
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Keys((w, i) for i, w in enumerate(common))
+        for part in _slices(batches):
+            tokens = [tokens_of(t) for t in part.column(2).to_pylist()]
+            flat = list(chain.from_iterable(tokens))
+            ids = pa.array(np.fromiter(map(keys.__getitem__, flat), np.int64, len(flat)))
+            ends = pa.array(np.append(0, np.cumsum([len(t) for t in tokens])), pa.int32())
+            lists = pa.ListArray.from_arrays(ends, ids)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["key", "held_out", "ids"])
+
+    kind = docs.schema[key].dataType.simpleString()
+    words = cut_lineage(counted.mapInArrow(name, "key long, c long"))
     # Numbered and written in one go: the numbers hold from here on, and texts aren't split into words again.
-    coded = cut_lineage(code_texts(rows, words.tree).withColumn("row", F.monotonically_increasing_id()))
-    tree, scores = grow(words, coded.where("NOT held_out"), depth)
-    end, tree = tree.end, tree._replace(words=[])  # tasks need numbers only
+    coded = rows.mapInArrow(code, f"key {kind}, held_out boolean, ids array<long>")
+    coded = cut_lineage(coded.withColumn("row", F.monotonically_increasing_id()))
+    changes = grow_tables(words, coded.where("NOT held_out").select("ids"), end, norm, depth, fewest)
+    marks = mark(changes)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _slices(batches):
             lists = part.column(3)
-            ids = lists.flatten().to_numpy().astype(np.int64)
-            sizes = lists.value_lengths().to_numpy()
+            ids, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
             starts = np.cumsum(sizes) - sizes
             known = ids >= 0
-            base = np.where(known, scores.root[ids] if len(scores.root) else 0.0, 0.0)
-            own = _word_scores(ids, end, tree, scores)
-            sums = [pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), base, own)]
+            base = np.where(known, root[np.maximum(ids, 0)] if len(root) else 0.0, 0.0)
+            sums = [pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), base)]
             arrays = [*part.columns[:3], pa.array(sizes.astype(np.int64)), *sums]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "held_out", "n_tokens", "known", "base", "own"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "held_out", "n_tokens", "known", "base"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    schema = f"row long, key {kind}, held_out boolean, n_tokens long, known long, base double, own double"
-    scored = coded.select("row", "key", "held_out", "ids").mapInArrow(score, schema)
-    looked = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n").join(words.rare, "word")
-    share = F.log10((F.col("c") + 0.1) / norm) * F.col("n")
-    found = looked.groupBy("row").agg(F.sum("n").alias("found"), F.sum(share).alias("share"))
-    both = scored.join(found, "row", "left").na.fill({"found": 0, "share": 0.0})
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            ids = part.column(1).flatten().to_numpy()
+            owner = np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy())
+            places = [np.flatnonzero((ids < 0) | marks.has(ids))]
+            keys = [ids[places[0]]]
+            for at, of, _, _ in _all_strings(ids, end, depth + 1):
+                ok = marks.has(of)
+                places.append(at[ok])
+                keys.append(of[ok])
+            whose, of = owner[np.concatenate(places)], np.concatenate(keys)
+            order = np.lexsort((of, whose))
+            whose, of = whose[order], of[order]
+            first = np.flatnonzero(np.append(True, (whose[1:] != whose[:-1]) | (of[1:] != of[:-1]))) if len(of) else np.zeros(0, int)
+            n = np.diff(np.append(first, len(of)))
+            row = part.column(0).to_numpy()[whose[first]]
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(of[first]), pa.array(n)], names=["row", "string", "n"])
+
+    scored = coded.select("row", "key", "held_out", "ids").mapInArrow(
+        score, f"row long, key {kind}, held_out boolean, n_tokens long, known long, base double"
+    )
+    share = F.log10((F.col("c") + 0.1) / norm)
+    rare = words.where("key < 0").select(F.col("key").alias("string"), F.lit(1).alias("word"), share.alias("share"), F.lit(0.0).alias("change"))
+    said = rare.union(changes.select(F.col("key").alias("string"), F.lit(0).alias("word"), F.lit(0.0).alias("share"), "change"))
+    asked = coded.select("row", "ids").mapInArrow(ask, "row long, string long, n long").join(said, "string")
+    found = asked.groupBy("row").agg(
+        F.sum(F.col("n") * F.col("word")).alias("found"),
+        F.sum(F.col("n") * F.col("share")).alias("share"),
+        F.sum(F.col("n") * F.col("change")).alias("change"),
+    )
+    both = scored.join(found, "row", "left").na.fill({"found": 0, "share": 0.0, "change": 0.0})
     unknown = (F.col("n_tokens") - F.col("known") - F.col("found")) * math.log10(0.1 / norm)
     return both.select(
         F.col("key").alias(key), "held_out", "n_tokens", (F.col("known") + F.col("found")).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("base") + F.col("share") + unknown).alias("base_score"),
-        (F.col("own") + F.col("share") + unknown).alias("score"),
+        (F.col("base") + F.col("share") + unknown + F.col("change")).alias("score"),
     )

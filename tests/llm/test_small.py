@@ -212,6 +212,43 @@ def test_suffix_tree_is_a_distribution(spark):
     assert len(lone) == 1 and lone[0]["n_tokens"] == 1
 
 
+def test_suffix_tree_keeps_contexts_at_any_size(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    pairs = [(i, i + 7) for i in range(5)]
+    assert spark.createDataFrame(pairs, "a long, b long").select(F.xxhash64("a", "b")).toPandas().iloc[:, 0].tolist() == (
+        suffix_tree.pair_keys(*np.array(pairs).T).tolist()
+    )
+    # Tables and the tree in memory agree, whatever share of the tokens counts as common.
+    rng = random.Random(8)
+    said = ["alpha beta gamma delta", "beta gamma epsilon", "gamma delta zeta eta", "x", "y z"]
+    texts = [" ".join(rng.choice(said) if rng.random() < 0.8 else "w%d" % rng.randint(0, 60) for _ in range(20)) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = df.select(F.col("doc_id").alias("key"), suffix_tree.held_out(df["doc_id"]).alias("held_out"), "text")
+    words = suffix_tree.learn_words(rows.where("NOT held_out").select("text"))
+    coded = suffix_tree.code_texts(rows, words.tree)
+    tree, scores = suffix_tree.grow(words, coded.where("NOT held_out"))
+    assert all(k.any() for k in scores.kept)
+    want = {r["key"]: float(suffix_tree._word_scores(np.array(r["ids"]), tree.end, tree, scores).sum()) for r in coded.collect()}
+    base = {r["key"]: sum(scores.root[i] for i in r["ids"] if i >= 0) for r in coded.collect()}
+    for share in (1e-6, 0.01, 1.0):
+        monkeypatch.setattr(suffix_tree, "COMMON", share)
+        found = suffix_tree.score_documents(df).collect()
+        assert len(found) == len(texts)
+        for r in found:
+            assert abs((r["score"] - r["base_score"]) - (want[r["doc_id"]] - base[r["doc_id"]])) < 1e-6
+
+
+def test_suffix_tree_drops_no_context_of_a_large_corpus(spark):
+    # Two million tokens more made a share of 1e-6 of what three repetitions don't reach.
+    import inspect
+
+    assert "least" not in inspect.signature(suffix_tree.score_documents).parameters
+    texts = [(i, "red fox jumps") for i in range(1, 4)] + [(100 + i, "pad " * 400_000) for i in range(12)]
+    learned = suffix_tree.learn_words(spark.createDataFrame(texts, "doc_id long, text string").select("text"))
+    assert learned.total > 3e6 and learned.fewest == 2 and b"fox" in learned.tree.words
+
+
 # ---- nearest neighbours
 
 
