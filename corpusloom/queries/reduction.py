@@ -114,9 +114,8 @@ def fuzzy_union(spark: SparkSession, d: str) -> DataFrame:
     return rounded(A.fuzzy_union(w, ("split",)), "w")
 
 
-# Layout queries run few rounds: they check the form; quality is tested with more.
-ROUNDS = 8
-SETTINGS = RR.ReduceSettings(iterations=ROUNDS, epochs=ROUNDS)
+# Layout queries run the operators' full rounds.
+SETTINGS = RR.ReduceSettings()
 
 
 def split_vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -148,7 +147,7 @@ def tsne_query(dims: int):
         params = SM.reduction_params(SM.count_splits(chosen))
         near = N.knn(chosen, SM.MIN_TSNE_NEIGHBORS, "euclidean")
         p = A.tsne_affinities(near, F.col("perplexity"), params=params.select(*SM.SPLIT, "perplexity"))
-        return tsne_layout(cut_lineage(A.tsne_symmetrise(p, params)), cut_lineage(pca_start(chosen, dims)), dims, ROUNDS)
+        return tsne_layout(cut_lineage(A.tsne_symmetrise(p, params)), cut_lineage(pca_start(chosen, dims)), dims, SETTINGS.iterations)
 
     return build
 
@@ -157,7 +156,7 @@ def umap_query(dims: int):
     def build(spark: SparkSession, d: str) -> DataFrame:
         chosen = points(spark, d)
         fuzzy = A.fuzzy_union(A.umap_memberships(N.knn(chosen, SM.NEIGHBORS, "cosine")))
-        return umap_layout(cut_lineage(fuzzy), cut_lineage(pca_start(chosen, dims)), dims, ROUNDS)
+        return umap_layout(cut_lineage(fuzzy), cut_lineage(pca_start(chosen, dims)), dims, SETTINGS.epochs)
 
     return build
 

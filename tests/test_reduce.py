@@ -65,3 +65,17 @@ def test_column_order(vectors, labels):
     out = RR.reduce(good, labels, "id", SETTINGS)
     assert out.columns == [*RR.LABEL_COLUMNS, "row_id", *RR.COORDINATE_COLUMNS, "id"]
     assert dict(out.dtypes)["tsne_2d_x"] == "float" and dict(out.dtypes)["row_id"] == "bigint"
+
+
+def test_layout_queries_run_full_rounds(spark, sf, monkeypatch):
+    from corpusloom.queries import reduction as Q
+
+    asked, default = {}, RR.ReduceSettings()
+    monkeypatch.setattr(Q, "tsne_layout", lambda p, start, dims, rounds: asked.setdefault(("tsne", dims), rounds))
+    monkeypatch.setattr(Q, "umap_layout", lambda p, start, dims, rounds: asked.setdefault(("umap", dims), rounds))
+    monkeypatch.setattr(Q.RR, "reduce", lambda rows, labels, key, settings: settings)
+    for name, dims in (("tsne", 2), ("tsne", 3), ("umap", 2), ("umap", 3)):
+        getattr(Q, f"{name}_query")(dims)(spark, sf)
+    assert asked == {("tsne", 2): 1000, ("tsne", 3): 1000, ("umap", 2): 500, ("umap", 3): 500}
+    full = Q.reduce_full(spark, sf)
+    assert (full.iterations, full.epochs) == (default.iterations, default.epochs) == (1000, 500)
