@@ -120,6 +120,25 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.swap_packing import pack_documents
+
+    tokenizer = tokenizer_model("word_bpe_49k.json").decode()
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer)
+
+
+def op12_spelling_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.spelling_blocks import spelling_groups
+
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpusloom.llm.bag_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_chat_layouts": op1_chat_layouts,
     "op2_suffix_tree": op2_suffix_tree,
@@ -131,6 +150,9 @@ QUERIES = {
     "op8_chunk_prints": op8_chunk_prints,
     "op9_lsh_forest": op9_lsh_forest,
     "op10_url_verdicts": op10_url_verdicts,
+    "op11_swap_packing": op11_swap_packing,
+    "op12_spelling_blocks": op12_spelling_blocks,
+    "op13_bag_search": op13_bag_search,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -272,5 +294,32 @@ reach(url) AS (
 SELECT page_id, host, path, rule,
        coalesce(said, CASE WHEN url IN (SELECT url FROM reach) THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN j USING (url)
+""",
+    "op13_bag_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+),
+i AS (
+  SELECT DISTINCT item_id,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+),
+a AS (SELECT count(*) FILTER (len(terms) > 0) AS nd, CAST(sum(len(terms)) AS BIGINT) AS l FROM d),
+t AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM t, a WHERE term IN (SELECT term FROM i) GROUP BY term, nd
+),
+v AS (
+  SELECT row, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(terms) * nd) // l))) AS part
+  FROM t JOIN w USING (term) JOIN d USING (row), a
+),
+s AS (SELECT item_id, doc_id, row, CAST(sum(part) AS BIGINT) AS score FROM i JOIN v USING (term) JOIN d USING (row) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
 """,
 }
