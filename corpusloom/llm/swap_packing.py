@@ -12,12 +12,17 @@ searched there again, those with the most room longest.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,21 +30,58 @@ from corpusloom.llm.common import map_rows, worker_memo
 from corpusloom.session import cut_lineage
 
 #: Tokens of a sequence, and pieces of a group that one task packs at once.
-CAPACITY, GROUP = 2048, 8192
+CAPACITY, GROUP = 2048, 4096
 
-#: Bounds of what a worker remembers; when it is full it starts anew, which changes no result.
-MEMO_CHUNKS, MEMO_CHARS = 400_000, 48
+#: Entries of each generation of what a worker remembers, and the longest text remembered.
+MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
 
+#: Control characters at which str.split parts a text and the tokenizer does not.
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
-_PIECE = "piece int, start long, length long, ids_crc32 long"
 
+#: Texts of characters whose lower case is the same in any place and that are already in normal form C.
+_PLAIN = re.compile("[\t-\r -~À-ÿ]*")
 
-class ChunkEncoder:
-    """Ids of whole texts from ``tokenizers``, remembered by chunks without white space.
+#: The tokenizer's own pattern, and what it finds in lower-case texts of these characters besides runs of letters.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_OTHER_PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+)"
 
-    The tokenizer drops white space and no token, special ones included, reaches
-    over it, so a text's ids are those of its chunks. ``bytes`` are the ids as
-    little-endian unsigned 32-bit numbers.
+#: Texts that a task takes apart at once.
+SLICE = 2048
+
+_PIECE = "piece: int, start: long, length: long, ids_crc32: long"
+
+
+class Memo:
+    """What was looked up lately: two generations of bounded size, of which the older one is dropped."""
+
+    def __init__(self, entries: int) -> None:
+        self.entries, self.young, self.old = entries, {}, {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) > MEMO_CHARS:
+            return
+        if len(self.young) >= self.entries:
+            self.old = self.young.copy()
+            self.young.clear()
+        self.young[key] = value
+
+
+class TextEncoder:
+    """Ids of whole texts from ``tokenizers``, as little-endian unsigned 32-bit numbers, remembered by parts.
+
+    Texts of plain characters are taken apart here as the tokenizer's pattern says,
+    and only parts that are new go to its model. Other texts, and those with a
+    special token's name, are cut at white space, which no token reaches over, and
+    their new chunks go to the tokenizer whole, as do all chunks of a tokenizer with
+    another pattern.
     """
 
     def __init__(self, content: str) -> None:
@@ -47,23 +89,58 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_str(content)
-        self._known: dict[str, bytes] = {}
-
-    def _ids(self, chunks: list[str]) -> list[bytes]:
-        coded = self._tokenizer.encode_batch(chunks, add_special_tokens=False)
-        return [np.asarray(c.ids, dtype="<u4").tobytes() for c in coded]
-
-    def encode(self, text: str) -> bytes:
-        # str.split also parts at four control characters that the tokenizer takes for symbols
+        made = json.loads(content)
+        self._names = [t["content"] for t in made["added_tokens"]]
+        steps = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self._known = [p.get("pattern", {}).get("Regex") for p in steps[:1]] == [_PATTERN]
+        self._chunks, self._parts = Memo(MEMO_ENTRIES // 4), Memo(MEMO_ENTRIES)
+        self._model = self._tokenizer.model
+        written = self._tokenizer.pre_tokenizer.pre_tokenize_str
+        #: How the tokenizer writes characters to its model.
+        self._written = {c: written(chr(c))[0][0] for c in (*range(33, 127), *range(0xC0, 0x100))} if self._known else {}
+
+    def _library(self, text: str) -> bytes:
+        return np.asarray(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        found = self._parts.get(part)
+        if found is None:
+            ids = [t.id for t in self._model.tokenize(part if part.isalpha() and part.isascii() else part.translate(self._written))]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            self._parts.put(part, found)
+        return found
+
+    def _chunk(self, chunk: str) -> bytes:
+        found = self._chunks.get(chunk)
+        if found is None:
+            found = self._library(chunk)
+            self._chunks.put(chunk, found)
+        return found
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Each different part of the texts is looked up once; their ids are put together from the parts' numbers."""
+        spaced = pc.replace_substring_regex(pc.utf8_lower(pa.array(texts, pa.string())), pattern=_OTHER_PARTS, replacement=r" \1 ")
+        parts = pc.ascii_split_whitespace(spaced)
+        coded = parts.flatten().dictionary_encode()
+        found = [self._part(p) for p in coded.dictionary.to_pylist()]
+        table = np.frombuffer(b"".join(found), dtype="<u4")
+        sizes = np.array([len(f) for f in found], dtype=np.int64) // 4
+        starts, of = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[of])])
+        ids = table[np.repeat(starts[of] - ends[:-1], sizes[of]) + np.arange(ends[-1])]
+        cuts = ends[parts.offsets.to_numpy()]
+        return [ids[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        plain = [self._known and bool(_PLAIN.fullmatch(t)) and not any(n in t for n in self._names) for t in texts]
+        simple = [t for t, p in zip(texts, plain) if p]
+        out = iter(self._plain(simple) if simple else [])
+        return [next(out) if p else self._other(t) for t, p in zip(texts, plain)]
+
+    def _other(self, text: str) -> bytes:
         if any(c in text for c in _SEPARATORS):
-            return self._ids([text])[0]
-        chunks, known = text.split(), self._known
-        if len(known) >= MEMO_CHUNKS:
-            known.clear()
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        ids = dict(zip(new, self._ids(new))) if new else {}
-        known.update((c, i) for c, i in ids.items() if len(c) <= MEMO_CHARS)
-        return b"".join([known[c] if c in known else ids[c] for c in chunks])
+            return self._library(text)
+        return b"".join([self._chunk(c) for c in text.split()])
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -75,13 +152,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     """
 
     def make():
-        memo = worker_memo("chunk_encoder")
+        memo = worker_memo("text_encoder")
         if hash(tokenizer) not in memo:
-            memo[hash(tokenizer)] = ChunkEncoder(tokenizer)
+            memo[hash(tokenizer)] = TextEncoder(tokenizer)
         encoder = memo[hash(tokenizer)]
 
-        def cut(text: str) -> list[dict]:
-            ids = encoder.encode(text) + bytes(4)
+        def cut(ids: bytes) -> list[dict]:
+            ids += bytes(4)
             ranges = range(0, len(ids), 4 * capacity)
             parts = [ids[at : at + 4 * capacity] for at in ranges]
             return [
@@ -89,11 +166,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
                 for i, (at, p) in enumerate(zip(ranges, parts))
             ]
 
-        return lambda cols: {"key": cols["key"], "pieces": [cut(t) for t in cols["text"]]}
+        return lambda cols: {"key": cols["key"], "pieces": [cut(ids) for ids in encoder.encode(cols["text"])]}
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    cuts = map_rows(rows, make, f"key {kind}, pieces array<struct<{_PIECE.replace(' ', ': ').replace(',: ', ', ')}>>")
+    cuts = map_rows(rows, make, f"key {kind}, pieces array<struct<{_PIECE}>>", SLICE)
     return cuts.select(F.col("key").alias(key), F.inline("pieces"))
 
 
