@@ -11,12 +11,12 @@ from pyspark.sql.utils import AnalysisException
 
 from corpusloom.operators import sampling as SM
 from corpusloom.operators.affinities import fuzzy_union, tsne_affinities, tsne_symmetrise, umap_memberships
-from corpusloom.operators.layout import build_graph
 from corpusloom.operators.neighbors import knn
 from corpusloom.operators.pca import pca_init
 from corpusloom.operators.sampling import SPLIT
-from corpusloom.operators.tsne import ITERATIONS, no_layout, tsne_layout
-from corpusloom.operators.umap import EPOCHS, umap_layout
+from corpusloom.operators.layout import restore_keys, run_lanes
+from corpusloom.operators.tsne import ITERATIONS, no_layout, spatial_graph, tsne_lane
+from corpusloom.operators.umap import EPOCHS, sampling_graph, umap_lane
 from corpusloom.session import broadcast_if_small, cut_lineage, join_keys, scratch_tables
 from corpusloom.sources.catalog import pending
 from corpusloom.sources.splits import NO_FIELDS, UNKNOWN
@@ -88,20 +88,19 @@ def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]
     fuzzy = cut_lineage(
         fuzzy_union(umap_memberships(knn(points, settings.neighbors, "cosine", method=settings.method)))
     )
-    by_p, by_w = build_graph(init, joint, "p", SPLIT), build_graph(init, fuzzy, "w", SPLIT)
+    by_p, by_w = spatial_graph(init, joint, 2), sampling_graph(init, fuzzy)
 
-    def tsne(dims: int) -> DataFrame:
-        return tsne_layout(joint, init, dims, settings.iterations, graph=by_p)
-
-    def umap(dims: int) -> DataFrame:
-        return umap_layout(fuzzy, init, dims, settings.epochs, settings.min_dist, settings.seed, graph=by_w)
-
-    return {
-        "tsne_2d": tsne(2),
-        "umap_2d": umap(2),
-        "tsne_3d": tsne(3) if settings.tsne_3d else no_layout(points.select(*SPLIT, "row_id"), 3),
-        "umap_3d": umap(3),
+    lanes = {
+        "tsne_2d": tsne_lane(joint, init, 2, settings.iterations, graph=by_p),
+        "umap_2d": umap_lane(fuzzy, init, 2, settings.epochs, settings.min_dist, settings.seed, graph=by_w),
+        "umap_3d": umap_lane(fuzzy, init, 3, settings.epochs, settings.min_dist, settings.seed, graph=by_w),
     }
+    if settings.tsne_3d:
+        lanes["tsne_3d"] = tsne_lane(joint, init, 3, settings.iterations, graph=by_p)
+    # One loop runs all four, a round of each at a time.
+    done = dict(zip(lanes, run_lanes(lanes.values())))
+    out = {name: restore_keys(done[name], lane.graph, SPLIT, 3 if name.endswith("3d") else 2) for name, lane in lanes.items()}
+    return out if settings.tsne_3d else out | {"tsne_3d": no_layout(points.select(*SPLIT, "row_id"), 3)}
 
 
 def assemble(points: DataFrame, labels: DataFrame, coords: dict[str, DataFrame], extra: Sequence[str] = ()) -> DataFrame:

@@ -30,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.autoBroadcastJoinThreshold", str(64 << 20))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Short Python tasks otherwise wait for the loopback device's delayed acknowledgements.
+        .config("spark.python.unix.domain.socket.enabled", "true")
     )
     if master:
         b = b.master(master)
@@ -72,15 +74,17 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _scopes.remove(paths)
         for path in paths:
-            _delete(spark, path)
+            delete_table(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the checkpoint folder."""
     old = spark._jvm.org.apache.hadoop.fs.Path(path)
     old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def _new_table_path(spark: SparkSession) -> str:
+    """A fresh folder for a table below the checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
 
 
@@ -111,7 +115,7 @@ class LoopState:
         path = _new_table_path(self._spark)
         saved = cut_lineage(df, path)
         if self._path:
-            _delete(self._spark, self._path)
+            delete_table(self._spark, self._path)
         self._path = path
         return saved
 
