@@ -125,9 +125,10 @@ def to_vectors(df: DataFrame, column: str = "embeddings") -> DataFrame:
 
 
 def check_vectors(df: DataFrame, column: str = "embeddings", split: Sequence[str] = SPLIT) -> DataFrame:
-    """Vector lengths per split; ``ok`` is false for ragged, empty or null vectors."""
+    """Vector lengths per split; ``ok`` is false for ragged, empty or null vectors and for such with a number that isn't finite."""
     size = F.size(column)
-    bad = F.col(column).isNull() | F.exists(column, lambda x: x.isNull())
+    far = float("inf")
+    bad = F.col(column).isNull() | F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == far))
     return (
         df.groupBy(*split)
         .agg(

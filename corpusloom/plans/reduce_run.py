@@ -19,6 +19,7 @@ from corpusloom.operators.tsne import ITERATIONS, no_layout, spatial_graph, tsne
 from corpusloom.operators.umap import EPOCHS, sampling_graph, umap_lane
 from corpusloom.session import broadcast_if_small, cut_lineage, join_keys, scratch_tables
 from corpusloom.sources.catalog import pending
+from corpusloom.sources.shards import count_shards, plain_path
 from corpusloom.sources.splits import NO_FIELDS, UNKNOWN
 from corpusloom.sources.sinks import write_csv, write_json, write_parquet
 
@@ -75,8 +76,13 @@ def select_points(vectors: DataFrame, key: str, settings: ReduceSettings) -> Dat
     return join_keys(numbered, broadcast_if_small(enough), SPLIT, "left_semi")
 
 
-def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]:
-    """The four layouts by name. Each metric's graph is built once for 2D and 3D."""
+def layouts(
+    points: DataFrame, settings: ReduceSettings, failures: list[DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """The four layouts by name. Each metric's graph is built once for 2D and 3D.
+
+    A split that fails in a layout has no rows there; see ``run_lanes`` for ``failures``.
+    """
     params = cut_lineage(
         SM.reduction_params(SM.count_splits(points), perplexity=settings.perplexity, neighbors=settings.neighbors)
     )
@@ -98,7 +104,7 @@ def layouts(points: DataFrame, settings: ReduceSettings) -> dict[str, DataFrame]
     if settings.tsne_3d:
         lanes["tsne_3d"] = tsne_lane(joint, init, 3, settings.iterations, graph=by_p)
     # One loop runs all four, a round of each at a time.
-    done = dict(zip(lanes, run_lanes(lanes.values())))
+    done = dict(zip(lanes, run_lanes(lanes.values(), failures)))
     out = {name: restore_keys(done[name], lane.graph, SPLIT, 3 if name.endswith("3d") else 2) for name, lane in lanes.items()}
     return out if settings.tsne_3d else out | {"tsne_3d": no_layout(points.select(*SPLIT, "row_id"), 3)}
 
@@ -122,10 +128,42 @@ def assemble(points: DataFrame, labels: DataFrame, coords: dict[str, DataFrame],
     return out.select(*LABEL_COLUMNS, "row_id", *COORDINATE_COLUMNS, *extra)
 
 
-def reduce(vectors: DataFrame, labels: DataFrame, key: str, settings: ReduceSettings = ReduceSettings()) -> DataFrame:
-    """The reduced table of all splits of ``vectors`` (split columns, key, embeddings)."""
+def reduce(
+    vectors: DataFrame,
+    labels: DataFrame,
+    key: str,
+    settings: ReduceSettings = ReduceSettings(),
+    failures: list[DataFrame] | None = None,
+) -> DataFrame:
+    """The reduced table of all splits of ``vectors`` (split columns, key, embeddings).
+
+    A split that fails in a layout is left out if ``failures`` is a list, which then
+    gets tables (split columns, error); else the failure is raised.
+    """
     points = select_points(vectors, key, settings)
-    return assemble(points, labels, layouts(points, settings), extra=[key])
+    return assemble(points, labels, layouts(points, settings, failures), extra=[key])
+
+
+def read_vectors(spark: SparkSession, split_files: DataFrame, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Vectors of the listed shards (``discover_splits``) below ``root``, and the splits that can't be read.
+
+    A split one of whose shards gives no row, being corrupt or empty, is set aside as
+    (split columns, error); the others' rows get its columns.
+    """
+    counted = count_shards(spark, split_files, root, schema, on_corrupt="zero")
+    named = counted.groupBy(*SPLIT).agg(F.min("rows").alias("_least"), F.min_by("file_name", "rows").alias("_shard"))
+    unread = cut_lineage(
+        named.where("_least = 0").select(*SPLIT, F.concat(F.lit("a shard can't be read or is empty: "), "_shard").alias("error"))
+    )
+    scan = (
+        spark.read.schema(schema).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", "true").parquet(root)
+    )
+    columns = scan.columns
+    rows = scan.withColumn("path", plain_path(F.col("_metadata.file_path")))
+    listed = counted.where("rows > 0").select("path", *SPLIT)
+    kept = join_keys(listed, broadcast_if_small(unread.select(*SPLIT)), SPLIT, "left_anti")
+    return rows.join(kept, "path").select(*SPLIT, *columns), unread
 
 
 def reduction_record(reduced: DataFrame, available: DataFrame) -> DataFrame:
@@ -160,11 +198,13 @@ def run_reduce(
     out: str,
     settings: ReduceSettings = ReduceSettings(),
     csv: bool = True,
+    unread: DataFrame | None = None,
 ) -> DataFrame:
     """Reduce every split that has no record below ``out`` yet.
 
-    A split whose vectors are ragged or null is reported as failed and left
-    out; the others go through one job. Rows are written per split with dynamic
+    A split whose vectors are ragged, null or not finite, or whose layout fails, is
+    reported as failed and left out; the others go through one job. ``unread`` are
+    splits (split columns, error) that gave no vectors, to be reported beside them. Rows are written per split with dynamic
     overwrite below folders ``split_key=…/split_label=…``, which repeat the split's
     name, so the files hold every column in its order and type. The record — which
     marks a split as done — comes last, so an interrupted run is simply repeated.
@@ -174,6 +214,8 @@ def run_reduce(
     spark = vectors.sparkSession
     with scratch_tables(spark):
         report = _reduce_pending(spark, vectors, labels, key, out, settings, csv)
+        if unread is not None:
+            report = report.unionByName(unread.selectExpr(*SPLIT, "false AS done", "error", "false AS ok"))
         return spark.createDataFrame(report.collect(), report.schema)
 
 
@@ -184,15 +226,20 @@ def _reduce_pending(
     todo = cut_lineage(pending_splits(checked, read_records(spark, f"{out}/records")))
     good = SM.eligible(todo.filter("ok"))
     fine = F.coalesce(F.col("ok"), F.lit(False))
+    failures: list[DataFrame] = []
 
     def report() -> DataFrame:
+        told = todo.select(*SPLIT, F.lit(None).cast("string").alias("_error")).limit(0)
+        for table in failures:
+            told = told.unionByName(table.select(*SPLIT, F.col("error").alias("_error")))
+        told = told.groupBy(*SPLIT).agg(F.min("_error").alias("_error"))
         finished = read_records(spark, f"{out}/records").select(*SPLIT, F.lit(True).alias("_done")).distinct()
-        return join_keys(todo, finished, SPLIT, "left").select(
+        return join_keys(join_keys(todo, finished, SPLIT, "left"), told, SPLIT, "left").select(
             *SPLIT,
             F.coalesce("_done", F.lit(False)).alias("done"),
-            F.when(~fine, "vectors are ragged, empty or null")
+            F.when(~fine, "vectors are ragged, empty, null or not finite")
             .when(F.col("rows") < SM.MIN_ROWS, "too few rows")
-            .when(F.col("_done").isNull(), "no rows were written")
+            .when(F.col("_done").isNull(), F.coalesce("_error", F.lit("no rows were written")))
             .alias("error"),
             fine.alias("ok"),
         )
@@ -200,7 +247,7 @@ def _reduce_pending(
     if good.isEmpty():
         return report()
     chosen = join_keys(vectors, broadcast_if_small(good.select(*SPLIT)), SPLIT, "left_semi")
-    reduced = cut_lineage(reduce(chosen, labels, key, settings))
+    reduced = cut_lineage(reduce(chosen, labels, key, settings, failures))
     by_split = ["split_key", "split_label"]
     spread = reduced.repartitionByRange(*SPLIT, "row_id").withColumns(dict(zip(by_split, map(F.col, SPLIT))))
     write_parquet(spread, f"{out}/reduced", partition_by=by_split, mode="overwrite")

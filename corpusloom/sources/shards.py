@@ -122,12 +122,12 @@ def count_shards(
         .option("ignoreCorruptFiles", str(on_corrupt == "zero").lower())
         .parquet(root)
     )
-    counted = shard_inventory(scan).withColumn("path", _plain_path(F.col("path")))
-    listed = files.withColumn("path", _plain_path(F.col("path")))
+    counted = shard_inventory(scan).withColumn("path", plain_path(F.col("path")))
+    listed = files.withColumn("path", plain_path(F.col("path")))
     return listed.join(counted, "path", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
-def _plain_path(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     """``file:///x`` and ``file:/x`` name the same file."""
     return F.regexp_replace(path, "^file:/+", "file:/")
 
