@@ -324,18 +324,23 @@ def knn(
     """The k nearest rows of every row inside its split, itself excluded.
 
     Columns: split, row_id, neighbor, distance, rank; ties go to the smaller id.
-    ``exact`` compares all block pairs, at any size; ``ivf`` searches the nearest
+    ``exact`` compares all block pairs, at any size; ``pruned`` gives the same and
+    leaves out the pairs of cells that bounds rule out; ``ivf`` searches the nearest
     cells and may miss neighbours, but never returns short lists. Copies of a
     vector are handled once.
     """
     if metric not in ("cosine", "euclidean"):
         raise ValueError(f"unknown metric {metric!r}")
-    if method not in ("exact", "ivf"):
+    if method not in ("exact", "pruned", "ivf"):
         raise ValueError(f"unknown method {method!r}")
 
     def graph(distinct: DataFrame) -> DataFrame:
         if method == "exact":
             return knn_exact(distinct, k, metric, split, row_id, vector)
+        if method == "pruned":
+            from corpusloom.operators.pruned import knn_pruned
+
+            return knn_pruned(distinct, k, metric, split, row_id, vector).edges
         parts = []
         for row in distinct.select(*split).distinct().collect():  # one row per split; each is a search of its own
             mine = distinct

@@ -12,6 +12,7 @@ from corpusloom.operators import affinities as A
 from corpusloom.operators import neighbors as N
 from corpusloom.operators import sampling as SM
 from corpusloom.operators.pca import pca_init as pca_start
+from corpusloom.operators.pruned import knn_pruned as pruned
 from corpusloom.operators.tsne import no_layout, tsne_layout
 from corpusloom.operators.umap import umap_layout
 from corpusloom.plans import reduce_run as RR
@@ -85,6 +86,33 @@ def knn_ivf_complete(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# Rows of a cell of the pruned search, small enough to give the given tables several.
+CELL_ROWS = 25
+
+
+def clustered(spark: SparkSession, d: str) -> DataFrame:
+    """The vectors drawn together around one corner for each label."""
+    return table(spark, d, "embeddings").selectExpr(
+        "'all' AS split",
+        "vec_id AS row_id",
+        "transform(embedding, (x, i) -> cast(x AS double) * 0.25D + if(i = label, 8D, 0D)) AS embeddings",
+    )
+
+
+def knn_pruned(spark: SparkSession, d: str) -> DataFrame:
+    """Both metrics, over vectors with clusters and without."""
+    tight = pruned(clustered(spark, d), K, "euclidean", ("split",), cell_rows=CELL_ROWS).edges.drop("split")
+    loose = pruned(vectors(spark, d), K, "cosine", ("split",), cell_rows=CELL_ROWS).edges.drop("split")
+    both = tight.withColumn("metric", F.lit("euclidean")).unionByName(loose.withColumn("metric", F.lit("cosine")))
+    return both.withColumn("distance", F.round("distance", 6))
+
+
+def knn_pruned_compared(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of clustered rows there are, and whether less than a third of them was compared."""
+    report = pruned(clustered(spark, d), K, "euclidean", ("split",), cell_rows=CELL_ROWS).report
+    return report.select("split", "pairs", (F.col("compared") * 3 < F.col("pairs")).alias("below_a_third"))
+
+
 def knn_per_split(spark: SparkSession, d: str) -> DataFrame:
     by_label = vectors(spark, d, "cast(label AS string)")
     return N.knn_exact(by_label, K, "cosine", ("split",)).withColumn("distance", F.round("distance", 6))
@@ -279,7 +307,27 @@ membership AS (
 )"""
 
 
+TIGHT_SQL = """tight AS (
+  SELECT vec_id, list_transform(embedding, lambda x, i: CAST(x AS DOUBLE) * 0.25 + CASE WHEN i - 1 = label THEN 8 ELSE 0 END) AS v
+  FROM embeddings
+),
+close AS (
+  SELECT a.vec_id AS row_id, b.vec_id AS neighbor, list_distance(a.v, b.v) AS distance,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
+  FROM tight a JOIN tight b ON a.vec_id <> b.vec_id
+)"""
+
 QUERIES = {
+    "knn_pruned": Query(
+        knn_pruned,
+        f"""WITH {knn_sql("cosine")}, {TIGHT_SQL}
+SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank, 'cosine' AS metric FROM knn
+UNION ALL SELECT row_id, neighbor, round(distance, 6), CAST(rank AS INTEGER), 'euclidean' FROM close WHERE rank <= {K}""",
+    ),
+    "knn_pruned_compared": Query(
+        knn_pruned_compared,
+        "SELECT 'all' AS split, count(*) * (count(*) - 1) // 2 AS pairs, true AS below_a_third FROM embeddings",
+    ),
     "knn_cosine": Query(
         knn_cosine,
         f"""WITH {knn_sql("cosine")} SELECT row_id, neighbor, round(distance, 6) AS distance, CAST(rank AS INTEGER) AS rank FROM knn""",

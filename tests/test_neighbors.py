@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import affinities as A
 from corpusloom.operators import neighbors as N
@@ -112,3 +113,26 @@ def test_cell_search_is_complete_and_repeats(spark):
     assert first.groupBy("row_id").count().filter("count <> 90").isEmpty() and first.count() == 9000
     again = N.knn(df.repartition(7), 20, "euclidean", "ivf", SPLIT)
     assert sorted(again.collect()) == sorted(N.knn(df.coalesce(1), 20, "euclidean", "ivf", SPLIT).collect())
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_pruned_search_equals_all_pairs(spark, metric):
+    """Splits of 1 to 400 rows with clusters, ties and copies; slices and cells smaller than the number of neighbours too."""
+    from corpusloom.operators.pruned import knn_pruned
+
+    rng = np.random.default_rng(4)
+    rows = []
+    for s, n in (("big", 400), ("mid", 40), ("few", 3), ("one", 1), (None, 12)):
+        x = rng.integers(0, 8, size=(8, 6))[rng.integers(0, 8, n)] * 4 + rng.integers(0, 2, size=(n, 6)) + 1
+        rows += [(s, i, [float(v) for v in r]) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "s string, row_id long, embeddings array<double>")
+    want = {tuple(r) for r in N.knn_exact(df, 5, metric, ("s",)).withColumn("distance", F.round("distance", 9)).collect()}
+    for block, cell in ((2048, None), (16, 10), (7, 4)):
+        found = knn_pruned(df, 5, metric, ("s",), block_rows=block, cell_rows=cell)
+        got = [tuple(r) for r in found.edges.withColumn("distance", F.round("distance", 9)).select("s", "row_id", "neighbor", "distance", "rank").collect()]
+        assert len(got) == len(set(got)) and set(got) == want, (block, cell)
+    report = {r["s"]: (r["pairs"], r["compared"]) for r in found.report.collect()}
+    assert report["big"][0] == 400 * 399 // 2 and report["one"] == (0, 0)
+    if metric == "euclidean":
+        assert report["big"][1] * 3 < report["big"][0]
+    assert knn_pruned(df.where("false"), 5, metric, ("s",)).edges.count() == 0
