@@ -7,7 +7,8 @@ body is the threshold, and below every element that reaches the threshold the
 part with the highest sum is kept. Formatting inside a line (bold, spans, line
 breaks) counts as text, links and blocks as elements. Elements that are never article text (menus,
 forms, notices, reader comments and so on) are taken out before the densities
-are computed, by tag, role or the words of their class and id.
+are computed, by tag, role or the words of their class and id. Such a word alone
+takes out neither what holds the page's text nor its article (see ``settle``).
 """
 
 from __future__ import annotations
@@ -52,37 +53,42 @@ CLOSED_BY = {
 }
 SCOPES = frozenset("html body article section main div ul ol dl table td th blockquote nav aside footer header form".split())
 
-_MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
+# A quote opens a value only after "="; anywhere else, and where none closes it, it is a letter like any other.
+_MARKUP = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""", re.S
+)
 _BROKEN_OFF = re.compile(r"</?(?:[a-zA-Z]|\Z)")
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|([^\s"'>/=]+)""")
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))|([^\s"'>/=]+)""")
 _WORDS = re.compile(r"[a-z0-9]+")
+#: An element with more than this share of a page's text isn't taken out for a word of its class or id.
+MOST = 0.75
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "drop", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
+    __slots__ = ("tag", "parent", "items", "drop", "listed", "chars", "tags", "link_chars", "link_tags", "density", "sum", "best")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False) -> None:
-        self.tag, self.parent, self.drop = tag, parent, drop
+    def __init__(self, tag: str, parent: Node | None, drop: bool = False, listed: bool = False) -> None:
+        self.tag, self.parent, self.drop, self.listed = tag, parent, drop, listed
         self.items: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
         self.best = self
 
 
-def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
+def _dropped(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element goes for its tag, role or style, and whether its class or id has a listed word."""
     if tag in DROP_TAGS or tag == "header" and not in_article:
-        return True
-    if not attributes or tag in KEEP_TAGS:
-        return False
+        return True, False
+    if not attributes:
+        return False, False
     found = {}
     for name, a, b, c, bare in _ATTRIBUTE.findall(attributes):
         found.setdefault((name or bare).lower(), (a or b or c).lower())
-    if "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "") in DROP_ROLES:
-        return True
-    if "display:none" in found.get("style", "").replace(" ", ""):
-        return True
-    names = _WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}")
-    return not DROP_WORDS.isdisjoint(names)
+    listed = not DROP_WORDS.isdisjoint(_WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}"))
+    if tag in KEEP_TAGS:
+        return False, listed
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "") in DROP_ROLES
+    return hidden or "display:none" in found.get("style", "").replace(" ", ""), listed
 
 
 def parse(page: str) -> Node:
@@ -138,12 +144,12 @@ def parse(page: str) -> Node:
                 where = node.parent
                 if tag in ("td", "th") and node.tag == "tr":
                     where = node
-        drop = where.drop or _dropped(tag, attributes, articles > 0)
-        if tag in INLINE and tag != "a" and not drop:
+        drop, listed = (True, False) if where.drop else _dropped(tag, attributes, articles > 0)
+        if tag in INLINE and tag != "a" and not drop and not listed:
             if tag == "br":
                 where.items.append("\n")
             continue  # formatting is part of the text around it, not structure
-        node = Node(tag, where, drop)
+        node = Node(tag, where, drop, listed)
         where.items.append(node)
         if tag in VOID:
             continue
@@ -155,7 +161,40 @@ def parse(page: str) -> Node:
             continue
         articles += tag in ("article", "main")
         where = node
-    return body if body is not None else root
+    top = body if body is not None else root
+    settle(top)
+    return top
+
+
+def settle(top: Node) -> None:
+    """Take out the elements whose class or id has a listed word.
+
+    Those stay that hold over ``MOST`` of the page's text, or its largest article
+    (``article`` or ``main`` without such a word) if that has more text than all
+    elements outside of listed ones. Their densities decide then.
+    """
+    order = _in_order(top)
+    size: dict[int, int] = {}
+    outside, clear, largest = 0, {id(top.parent)}, None
+    for n in order:
+        size[id(n)] = sum(len(x) - sum(map(x.count, " \n\t")) for x in n.items if isinstance(x, str))
+        if id(n.parent) in clear and (not n.listed or n.tag in KEEP_TAGS):
+            clear.add(id(n))
+            outside += size[id(n)]
+    for n in reversed(order):
+        if n is not top:
+            size[id(n.parent)] += size[id(n)]
+        if n.tag in ("article", "main") and not n.listed and (largest is None or size[id(n)] >= size[id(largest)]):
+            largest = n
+    holders = set()
+    if largest is not None and size[id(largest)] > outside:
+        node = largest
+        while node is not top:
+            node = node.parent
+            holders.add(id(node))
+    for n in order:
+        if n.listed and n.tag not in KEEP_TAGS and id(n) not in holders:
+            n.drop = size[id(n)] <= MOST * size[id(top)]
 
 
 def _in_order(top: Node) -> list[Node]:

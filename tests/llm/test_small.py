@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
 import random
 import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
@@ -100,6 +102,43 @@ def test_main_text():
     assert text_density.main_text(deep) == "deep"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p><img alt=it's>first</p><p>second</p>", "first\n\nsecond"),
+        ('<div class="a"">text</div>', "text"),
+        ('<p x="unclosed>tail</p>', "tail"),
+        ("<p title='a>b' x=\"c>d\">in</p>", "in"),
+        ("<div class='has-sidebar'>{article}</div>", "{text}"),
+        ("<section class='post-related'>{article}</section>", "{text}"),
+        ("<div id='page-header-menu-open'><div class=sidebar>Links</div>{article}<div id=comments><p>So true!</p></div></div>", "{text}"),
+        # Comments go although they stand in articles, one without a listed word, and hold more text than the article.
+        ("{article}<div class=comments><article class=comment>{article}{article}</article><article>Me too</article></div>", "{text}"),
+        ("<div class='post-related'><div class=ad>Buy!</div>{paragraphs}</div>", "{paragraphs_text}"),
+    ],
+)
+def test_pages_keep_their_article(page, text):
+    line = "Some words of an article, long enough to count."
+    paragraphs, lines = f"<p>{line}</p>" * 5, "\n\n".join([line] * 5)
+    article = f"<article><h1>Head</h1>{paragraphs}</article>"
+    page = page.replace("{article}", article).replace("{paragraphs}", paragraphs)
+    want = text.replace("{text}", f"Head\n\n{lines}").replace("{paragraphs_text}", lines)
+    assert text_density.main_text(page) == want
+
+
+def test_given_pages_equal_their_markup(sf):
+    """The given pages keep their article in an article element, and blocks end with a paragraph, heading or item."""
+    pages = duckdb.sql(f"SELECT html FROM '{sf}/pages.parquet' WHERE html LIKE '%<article>%</article>%'").fetchall()
+    assert len(pages) > 20
+    for (page,) in pages:
+        inner = page.split("<article>", 1)[1].split("</article>", 1)[0]
+        inner = re.sub(r"<!--.*?-->", "", inner, flags=re.S)
+        inner = re.sub(r"<(script|style|aside|form|nav|figure)\b.*?</\1>", "", inner, flags=re.S)
+        inner = re.sub(r"</?(?:b|i|em|strong|a|span|br)\b[^>]*>", lambda m: "\n" if m[0].startswith("<br") else "", inner)
+        own = [" ".join(html.unescape(x).split()) for x in re.split(r"<[^>]+>", inner)]
+        assert text_density.main_text(page) == "\n\n".join(x for x in own if x)
+
+
 def test_pages_query(spark):
     pages = [(1, "u", "<p>a b</p>"), (None, None, None), (1, "u", "<p>a b</p>")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").selectExpr("*", "1 AS text")
