@@ -5,19 +5,20 @@ would hide a mix-up of the two metrics."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.operators import affinities as A
 from corpusloom.operators import neighbors as N
 from corpusloom.operators import sampling as SM
 from corpusloom.operators.pca import pca_init as pca_start
+from corpusloom.operators.pca import principal_axes
 from corpusloom.operators.pruned import knn_pruned as pruned
 from corpusloom.operators.tsne import no_layout, tsne_layout
 from corpusloom.operators.umap import umap_layout
 from corpusloom.plans import reduce_run as RR
 from corpusloom.queries import Query, table
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_lineage, join_keys
 from corpusloom.sources.splits import label_splits
 
 K = 15
@@ -169,6 +170,33 @@ def pca_init(spark: SparkSession, d: str) -> DataFrame:
     return pca_start(points(spark, d), 3)
 
 
+def pca_axes(spark: SparkSession, d: str) -> DataFrame:
+    """For each split and two axes: their product, and by how far their coordinates' covariance misses the axis's variance.
+
+    Each vector is followed by its squares and cubes, so the axes take more than one round.
+    """
+    wide = F.expr("transform(embeddings, x -> cast(x AS double))")
+    powers = [wide, F.transform(wide, lambda x: x * x), F.transform(wide, lambda x: x * x * x)]
+    df = split_vectors(spark, d).select(*SM.SPLIT, F.col("vec_id").alias("row_id"), F.concat(*powers).alias("embeddings"))
+    df = cut_lineage(df)
+    axes = principal_axes(df, 3)
+    rows = pca_start(df, 3)
+    pairs = [(a, b) for a in range(3) for b in range(a, 3)]
+    own = rows.groupBy(*SM.SPLIT).agg(*(F.covar_pop(f"y{a}", f"y{b}").alias(f"c{a}{b}") for a, b in pairs))
+    both = join_keys(axes, own, list(SM.SPLIT))
+
+    def line(a: int, b: int) -> Column:
+        dot = F.aggregate(F.zip_with(F.col("axes")[a], F.col("axes")[b], lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+        off = (F.col(f"c{a}{b}") - (F.col("variance")[a] if a == b else F.lit(0.0))) / F.col("total")
+        return F.struct(
+            F.lit(a).alias("a"), F.lit(b).alias("b"),
+            *((F.round(x, 6) + F.lit(0.0)).alias(name) for x, name in ((dot, "product"), (off, "missed"))),
+        )
+
+    found = both.select("sub_label", F.round("total", 6).alias("total"), F.explode(F.array(*(line(a, b) for a, b in pairs))).alias("p"))
+    return found.select("sub_label", "total", "p.*")
+
+
 def tsne_query(dims: int):
     def build(spark: SparkSession, d: str) -> DataFrame:
         chosen = points(spark, d)
@@ -431,6 +459,16 @@ SELECT coalesce(a.row_id, b.neighbor) AS row_id, coalesce(a.neighbor, b.row_id)
 FROM membership a FULL OUTER JOIN membership b ON a.row_id = b.neighbor AND a.neighbor = b.row_id""",
     ),
     "pca_init": Query(pca_init),
+    "pca_axes": Query(
+        pca_axes,
+        """WITH component AS (SELECT cast(label AS VARCHAR) AS sub_label, unnest(range(len(embedding))) AS place,
+                   cast(unnest(embedding) AS DOUBLE) AS x FROM embeddings),
+     varied AS (SELECT sub_label, place, var_pop(x) + var_pop(x ** 2) + var_pop(x ** 3) AS v FROM component GROUP BY sub_label, place),
+     whole AS (SELECT sub_label, round(sum(v), 6) AS total FROM varied GROUP BY sub_label)
+SELECT sub_label, total, cast(a AS INT) AS a, cast(b AS INT) AS b, CASE WHEN a = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS product,
+       0.0::DOUBLE AS missed
+FROM whole, range(3) AS x(a), range(3) AS y(b) WHERE a <= b""",
+    ),
     "tsne_2d": Query(tsne_query(2)),
     "tsne_3d": Query(tsne_query(3)),
     "umap_2d": Query(umap_query(2)),
