@@ -14,6 +14,7 @@ import duckdb
 import numpy as np
 import pytest
 import sentencepiece
+import xxhash
 from oracle import compare, connect
 
 from corpusloom.llm import chat_layouts, chunk_prints, pu_quality, suffix_tree, text_density, voronoi_knn
@@ -179,6 +180,53 @@ def test_chunks_resist_shifts():
     assert chunk_prints.containment({}, {}) == 1 and chunk_prints.containment({}, a) == 0 == chunk_prints.containment(a, {})
 
 
+def _plain_chunks(text: str) -> dict[str, int]:
+    """Chunks of a text cut byte by byte: the hash is the sum of the last bytes' gears, each shifted by its distance."""
+    gears = [int(g) for g in chunk_prints._gears()]
+    data, chunks, start = text.encode(), {}, 0
+    for i in range(len(data)):
+        size = i + 1 - start
+        window = data[max(0, i + 1 - chunk_prints.WINDOW) : i + 1][::-1]
+        rolled = sum(gears[b] << k for k, b in enumerate(window)) & 0xFFFFFFFF
+        bits = chunk_prints.HARD if size < chunk_prints.NORMAL else chunk_prints.EASY
+        cut = size >= chunk_prints.SMALLEST and not rolled & bits
+        if cut or size == chunk_prints.LARGEST or i + 1 == len(data):
+            chunks[xxhash.xxh64_hexdigest(data[start : i + 1])] = size
+            start = i + 1
+    return chunks
+
+
+def test_fingerprint_query_by_brute_force(spark, sf, tmp_path):
+    """All columns of the query, over given texts, odd ones and equal ones."""
+    some = duckdb.sql(f"SELECT doc_id, text FROM '{sf}/documents.parquet' ORDER BY length(text), doc_id LIMIT 60").fetchall()
+    docs = [(i, t) for i, t in some] + [(10**9, None), (10**9 + 1, ""), (10**9 + 2, "é😀x"), (10**9 + 3, "ab"), (10**9 + 4, some[9][1] * 3)]
+    docs += [(10**9 + 5, some[9][1]), (10**9 + 6, some[8][1] + some[9][1])]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    df.selectExpr("*", "'x' AS edited", "1 AS near_next").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in q.op8_chunk_prints(spark, str(tmp_path)).collect()}
+    docs.sort()
+    assert set(found) == {i for i, _ in docs}
+    prints = {t: _plain_chunks(t) for t in {t or "" for _, t in docs}}
+
+    def near(a: dict, b: dict) -> float:
+        return sum(n for c, n in a.items() if c in b) / sum(a.values()) if a else float(not b)
+
+    def printed(chunks: dict) -> str:
+        return " ".join(f"{c}:{n}" for c, n in sorted(chunks.items()))
+
+    for at, (key, text) in enumerate(docs):
+        text, following = text or "", docs[(at + 1) % len(docs)][1] or ""
+        moved = len(text) // 4
+        edited = text[: len(text) - moved] + following[:moved]
+        own, other = prints[text], _plain_chunks(edited)
+        row = found[key].asDict()
+        assert row.pop("near_edited") == pytest.approx(near(own, other)) and row.pop("near_next") == pytest.approx(near(own, prints[following]))
+        assert row == {
+            "doc_id": key, "n_chars": len(text), "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
+            "fingerprint": printed(own), "edited_fingerprint": printed(other),
+        }
+
+
 # ---- quality
 
 
