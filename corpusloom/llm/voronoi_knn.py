@@ -131,7 +131,7 @@ def top_products(
     summaries and query counts, a few numbers for each, are all that the driver
     sees. Groups hold ``group_queries`` queries: a larger cell is dealt into
     several. A group's data are dealt into slices of about ``slice_rows``, so
-    neither a common vector nor a crowded cell ends up in one task.
+    neither a common vector or id nor a crowded cell ends up in one task.
     """
     spark = vectors.sparkSession
     ints = F.transform(F.col(vector), lambda x: F.floor(x.cast("double") * levels).cast("double"))
@@ -144,7 +144,8 @@ def top_products(
     width = rows.agg(F.max(F.size("v"))).first()[0]
     points = _padded(pd.Series([r["v"] for r in chosen]), max(width, 1))
 
-    located = cut_lineage(_located(rows, points))
+    # Rows are dealt by their number, so the copies of an id don't meet in one task.
+    located = cut_lineage(_located(rows, points).withColumn("place", F.monotonically_increasing_id()))
     queries = located.where("is_query")
     crowd = {r["cell"]: r["count"] for r in queries.groupBy("cell").count().collect()}
     # Cells with few queries share a group with their like, up to the size of a group; large cells are dealt into several.
@@ -160,7 +161,7 @@ def top_products(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     table = spark.createDataFrame([(c, group_of[c], deal[c]) for c in crowd], "cell int, first int, parts int")
     # One row per cell, PIVOTS at most.
-    salt = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    salt = F.pmod(F.xxhash64("place"), F.col("parts")).cast("int")
     queries = queries.join(F.broadcast(table), "cell").withColumn("group", F.col("first") + salt)
 
     small = Window.partitionBy("cell").orderBy("far", "id")
@@ -181,7 +182,7 @@ def top_products(
     count = located.count()
     slices = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // max(1, first), -(-count // slice_rows))
     near = located.join(broadcast_if_small(limits), "cell").where("far >= need")
-    data = near.select("group", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int").alias("slice"), "id", "v")
+    data = near.select("group", F.pmod(F.xxhash64("place"), F.lit(slices)).cast("int").alias("slice"), "id", "v")
     asked = queries.select("group", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"), F.col("id").alias("qid"), F.col("v").alias("qv"))
     solved = asked.groupBy("group", "slice").cogroup(data.groupBy("group", "slice"))
     solved = solved.applyInPandas(_solve(k), "query_id long, vec_id long, score long")

@@ -405,3 +405,22 @@ def test_blocks_spread_over_aliases(spark):
     more = spark.createDataFrame([("http://d.org/other", "http://bad.net/x")], "a string, b string")
     assert {r["page_id"]: r["verdict"] for r in judge_urls(df, q.URL_RULES, more).collect()}[5] == "block"
     assert judge_urls(df.where("false"), q.URL_RULES).count() == 0
+
+def test_top_products_with_a_common_id(spark):
+    """One id holds a third of all rows, as data and as queries; it counts once."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(1, 401)]
+    rows += [(50, rng.normal(size=6).tolist()) for _ in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = voronoi_knn.top_products(df, df["vec_id"] % 50 == 0, group_queries=16, slice_rows=64).collect()
+    whole = [(i, np.floor(np.array(v) * 256)) for i, v in rows]
+    want = []
+    for query in range(50, 401, 50):
+        best: dict[int, int] = {}
+        for own in (v for i, v in whole if i == query):
+            for i, v in whole:
+                if i != query:
+                    best[i] = max(best.get(i, -(1 << 60)), int(own @ v))
+        top = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5]
+        want += [(query, n, i, score) for n, (i, score) in enumerate(top, 1)]
+    assert sorted(tuple(r) for r in found) == want
