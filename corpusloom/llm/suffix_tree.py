@@ -8,13 +8,18 @@ discounted share, all others what is left, in proportion to the suffix's
 distribution, down to the root, which covers every word. A word is scored from
 the longest kept context in front of it.
 
-Strings are tables, one for each length, named by 64-bit hashes, and grow with
-the corpus. A word's score is the root's and, for each string that ends at it,
-what the string changes of its suffix's score; so a text's score is a sum over
-its strings, which a join looks up. What travels to the tasks only saves work:
-the numbers of common words, and bitmaps of which strings are worth a look.
-
-``grow`` and ``weigh`` make the same tree in memory, for small corpora.
+All suffixes of a context end in the same word. So each place's window, its word
+and the ``depth`` words in front of it, goes to the bucket of the last of these
+once: there all strings of the window are counted, their contexts tested and
+kept, and each different window is scored; what contexts change of its score
+goes back to the chunk of texts it came from. A word in front of more windows
+than fill a bucket is split by the word before it; its own distribution is an
+aggregated table, and a first pass over its buckets finds whether any longer
+context in them keeps it.
+
+Windows travel as blocks of numbers, each different one of a chunk once. Buckets
+hold about ``BUCKET`` windows at any size of the corpus; only two words in a row
+that stand in front of more than that are not split further.
 """
 
 from __future__ import annotations
@@ -23,10 +28,10 @@ import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, compress
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,12 +42,12 @@ from corpusloom.session import cut_lineage
 DEPTH, FEWEST = 3, 2
 #: Share of all tokens from which tasks hold a word's count themselves, instead of joining it: 1 / COMMON words at most.
 COMMON = 1e-6
-#: Bits of a bitmap for each of its strings, and at most. Fuller bitmaps let more strings pass in vain.
-MARK_BITS, MOST_BITS = 8, 1 << 28
+#: Tokens of a chunk of texts, and windows of a bucket, about.
+CHUNK, BUCKET = 500_000, 1_000_000
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
 DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
-SHIFT = 31  # bits of a word's number in a string's key in memory
+NOTHING = np.iinfo(np.int64).min  # in place of a word before the first
 SLICE = 256
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
@@ -53,65 +58,6 @@ def tokens_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]
 
 
-class Tree(NamedTuple):
-    """Frequent words and strings. ``keys[k]`` are the sorted keys of strings of k + 2 words:
-    the number of the string without its last word, and that word."""
-
-    words: list[bytes]
-    counts: np.ndarray
-    keys: list[np.ndarray]
-    string_counts: list[np.ndarray]
-
-    @property
-    def end(self) -> int:
-        """Number of the end; -2 where it isn't frequent, and so no context either."""
-        return self.words.index(END) if END in self.words else -2
-
-
-class Scores(NamedTuple):
-    """Log10 probabilities: of frequent words at the root; of each string's last word in its context;
-    and of the rest of each context, by context length. ``kept[k]`` marks contexts of k + 1 words."""
-
-    root: np.ndarray
-    entry: list[np.ndarray]
-    rest: list[np.ndarray]
-    kept: list[np.ndarray]
-
-
-class Numbers(dict):
-    """Numbers of frequent words, -1 for any other."""
-
-    def __missing__(self, word: bytes) -> int:
-        return -1
-
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of the wanted keys, -1 for those that aren't there."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, at, -1)
-
-
-def _strings(ids: np.ndarray, end: int, tree: Tree) -> list[np.ndarray]:
-    """For each position the numbers of the strings of 1, 2, ... words that end there, -1 where not frequent."""
-    found = [ids]
-    for keys in tree.keys:
-        before = _context(found[-1], ids, end)
-        both = np.flatnonzero((before >= 0) & (ids >= 0))
-        out = np.full(len(ids), -1, np.int64)
-        out[both] = _find(keys, (before[both] << SHIFT) | ids[both])
-        found.append(out)
-    return found
-
-
-def _context(strings: np.ndarray, ids: np.ndarray, end: int) -> np.ndarray:
-    """The string in front of each position; none across the end of a text."""
-    before = np.full(len(strings), -1, np.int64)
-    before[1:] = np.where(ids[:-1] == end, -1, strings[:-1])
-    return before
-
-
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE):
@@ -139,171 +85,6 @@ def count_words(texts: DataFrame) -> DataFrame:
 
     return texts.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
-
-def code_texts(rows: DataFrame, tree: Tree) -> DataFrame:
-    """Texts as numbers of frequent words, and the other words with their counts: ``key, held_out, ids, rare``.
-
-    ``rows`` has ``key, held_out, text``.
-    """
-    key = rows.schema["key"].dataType.simpleString()
-    schema = f"key {key}, held_out boolean, ids array<int>, rare array<struct<word: binary, n: int>>"
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Numbers((w, i) for i, w in enumerate(tree.words))
-        for part in _slices(batches):
-            tokens = [tokens_of(t) for t in part.column(2).to_pylist()]
-            sizes = np.array([len(t) for t in tokens])
-            flat = list(chain.from_iterable(tokens))
-            ids = np.fromiter(map(number.__getitem__, flat), np.int32, len(flat))
-            rest = ids < 0
-            owner = np.repeat(np.arange(len(sizes)), sizes)[rest]
-            rare = Counter(zip(owner.tolist(), compress(flat, rest.tolist())))  # in the order of texts
-            first = np.searchsorted([i for i, _ in rare], np.arange(len(sizes) + 1))
-            words = pa.array([w for _, w in rare], pa.binary())
-            counted = pa.StructArray.from_arrays([words, pa.array(rare.values(), pa.int32())], ["word", "n"])
-            ends = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
-            lists = [
-                pa.ListArray.from_arrays(ends, pa.array(ids)),
-                pa.ListArray.from_arrays(pa.array(first, pa.int32()), counted),
-            ]
-            names = ["key", "held_out", "ids", "rare"]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names=names)
-
-    return rows.mapInArrow(code, schema)
-
-
-def count_strings(coded: DataFrame, tree: Tree) -> DataFrame:
-    """``key, c`` of the strings one word longer than the tree's longest whose parts are all frequent.
-
-    ``coded`` has the one column ``ids``.
-    """
-    end, tree = tree.end, tree._replace(words=[])  # tasks need numbers only
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for part in _slices(batches):
-            ids = part.column(0).flatten().to_numpy().astype(np.int64)
-            found = _strings(ids, end, tree)
-            before = _context(found[-1], ids, end)
-            # The string without its first word must be frequent too.
-            ok = (before >= 0) & (found[-1] >= 0)
-            held.append(np.unique((before[ok] << SHIFT) | ids[ok], return_counts=True))
-            size += len(held[-1][0])
-            if size > HELD:
-                held = [_merged(held)]
-                size = len(held[0][0])
-                if size > HELD // 2:
-                    yield _rows(*held[0])
-                    held, size = [], 0
-        if held:
-            yield _rows(*_merged(held))
-
-    def _merged(held: list) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = (np.concatenate(x) for x in zip(*held))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
-        return keys[first], np.add.reduceat(counts, first) if len(first) else counts
-
-    def _rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts.astype(np.int64))], names=["key", "c"])
-
-    return coded.mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-
-
-def _suffixes(tree: Tree) -> list[np.ndarray]:
-    """For strings of k + 2 words the number of the string without its first word."""
-    found = []
-    for k, keys in enumerate(tree.keys):
-        context, last = keys >> SHIFT, keys & ((1 << SHIFT) - 1)
-        found.append(last if k == 0 else _find(tree.keys[k - 1], (found[k - 1][context] << SHIFT) | last))
-    return found
-
-
-def weigh(tree: Tree, total: int, different: int) -> Scores:
-    """Divergence tests, closure under suffixes, and smoothed distributions."""
-    root = (tree.counts + 0.1) / (total + 0.1 * (different + 1))
-    suffix = _suffixes(tree)
-    sizes = [len(tree.words), *map(len, tree.keys)]
-    counts = [tree.counts, *tree.string_counts]
-
-    def distributions(kept: list[np.ndarray] | None):
-        # of[k]: probability of the last word of each string of k + 1 words after the others, where its context isn't
-        # kept that of the shorter context.
-        of, rests, keeps = [root], [], []
-        for k, keys in enumerate(tree.keys):
-            context = keys >> SHIFT
-            n = np.bincount(context, minlength=sizes[k])
-            own = (tree.string_counts[k] - DISCOUNT) / counts[k][context]
-            parent = of[k][suffix[k]]
-            left = np.maximum(1 - np.bincount(context, own, sizes[k]), 1e-12)
-            parent_left = np.maximum(1 - np.bincount(context, parent, sizes[k]), 1e-12)
-            if kept is None:
-                gain = np.bincount(context, own * np.log(own / parent), sizes[k]) + left * np.log(left / parent_left)
-                keep = (n > 0) & (counts[k] * gain >= PENALTY * (n + 1))
-            else:
-                keep = kept[k]
-            keeps.append(keep)
-            rests.append(np.where(keep, left / parent_left, 1.0))
-            of.append(np.where(keep[context], own, parent))
-        return of, rests, keeps
-
-    _, _, kept = distributions(None)
-    for k in range(len(kept) - 1, 0, -1):
-        kept[k - 1][suffix[k - 1][kept[k]]] = True
-    of, rests, kept = distributions(kept)
-    return Scores(np.log10(root), [np.log10(x) for x in of[1:]], [np.log10(x) for x in rests], kept)
-
-
-class Words(NamedTuple):
-    """What a corpus's words say: the tree's frequent ones, the counts of the others, all and different tokens."""
-
-    tree: Tree
-    rare: DataFrame
-    total: int
-    different: int
-    fewest: int
-
-
-def learn_words(texts: DataFrame, fewest: int = FEWEST) -> Words:
-    """Count the words of a one-column table of texts."""
-    words = cut_lineage(count_words(texts))
-    total, different = (int(x or 0) for x in words.agg(F.sum("c"), F.count("*")).first())
-    some = words.where(F.col("c") >= fewest).toArrow().sort_by("word")
-    tree = Tree(some["word"].to_pylist(), some["c"].to_numpy(), [], [])
-    return Words(tree, words.where(F.col("c") < fewest), total, different, fewest)
-
-
-def grow(words: Words, coded: DataFrame, depth: int = DEPTH) -> tuple[Tree, Scores]:
-    """The tree of a table of coded texts, length by length, and its distributions, in memory."""
-    tree = words.tree
-    for _ in range(depth):
-        found = count_strings(coded.select("ids"), tree).where(F.col("c") >= words.fewest).toArrow().sort_by("key")
-        keys, counts = found["key"].to_numpy(), found["c"].to_numpy()
-        tree = tree._replace(keys=[*tree.keys, keys], string_counts=[*tree.string_counts, counts])
-        if not len(keys):
-            break
-    return tree, weigh(tree, words.total, words.different)
-
-
-def _word_scores(ids: np.ndarray, end: int, tree: Tree, scores: Scores) -> np.ndarray:
-    """Log10 probability of each token; of words that aren't frequent without their share at the root."""
-    found = _strings(ids, end, tree)
-    out, open_ = np.zeros(len(ids)), np.ones(len(ids), bool)
-    for k in range(len(tree.keys) - 1, -1, -1):
-        before = _context(found[k], ids, end)
-        here = open_ & (before >= 0)
-        here[here] = scores.kept[k][before[here]]
-        hit = here & (found[k + 1] >= 0)
-        out[hit] += scores.entry[k][found[k + 1][hit]]
-        miss = here & ~hit
-        out[miss] += scores.rest[k][before[miss]]
-        open_ &= ~hit
-    root = open_ & (ids >= 0)
-    out[root] += scores.root[ids[root]]
-    return out
-
-
 def held_out(key: Column) -> Column:
     """Documents not learned from: crc32 of the id as text, mod 10, is 0. A null id counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 10 == 0
@@ -331,7 +112,6 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         h ^= h >> np.uint64(32)
     return h.astype(np.int64)
 
-
 class Keys(dict):
     """Numbers of common words; of any other a negative 64-bit hash."""
 
@@ -339,131 +119,242 @@ class Keys(dict):
         return -1 - (int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little") >> 1)
 
 
-class Marks(NamedTuple):
-    """A bitmap that has every string of a table, and some others."""
+def pack(a: np.ndarray) -> bytes:
+    """Longs or doubles, compressed by their first bytes, second bytes, ..."""
+    return pa.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
 
-    bits: np.ndarray
 
-    def has(self, keys: np.ndarray) -> np.ndarray:
-        at = keys & (8 * len(self.bits) - 1)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+def unpack(data: bytes, n: int, dtype: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).reshape(-1).view(dtype)
 
 
-def mark(keys: DataFrame) -> Marks:
-    """Bitmap of the column ``key``; its size is bounded, and decides about work only."""
-    size = min(MOST_BITS, 1 << max(20, (MARK_BITS * keys.count()).bit_length()))
-    at = keys.select(F.col("key").bitwiseAND(F.lit(size - 1)).alias("at"))
-    blocks = at.groupBy(F.shiftright("at", 15).alias("block")).agg(
-        F.bitmap_construct_agg(F.col("at").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")
-    )
-    bits = np.zeros((size >> 15, 1 << 12), np.uint8)
-    for r in blocks.collect():
-        bits[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return Marks(bits.reshape(-1))
-
-
-def _all_strings(ids: np.ndarray, end: int, longest: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For 2, 3, ... words: the places where a string of so many ends, its key, its context's and its suffix's."""
-    found, key, there = [], ids, np.ones(len(ids), bool)
-    follows = np.append(False, ids[:-1] != end)
-    for _ in range(longest - 1):
-        there = there & follows & np.append(False, there[:-1])
-        at = np.flatnonzero(there)
-        context, suffix = key[at - 1], key[at]
-        key = np.zeros(len(ids), np.int64)
-        key[at] = pair_keys(context, suffix)
-        found.append((at, key[at], context, suffix))
-    return found
-
-
-def count_pairs(coded: DataFrame, end: int, length: int, shorter: Marks | None) -> DataFrame:
-    """``context, suffix, c`` of the strings of ``length`` words; where given, only if ``shorter`` has both parts.
-
-    ``coded`` has the one column ``ids``.
-    """
+class Plan(NamedTuple):
+    """What tasks know of the corpus: numbers of common words by their bounded list, and the ways to the buckets."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for part in _slices(batches):
-            _, key, context, suffix = _all_strings(part.column(0).flatten().to_numpy(), end, length)[-1]
-            if shorter:
-                ok = shorter.has(context) & shorter.has(suffix)
-                key, context, suffix = key[ok], context[ok], suffix[ok]
-            held.append((key, context, suffix, np.ones(len(key), np.int64)))
-            size += len(key)
-            if size > HELD:
-                yield _rows(held)
-                held, size = [], 0
-        if held:
-            yield _rows(held)
-
-    def _rows(held: list) -> pa.RecordBatch:
-        key, context, suffix, n = (np.concatenate(x) for x in zip(*held))
-        _, first, c = np.unique(key, return_index=True, return_counts=True)
-        columns = [pa.array(x) for x in (context[first], suffix[first], c.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, names=["context", "suffix", "c"])
-
-    counted = coded.mapInArrow(count, "context long, suffix long, c long")
-    return counted.groupBy("context", "suffix").agg(F.sum("c").alias("c"))
-
-
-def grow_tables(words: DataFrame, coded: DataFrame, end: int, norm: float, depth: int, fewest: int) -> DataFrame:
-    """``key, change``: by how much each string changes the log10 score of what its suffix says, where it does.
-
-    ``words`` has ``key, c``, ``coded`` the one column ``ids``. A kept context
-    takes part itself, with the log10 of the rest that it leaves to its suffix;
-    a string in a kept context with what it adds to that.
-    """
-    tables, marks = [], None
-    for k in range(depth):
-        found = count_pairs(coded, end, k + 2, marks).where(F.col("c") >= fewest)
-        tables.append(cut_lineage(found.withColumn("key", F.xxhash64("context", "suffix"))))
-        if k + 1 < depth:
-            marks = mark(tables[-1])
+    counts: np.ndarray  # of common words
+    hot: np.ndarray  # which of them are split
+    norm: float
+    buckets: int
+    depth: int
+    fewest: int
+
+
+class Hot(NamedTuple):
+    """Split words, sorted: whether their own context passed its test, is kept, and what it leaves to the root."""
+
+    words: np.ndarray
+    passed: np.ndarray
+    kept: np.ndarray
+    rest: np.ndarray
 
-    def joined(strings: DataFrame, parents: DataFrame) -> DataFrame:
-        return strings.join(parents.select(F.col("key").alias("suffix"), F.col("p").alias("parent")), "suffix")
 
-    def left(p: str):
-        return F.greatest(1 - F.sum(p), F.lit(1e-12))
+def _windows(ids: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words by distance from each place that has a word in front of it (NOTHING before a text), and these places."""
+    place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = np.flatnonzero(place > 0)
+    words = np.full((depth + 1, len(at)), NOTHING, np.int64)
+    for j in range(depth + 1):
+        ok = place[at] >= j
+        words[j][ok] = ids[at[ok] - j]
+    return words, at
 
-    root = words.select("key", ((F.col("c") + 0.1) / norm).alias("p"))
+
+def _is_hot(words: np.ndarray, plan: Plan) -> np.ndarray:
+    return (words >= 0) & plan.hot[np.maximum(words, 0)] if len(plan.hot) else np.zeros(len(words), bool)
+
+
+def _different(words: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different windows in order of their bucket, their buckets, and the window of each place.
+
+    A bucket has all windows of a last context word; of a split word, of the last two.
+    """
+    hot = _is_hot(words[1], plan)
+    second = words[2] if plan.depth > 1 else words[0]
+    named = pair_keys(words[1], np.where(hot, second, 0)).astype(np.uint64) % np.uint64(plan.buckets)
+    bucket = named.astype(np.int64) + np.where(hot, plan.buckets, 0)
+    order = np.lexsort([*words[[0, *range(plan.depth, 0, -1)]], bucket])
+    words = words[:, order]
+    new = np.append(True, (words[:, 1:] != words[:, :-1]).any(0)) if len(order) else np.zeros(0, bool)
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return words[:, new], bucket[order][new], which
+
+
+def _look_up(keys: np.ndarray, facts: dict[str, np.ndarray]) -> np.ndarray:
+    """Counts of keys, 0 where unknown."""
+    if not len(facts["key"]):
+        return np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(facts["key"], keys), len(facts["key"]) - 1)
+    return np.where(facts["key"][at] == keys, facts["c"][at], 0)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {name: batch.column(j)[i] for j, name in enumerate(batch.schema.names)}
+            yield row, unpack(row["ids"].as_py(), row["n"].as_py()), row["sizes"].values.to_numpy().astype(np.int64)
+
+
+def _facts(row: dict) -> dict[str, np.ndarray]:
+    found = row["facts"].values
+    if found is None or not len(found):
+        return {"key": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}
+    keys, counts = (found.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+    order = np.argsort(keys)
+    return {"key": keys[order], "c": counts[order]}
+
+
+def _dense(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers from 0 of pairs of numbers."""
+    return pd.factorize(a * (int(b.max(initial=0)) + 1) + b)[0]
+
+
+class Level(NamedTuple):
+    """Contexts of one length in a bucket, and the strings in them that take part."""
+
+    context: np.ndarray  # of each row, -1 for none
+    string: np.ndarray  # of each row, -1 for none
+    whole: np.ndarray  # by context
+    shorter: np.ndarray  # by context: the number of its suffix
+    inside: np.ndarray  # by string: its context
+    count: np.ndarray  # by string
+    parent: np.ndarray  # by string: the number of its suffix
+
+
+def _levels(words: np.ndarray, c: np.ndarray, depth: int, fewest: int) -> list[Level]:
+    """Count the strings of 2 to ``depth + 1`` words that end rows."""
+    target = pd.factorize(words[0])[0]
+    n = len(target)
+    valid = alive = np.ones(n, bool)
+    context, string = np.zeros(n, np.int64), target
+    levels = []
+    for k in range(1, depth + 1):
+        valid = valid & (words[k] != NOTHING)
+        last, before = context, string
+        context = np.full(n, -1, np.int64)
+        context[valid] = _dense(last[valid], pd.factorize(words[k][valid])[0])
+        rows = valid & alive
+        named = np.full(n, -1, np.int64)
+        named[rows] = _dense(context[rows], target[rows])
+        count = np.bincount(named[rows], c[rows])
+        ok = count >= fewest
+        number = np.where(ok, np.cumsum(ok) - 1, -1)
+        string = np.full(n, -1, np.int64)
+        string[rows] = number[named[rows]]
+        alive = string >= 0
+        contexts, strings = int(context.max(initial=-1)) + 1, int(ok.sum())
+        shorter, inside, parent = np.zeros(contexts, np.int64), np.zeros(strings, np.int64), np.zeros(strings, np.int64)
+        shorter[context[valid]] = last[valid]
+        inside[string[alive]], parent[string[alive]] = context[alive], before[alive]
+        whole = np.bincount(context[valid], c[valid], contexts)
+        levels.append(Level(context, string, whole, shorter, inside, count[ok], parent))
+    return levels
+
+
+def _left(level: Level, p: np.ndarray) -> np.ndarray:
+    return np.maximum(1 - np.bincount(level.inside, p, len(level.whole)), 1e-12)
+
+
+def _solve(m: np.ndarray, plan: Plan, hot: Hot | None) -> tuple[np.ndarray, np.ndarray]:
+    """What contexts change of the log10 score of each row, and the split words whose kept longer contexts need them.
+
+    Rows of ``m``: the words of a window, its training count, the count of its
+    last word, that of its last two where the context's last word is split.
+    ``hot`` is given where all windows are of split words.
+    """
+    words, c, of_word, of_pair = m[:-3], m[-3], m[-2], m[-1]
+    root = (of_word + 0.1) / plan.norm
+    levels = _levels(words, c, plan.depth, plan.fewest)
+    base = 0 if hot is None else 1
+    change = np.zeros(len(c))
+    tested = closed = root
+    if hot is not None:
+        at = np.searchsorted(hot.words, words[1])
+        seen = of_pair >= plan.fewest
+        own = np.where(seen, of_pair - DISCOUNT, 1.0) / plan.counts[words[1]]
+        tested = np.where(hot.passed[at] & seen, own, root)
+        closed = np.where(hot.kept[at] & seen, own, root)
+        change += np.where(hot.kept[at], np.where(seen, np.log10(own / root), hot.rest[at]), 0.0)
+
+    def parents(k: int, first: np.ndarray, of: np.ndarray | None) -> np.ndarray:
+        level = levels[k]
+        if k > base:
+            return of[level.parent]
+        out = np.zeros(len(level.count))
+        some = level.string >= 0
+        out[level.string[some]] = first[some]
+        return out
+
+    owns = [(x.count - DISCOUNT) / x.whole[x.inside] for x in levels]
     # The divergence tests, each against the shorter contexts that have passed theirs.
-    of, strings, kept = root, [], []
-    counts = [words, *tables]
-    for k, table in enumerate(tables):
-        whole = counts[k].select(F.col("key").alias("context"), F.col("c").alias("whole"))
-        own = table.join(whole, "context").withColumn("own", (F.col("c") - DISCOUNT) / F.col("whole"))
-        own = cut_lineage(joined(own.select("key", "context", "suffix", "whole", "own"), of))
-        tests = own.groupBy("context").agg(
-            F.first("whole").alias("whole"), F.count("*").alias("n"), left("own").alias("left"), left("parent").alias("parent_left"),
-            F.sum(F.col("own") * F.log(F.col("own") / F.col("parent"))).alias("gain"),
-        )
-        gain = F.col("whole") * (F.col("gain") + F.col("left") * F.log(F.col("left") / F.col("parent_left")))
+    keeps: list[np.ndarray] = [np.zeros(len(x.whole), bool) for x in levels]
+    of = None
+    for k in range(base, plan.depth):
+        level, own = levels[k], owns[k]
+        parent = parents(k, tested, of)
+        n = np.bincount(level.inside, minlength=len(level.whole))
+        left = _left(level, own)
+        gain = np.bincount(level.inside, own * np.log(own / parent), len(level.whole)) + left * np.log(left / _left(level, parent))
         # Rounded, so that the order of sums decides nothing.
-        passed = cut_lineage(tests.where(F.round(gain - PENALTY * (F.col("n") + 1), 9) >= 0).select("context"))
-        strings.append(own.drop("whole", "parent"))
-        kept.append(passed)
-        if k + 1 < depth:
-            marked = own.join(passed.withColumn("keep", F.lit(True)), "context", "left")
-            of = cut_lineage(marked.select("key", F.when(F.col("keep"), F.col("own")).otherwise(F.col("parent")).alias("p")))
+        keeps[k] = (n > 0) & (np.round(level.whole * gain - PENALTY * (n + 1), 9) >= 0)
+        of = np.where(keeps[k][level.inside], own, parent)
     # Suffixes of kept contexts are kept.
-    for k in range(depth - 1, 0, -1):
-        suffixes = tables[k - 1].join(kept[k].withColumnRenamed("context", "key"), "key").select(F.col("suffix").alias("context"))
-        kept[k - 1] = cut_lineage(kept[k - 1].union(suffixes).distinct())
-    of, changes = root, []
-    for k in range(depth):
-        own = cut_lineage(joined(strings[k], of).join(kept[k].withColumn("keep", F.lit(True)), "context", "left"))
-        inside = own.where("keep")
-        rests = cut_lineage(inside.groupBy("context").agg(F.log10(left("own") / left("parent")).alias("rest")))
-        changes.append(rests.select(F.col("context").alias("key"), F.col("rest").alias("change")))
-        change = F.log10(F.col("own") / F.col("parent")) - F.col("rest")
-        changes.append(inside.join(rests, "context").select("key", change.alias("change")))
-        of = own.select("key", F.when(F.col("keep"), F.col("own")).otherwise(F.col("parent")).alias("p"))
-    out = changes[0]
-    for c in changes[1:]:
-        out = out.union(c)
-    return cut_lineage(out)
+    for k in range(plan.depth - 1, base, -1):
+        keeps[k - 1][levels[k].shorter[keeps[k]]] = True
+    needed = np.zeros(0, np.int64)
+    if hot is not None and plan.depth > 1:
+        some = levels[1].context >= 0
+        needed = np.unique(words[1][some][keeps[1][levels[1].context[some]]])
+    for k in range(base, plan.depth):
+        level, own, keep = levels[k], owns[k], keeps[k]
+        parent = parents(k, closed, of)
+        rest = np.log10(_left(level, own) / _left(level, parent))
+        ratio = np.log10(own / parent)
+        rows = np.flatnonzero(level.context >= 0)
+        rows = rows[keep[level.context[rows]]]
+        inside = level.string[rows] >= 0
+        change[rows[inside]] += ratio[level.string[rows[inside]]]
+        change[rows[~inside]] += rest[level.context[rows[~inside]]]
+        of = np.where(keep[level.inside], own, parent)
+    return change, needed
+
+
+def _bucket(table: pa.Table, rows: int) -> tuple[list[int], list[np.ndarray]]:
+    sizes = table["n"].to_pylist()
+    return sizes, [unpack(d, rows * n).reshape(rows, n) for d, n in zip(table["data"].to_pylist(), sizes)]
+
+
+def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFrame, Hot]:
+    """Counts of the pairs that start with a split word, ``key, c``, and the words' own tests."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, ids, sizes in _chunks(batches):
+            trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+            place, at = _windows(ids, sizes, 1)
+            pair = place[:, np.repeat(trained, sizes)[at] & _is_hot(place[1], plan)]
+            pair, n = np.unique(pair, axis=1, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[1]), pa.array(pair[0]), pa.array(n)], names=["first", "second", "n"])
+
+    found = coded.mapInArrow(count, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("c"))
+    pairs = cut_lineage(found.where(F.col("c") >= plan.fewest).withColumn("key", F.xxhash64("first", "second")))
+    second = words.select(F.col("key").alias("second"), ((F.col("c") + 0.1) / plan.norm).alias("parent"))
+    first = words.select(F.col("key").alias("first"), F.col("c").alias("whole"))
+    own = pairs.join(second, "second").join(first, "first").withColumn("own", (F.col("c") - DISCOUNT) / F.col("whole"))
+    tests = own.groupBy("first").agg(
+        F.first("whole").alias("whole"), F.count("*").alias("n"),
+        F.greatest(1 - F.sum("own"), F.lit(1e-12)).alias("left"), F.greatest(1 - F.sum("parent"), F.lit(1e-12)).alias("parent_left"),
+        F.sum(F.col("own") * F.log(F.col("own") / F.col("parent"))).alias("gain"),
+    )
+    # One row a split word, at most 1 / COMMON.
+    t = {r["first"]: r for r in tests.collect()}
+    hot = np.flatnonzero(plan.hot)
+    passed, rest = np.zeros(len(hot), bool), np.zeros(len(hot))
+    for i, r in ((i, t[w]) for i, w in enumerate(hot.tolist()) if w in t):
+        ratio = r["left"] / r["parent_left"]
+        gain = r["whole"] * (r["gain"] + r["left"] * math.log(ratio))
+        passed[i], rest[i] = round(gain - PENALTY * (r["n"] + 1), 9) >= 0, math.log10(ratio)
+    return pairs.select("key", "c"), Hot(hot, passed, passed, rest)
 
 
 def score_documents(
@@ -475,9 +366,10 @@ def score_documents(
     rows stay, one result each; other columns take no part. Without training rows
     every token has probability 1 over the single unknown word.
 
-    Texts are read twice, to count words and to code them as numbers; all further
-    passes read numbers. Counts of words that aren't common, and what strings
-    change, are looked up by a join of one row per document and string.
+    Texts are read twice, to count words and to code them as numbers, in chunks of
+    about ``CHUNK`` tokens. A chunk asks for the counts of its words that aren't
+    common, sends its different windows to their buckets and gets back what
+    contexts change of each window's score.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
@@ -485,9 +377,10 @@ def score_documents(
     norm = total + 0.1 * (different + 1)
     # 1 / COMMON words at most.
     some = counted.where(F.col("c") >= COMMON * total).toArrow().sort_by("word")
-    common = some["word"].to_pylist()
-    root = np.log10((some["c"].to_numpy() + 0.1) / norm)
-    end = Keys((w, i) for i, w in enumerate(common))[END]
+    common, counts = some["word"].to_pylist(), some["c"].to_numpy()
+    is_hot = (counts > max(BUCKET // 2, COMMON * total)) & np.array([w != END for w in common], bool)
+    plan = Plan(counts, is_hot, norm, max(1, math.ceil(total / BUCKET)), depth, fewest)
+    kind = docs.schema[key].dataType.simpleString()
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = Keys((w, i) for i, w in enumerate(common))
@@ -497,68 +390,115 @@ def score_documents(
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = Keys((w, i) for i, w in enumerate(common))
+        parts, held, size = [], [], 0
+
+        def chunk() -> pa.RecordBatch:
+            docs = pa.Table.from_batches(parts).combine_chunks()
+            ids = np.concatenate(held)
+            ends = pa.array([0, docs.num_rows], pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, docs.column(i).combine_chunks()) for i in range(3)]
+            arrays = [*lists, pa.array([len(ids)], pa.int64()), pa.array([pack(ids)], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["keys", "held", "sizes", "n", "ids"])
+
         for part in _slices(batches):
-            tokens = [tokens_of(t) for t in part.column(2).to_pylist()]
-            flat = list(chain.from_iterable(tokens))
-            ids = pa.array(np.fromiter(map(keys.__getitem__, flat), np.int64, len(flat)))
-            ends = pa.array(np.append(0, np.cumsum([len(t) for t in tokens])), pa.int32())
-            lists = pa.ListArray.from_arrays(ends, ids)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], names=["key", "held_out", "ids"])
+            # One text at a time, so that a chunk grows beyond its size by one text at most.
+            for i, content in enumerate(part.column(2).to_pylist()):
+                tokens = tokens_of(content)
+                held.append(np.fromiter(map(keys.__getitem__, tokens), np.int64, len(tokens)))
+                size += len(tokens)
+                one = [part.column(0).slice(i, 1), part.column(1).slice(i, 1), pa.array([len(tokens)], pa.int32())]
+                parts.append(pa.RecordBatch.from_arrays(one, names=["key", "held", "size"]))
+                if size >= CHUNK:
+                    yield chunk()
+                    parts, held, size = [], [], 0
+        if parts:
+            yield chunk()
 
-    kind = docs.schema[key].dataType.simpleString()
     words = cut_lineage(counted.mapInArrow(name, "key long, c long"))
-    # Numbered and written in one go: the numbers hold from here on, and texts aren't split into words again.
-    coded = rows.mapInArrow(code, f"key {kind}, held_out boolean, ids array<long>")
-    coded = cut_lineage(coded.withColumn("row", F.monotonically_increasing_id()))
-    changes = grow_tables(words, coded.where("NOT held_out").select("ids"), end, norm, depth, fewest)
-    marks = mark(changes)
+    coded = rows.mapInArrow(code, f"keys array<{kind}>, held array<boolean>, sizes array<int>, n long, ids binary")
+    # Numbered and written in one go: the numbers hold from here on.
+    coded = cut_lineage(coded.withColumn("chunk", F.monotonically_increasing_id()))
+    known, hot = words.where("key < 0"), None
+    if is_hot.any():
+        pairs, hot = _split_words(coded, words, plan)
+        known = known.union(pairs)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, ids, sizes in _chunks(batches):
+            pair, _ = _windows(ids, sizes, 1)
+            pair = pair[:, _is_hot(pair[1], plan)]
+            wanted = np.unique(np.concatenate([ids[ids < 0], pair_keys(pair[1], pair[0])]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wanted), row["chunk"].as_py())), pa.array(wanted)], names=["chunk", "key"])
+
+    answers = coded.select("chunk", "n", "ids", "sizes").mapInArrow(ask, "chunk long, key long").join(known, "key")
+    # At most two a token of the chunk.
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias("facts"))
+    facts = cut_lineage(coded.join(answers, "chunk", "left"))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, ids, sizes in _chunks(batches):
+            trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+            place, at = _windows(ids, sizes, depth)
+            windows, bucket, which = _different(place, plan)
+            n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
+            found, last = _facts(row), windows[0]
+            of_word = _look_up(last, found)
+            if len(counts):
+                of_word = np.where(last >= 0, counts[np.maximum(last, 0)], of_word)
+            of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], last), found), 0)
+            m = np.vstack([windows, n, of_word, of_pair])
+            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else 0, len(bucket))
+            spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
+            arrays = [
+                pa.array([int(bucket[a]) for a, _ in spans], pa.int64()), pa.array([row["chunk"].as_py()] * len(spans), pa.int64()),
+                pa.array([int(b - a) for a, b in spans], pa.int64()), pa.array([pack(m[:, a:b]) for a, b in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "n", "data"])
+
+    sent = facts.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(send, "bucket long, chunk long, n long, data binary")
+    if hot is not None:
+        sent = cut_lineage(sent)
+        tested = hot
+
+        def need(table: pa.Table) -> pa.Table:
+            _, parts = _bucket(table, depth + 4)
+            return pa.table({"word": _solve(np.hstack(parts), plan, tested)[1]})
+
+        # One row a split word.
+        more = sent.where(F.col("bucket") >= plan.buckets).groupBy("bucket").applyInArrow(need, "word long").distinct()
+        wanted = more.toArrow()["word"].to_numpy()
+        hot = hot._replace(kept=hot.passed | np.isin(hot.words, wanted))
+
+    def solve(table: pa.Table) -> pa.Table:
+        sizes, parts = _bucket(table, depth + 4)
+        change, _ = _solve(np.hstack(parts), plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
+        ends = np.append(0, np.cumsum(sizes))
+        data = [pack(change[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "data": pa.array(data, pa.binary())})
+
+    solved = sent.groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary")
+    changes = solved.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("changes"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            lists = part.column(3)
-            ids, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        for row, ids, sizes in _chunks(batches):
+            place, at = _windows(ids, sizes, depth)
+            windows, _, which = _different(place, plan)
+            of_word = _look_up(ids, _facts(row))
+            if len(counts):
+                of_word = np.where(ids >= 0, counts[np.maximum(ids, 0)], of_word)
+            base = np.log10((of_word + 0.1) / norm)
+            got = sorted((row["changes"].as_py() or []), key=lambda x: x["bucket"])
+            change = np.concatenate([np.zeros(0), *(unpack(x["data"], x["n"], np.float64) for x in got)])
+            full = base.copy()
+            full[at] += change[which]
             starts = np.cumsum(sizes) - sizes
-            known = ids >= 0
-            base = np.where(known, root[np.maximum(ids, 0)] if len(root) else 0.0, 0.0)
-            sums = [pa.array(np.add.reduceat(x, starts)) for x in (known.astype(np.int64), base)]
-            arrays = [*part.columns[:3], pa.array(sizes.astype(np.int64)), *sums]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "held_out", "n_tokens", "known", "base"])
+            sums = [pa.array(np.add.reduceat(x, starts)) for x in ((of_word > 0).astype(np.int64), base, full)]
+            names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
+            yield pa.RecordBatch.from_arrays([row["keys"].values, row["held"].values, pa.array(sizes), *sums], names=names)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            ids = part.column(1).flatten().to_numpy()
-            owner = np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy())
-            places = [np.flatnonzero((ids < 0) | marks.has(ids))]
-            keys = [ids[places[0]]]
-            for at, of, _, _ in _all_strings(ids, end, depth + 1):
-                ok = marks.has(of)
-                places.append(at[ok])
-                keys.append(of[ok])
-            whose, of = owner[np.concatenate(places)], np.concatenate(keys)
-            order = np.lexsort((of, whose))
-            whose, of = whose[order], of[order]
-            first = np.flatnonzero(np.append(True, (whose[1:] != whose[:-1]) | (of[1:] != of[:-1]))) if len(of) else np.zeros(0, int)
-            n = np.diff(np.append(first, len(of)))
-            row = part.column(0).to_numpy()[whose[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(of[first]), pa.array(n)], names=["row", "string", "n"])
-
-    scored = coded.select("row", "key", "held_out", "ids").mapInArrow(
-        score, f"row long, key {kind}, held_out boolean, n_tokens long, known long, base double"
-    )
-    share = F.log10((F.col("c") + 0.1) / norm)
-    rare = words.where("key < 0").select(F.col("key").alias("string"), F.lit(1).alias("word"), share.alias("share"), F.lit(0.0).alias("change"))
-    said = rare.union(changes.select(F.col("key").alias("string"), F.lit(0).alias("word"), F.lit(0.0).alias("share"), "change"))
-    asked = coded.select("row", "ids").mapInArrow(ask, "row long, string long, n long").join(said, "string")
-    found = asked.groupBy("row").agg(
-        F.sum(F.col("n") * F.col("word")).alias("found"),
-        F.sum(F.col("n") * F.col("share")).alias("share"),
-        F.sum(F.col("n") * F.col("change")).alias("change"),
+    scored = facts.join(changes, "chunk", "left").mapInArrow(
+        score, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
-    both = scored.join(found, "row", "left").na.fill({"found": 0, "share": 0.0, "change": 0.0})
-    unknown = (F.col("n_tokens") - F.col("known") - F.col("found")) * math.log10(0.1 / norm)
-    return both.select(
-        F.col("key").alias(key), "held_out", "n_tokens", (F.col("known") + F.col("found")).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("share") + unknown).alias("base_score"),
-        (F.col("base") + F.col("share") + unknown + F.col("change")).alias("score"),
+    return scored.select(
+        F.col("key").alias(key), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -17,6 +17,7 @@ import sentencepiece
 import xxhash
 from oracle import compare, connect
 
+import plain_tree
 from corpusloom.llm import chat_layouts, chunk_prints, pu_quality, suffix_tree, text_density, voronoi_knn
 from corpusloom.llm import queries as q
 from corpusloom.llm.piece_table import PieceTable, encode_texts
@@ -282,8 +283,8 @@ def test_suffix_tree_is_a_distribution(spark):
 
     # After any two words the probabilities of all words and of the unknown one add up to 1.
     train = df.where(~suffix_tree.held_out(df["doc_id"])).selectExpr("doc_id AS key", "false AS held_out", "text")
-    learned_words = suffix_tree.learn_words(train.select("text"))
-    tree, scores = suffix_tree.grow(learned_words, suffix_tree.code_texts(train, learned_words.tree))
+    learned_words = plain_tree.learn_words(train.select("text"))
+    tree, scores = plain_tree.grow(learned_words, plain_tree.code_texts(train, learned_words.tree))
     assert any(k.any() for k in scores.kept)
     number, norm = {w: i for i, w in enumerate(tree.words)}, n + 0.1 * (v + 1)
     for first in ("the cat", "a dog", "y the", "unseen x"):
@@ -291,7 +292,7 @@ def test_suffix_tree_is_a_distribution(spark):
         total_p = 0.0
         for w in [*(w.encode() for w in learned), b"never seen"]:
             ids = np.array([*history, number.get(w, -1)])
-            own = suffix_tree._word_scores(ids, number[b"\n"], tree, scores)[-1]
+            own = plain_tree._word_scores(ids, number[b"\n"], tree, scores)[-1]
             total_p += 10 ** (own if w in number else own + math.log10((learned[w.decode()] + 0.1) / norm))
         assert abs(total_p - 1) < 1e-6
     assert suffix_tree.score_documents(df.where("false")).count() == 0
@@ -312,28 +313,49 @@ def test_suffix_tree_keeps_contexts_at_any_size(spark, monkeypatch):
     texts = [" ".join(rng.choice(said) if rng.random() < 0.8 else "w%d" % rng.randint(0, 60) for _ in range(20)) for _ in range(80)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     rows = df.select(F.col("doc_id").alias("key"), suffix_tree.held_out(df["doc_id"]).alias("held_out"), "text")
-    words = suffix_tree.learn_words(rows.where("NOT held_out").select("text"))
-    coded = suffix_tree.code_texts(rows, words.tree)
-    tree, scores = suffix_tree.grow(words, coded.where("NOT held_out"))
+    words = plain_tree.learn_words(rows.where("NOT held_out").select("text"))
+    coded = plain_tree.code_texts(rows, words.tree)
+    tree, scores = plain_tree.grow(words, coded.where("NOT held_out"))
     assert all(k.any() for k in scores.kept)
-    want = {r["key"]: float(suffix_tree._word_scores(np.array(r["ids"]), tree.end, tree, scores).sum()) for r in coded.collect()}
+    want = {r["key"]: float(plain_tree._word_scores(np.array(r["ids"]), tree.end, tree, scores).sum()) for r in coded.collect()}
     base = {r["key"]: sum(scores.root[i] for i in r["ids"] if i >= 0) for r in coded.collect()}
-    for share in (1e-6, 0.01, 1.0):
+    for share, bucket, chunk, split in [(1e-6, 10**6, 10**6, 0), (0.01, 10**6, 100, 0), (1.0, 200, 500, 0), (1e-6, 100, 300, 4), (0.001, 20, 50, 9)]:
         monkeypatch.setattr(suffix_tree, "COMMON", share)
+        monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
+        monkeypatch.setattr(suffix_tree, "CHUNK", chunk)
+        assert sum(c > max(bucket // 2, share * words.total) for c in tree.counts) >= split
         found = suffix_tree.score_documents(df).collect()
         assert len(found) == len(texts)
         for r in found:
             assert abs((r["score"] - r["base_score"]) - (want[r["doc_id"]] - base[r["doc_id"]])) < 1e-6
 
 
-def test_suffix_tree_drops_no_context_of_a_large_corpus(spark):
-    # Two million tokens more made a share of 1e-6 of what three repetitions don't reach.
-    import inspect
+def test_suffix_tree_with_a_split_word_that_only_longer_contexts_keep(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    # "of" is followed by all words alike, but after "king of" always by one.
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randint(0, 30)} of w{rng.randint(0, 30)}" for _ in range(40)) + " king of spain" for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = df.select(F.col("doc_id").alias("key"), suffix_tree.held_out(df["doc_id"]).alias("held_out"), "text")
+    words = plain_tree.learn_words(rows.where("NOT held_out").select("text"))
+    coded = plain_tree.code_texts(rows, words.tree)
+    tree, scores = plain_tree.grow(words, coded.where("NOT held_out"))
+    want = {r["key"]: float(plain_tree._word_scores(np.array(r["ids"]), tree.end, tree, scores).sum()) for r in coded.collect()}
+    base = {r["key"]: sum(scores.root[i] for i in r["ids"] if i >= 0) for r in coded.collect()}
+    for bucket in (10**6, 1000):
+        monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
+        for r in suffix_tree.score_documents(df).collect():
+            assert abs((r["score"] - r["base_score"]) - (want[r["doc_id"]] - base[r["doc_id"]])) < 1e-6
 
-    assert "least" not in inspect.signature(suffix_tree.score_documents).parameters
-    texts = [(i, "red fox jumps") for i in range(1, 4)] + [(100 + i, "pad " * 400_000) for i in range(12)]
-    learned = suffix_tree.learn_words(spark.createDataFrame(texts, "doc_id long, text string").select("text"))
-    assert learned.total > 3e6 and learned.fewest == 2 and b"fox" in learned.tree.words
+
+def test_suffix_tree_drops_no_context_of_a_large_corpus(spark):
+    # Five million tokens more made a share of 1e-6 of what three repetitions don't reach; one word is two thirds of all.
+    texts = [(i, "red fox jumps") for i in (1, 2, 3)] + [(100 + i, "pad pad of%d " % (i % 3) * 140_000) for i in range(12)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r for r in suffix_tree.score_documents(df).collect()}
+    assert len(found) == 15 and found[1]["train_tokens"] > 3e6
+    assert found[1]["score"] > found[1]["base_score"] + 8
 
 
 # ---- nearest neighbours
