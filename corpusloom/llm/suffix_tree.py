@@ -36,18 +36,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_lineage, delete_table
 
 #: Longest context, and smallest count of a string that takes part.
 DEPTH, FEWEST = 3, 2
-#: Share of all tokens from which tasks hold a word's count themselves, instead of joining it: 1 / COMMON words at most.
-COMMON = 1e-6
+#: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
+COMMON, HELD_COUNTS = 500_000, 1_000_000
 #: Tokens of a chunk of texts, and windows of a bucket, about.
 CHUNK, BUCKET = 500_000, 1_000_000
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
 DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
 NOTHING = np.iinfo(np.int64).min  # in place of a word before the first
+UNSEEN = NOTHING + 1  # in place of a word seen too seldom for any string
 SLICE = 256
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
@@ -160,6 +161,23 @@ def _windows(ids: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray
     return words, at
 
 
+def _seen_windows(
+    ids: np.ndarray, sizes: np.ndarray, found: dict[str, np.ndarray], depth: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Windows without words that are too rare for any string: contexts end there, as last words they are all one."""
+    rare = np.flatnonzero(ids < 0)
+    ids = ids.copy()
+    ids[rare[_look_up(ids[rare], found) == 0]] = UNSEEN
+    words, at = _windows(ids, sizes, depth)
+    some = words[1] != UNSEEN
+    words, at = words[:, some], at[some]
+    cut = np.zeros(len(at), bool)
+    for k in range(2, depth + 1):
+        cut |= words[k] == UNSEEN
+        words[k][cut] = NOTHING
+    return words, at
+
+
 def _is_hot(words: np.ndarray, plan: Plan) -> np.ndarray:
     return (words >= 0) & plan.hot[np.maximum(words, 0)] if len(plan.hot) else np.zeros(len(words), bool)
 
@@ -196,8 +214,11 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarra
             yield row, unpack(row["ids"].as_py(), row["n"].as_py()), row["sizes"].values.to_numpy().astype(np.int64)
 
 
-def _facts(row: dict) -> dict[str, np.ndarray]:
-    found = row["facts"].values
+def _counts(words: np.ndarray, of_rare: np.ndarray, plan: Plan) -> np.ndarray:
+    return np.where(words >= 0, plan.counts[np.maximum(words, 0)], of_rare) if len(plan.counts) else of_rare
+
+
+def _facts(found: pa.Array | None) -> dict[str, np.ndarray]:
     if found is None or not len(found):
         return {"key": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}
     keys, counts = (found.field(i).to_numpy(zero_copy_only=False) for i in range(2))
@@ -226,7 +247,7 @@ def _levels(words: np.ndarray, c: np.ndarray, depth: int, fewest: int) -> list[L
     """Count the strings of 2 to ``depth + 1`` words that end rows."""
     target = pd.factorize(words[0])[0]
     n = len(target)
-    valid = alive = np.ones(n, bool)
+    valid, alive = np.ones(n, bool), words[0] != UNSEEN
     context, string = np.zeros(n, np.int64), target
     levels = []
     for k in range(1, depth + 1):
@@ -259,12 +280,12 @@ def _left(level: Level, p: np.ndarray) -> np.ndarray:
 def _solve(m: np.ndarray, plan: Plan, hot: Hot | None) -> tuple[np.ndarray, np.ndarray]:
     """What contexts change of the log10 score of each row, and the split words whose kept longer contexts need them.
 
-    Rows of ``m``: the words of a window, its training count, the count of its
-    last word, that of its last two where the context's last word is split.
+    Rows of ``m``: the words of a window, its training count, the count of its last
+    word unless common, that of its last two where the context's last word is split.
     ``hot`` is given where all windows are of split words.
     """
     words, c, of_word, of_pair = m[:-3], m[-3], m[-2], m[-1]
-    root = (of_word + 0.1) / plan.norm
+    root = (_counts(words[0], of_word, plan) + 0.1) / plan.norm
     levels = _levels(words, c, plan.depth, plan.fewest)
     base = 0 if hot is None else 1
     change = np.zeros(len(c))
@@ -346,7 +367,7 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
         F.greatest(1 - F.sum("own"), F.lit(1e-12)).alias("left"), F.greatest(1 - F.sum("parent"), F.lit(1e-12)).alias("parent_left"),
         F.sum(F.col("own") * F.log(F.col("own") / F.col("parent"))).alias("gain"),
     )
-    # One row a split word, at most 1 / COMMON.
+    # One row a split word, COMMON at most.
     t = {r["first"]: r for r in tests.collect()}
     hot = np.flatnonzero(plan.hot)
     passed, rest = np.zeros(len(hot), bool), np.zeros(len(hot))
@@ -357,6 +378,12 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
     return pairs.select("key", "c"), Hot(hot, passed, passed, rest)
 
 
+def _drop(table: DataFrame) -> None:
+    """Delete a table of ``cut_lineage`` that a written one has replaced."""
+    for path in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        delete_table(table.sparkSession, path)
+
+
 def score_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH, fewest: int = FEWEST
 ) -> DataFrame:
@@ -367,18 +394,18 @@ def score_documents(
     every token has probability 1 over the single unknown word.
 
     Texts are read twice, to count words and to code them as numbers, in chunks of
-    about ``CHUNK`` tokens. A chunk asks for the counts of its words that aren't
-    common, sends its different windows to their buckets and gets back what
-    contexts change of each window's score.
+    about ``CHUNK`` tokens. A chunk sends its different windows to their buckets and
+    gets back what contexts change of each window's score.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
     counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
-    total, different = (int(x or 0) for x in counted.agg(F.sum("c"), F.count("*")).first())
+    sizes = {r["bits"]: r for r in counted.groupBy(F.length(F.bin("c")).alias("bits")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
+    total, different = sum(r["c"] for r in sizes.values()), sum(r["n"] for r in sizes.values())
     norm = total + 0.1 * (different + 1)
-    # 1 / COMMON words at most.
-    some = counted.where(F.col("c") >= COMMON * total).toArrow().sort_by("word")
+    bits = next(b for b in range(2, 66) if sum(r["n"] for k, r in sizes.items() if k >= b) <= COMMON)
+    some = counted.where(F.col("c") >= F.lit(1 << (bits - 1))).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     common, counts = some["word"].to_pylist(), some["c"].to_numpy()
-    is_hot = (counts > max(BUCKET // 2, COMMON * total)) & np.array([w != END for w in common], bool)
+    is_hot = (counts > BUCKET // 2) & np.array([w != END for w in common], bool)
     plan = Plan(counts, is_hot, norm, max(1, math.ceil(total / BUCKET)), depth, fewest)
     kind = docs.schema[key].dataType.simpleString()
 
@@ -415,10 +442,11 @@ def score_documents(
             yield chunk()
 
     words = cut_lineage(counted.mapInArrow(name, "key long, c long"))
+    _drop(counted)
     coded = rows.mapInArrow(code, f"keys array<{kind}>, held array<boolean>, sizes array<int>, n long, ids binary")
     # Numbered and written in one go: the numbers hold from here on.
     coded = cut_lineage(coded.withColumn("chunk", F.monotonically_increasing_id()))
-    known, hot = words.where("key < 0"), None
+    known, hot = words.where((F.col("key") < 0) & (F.col("c") >= fewest)), None
     if is_hot.any():
         pairs, hot = _split_words(coded, words, plan)
         known = known.union(pairs)
@@ -427,37 +455,58 @@ def score_documents(
         for row, ids, sizes in _chunks(batches):
             pair, _ = _windows(ids, sizes, 1)
             pair = pair[:, _is_hot(pair[1], plan)]
-            wanted = np.unique(np.concatenate([ids[ids < 0], pair_keys(pair[1], pair[0])]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wanted), row["chunk"].as_py())), pa.array(wanted)], names=["chunk", "key"])
-
-    answers = coded.select("chunk", "n", "ids", "sizes").mapInArrow(ask, "chunk long, key long").join(known, "key")
-    # At most two a token of the chunk.
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias("facts"))
-    facts = cut_lineage(coded.join(answers, "chunk", "left"))
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, sizes in _chunks(batches):
-            trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
-            place, at = _windows(ids, sizes, depth)
-            windows, bucket, which = _different(place, plan)
-            n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
-            found, last = _facts(row), windows[0]
-            of_word = _look_up(last, found)
-            if len(counts):
-                of_word = np.where(last >= 0, counts[np.maximum(last, 0)], of_word)
-            of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], last), found), 0)
-            m = np.vstack([windows, n, of_word, of_pair])
-            cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else 0, len(bucket))
-            spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
-            arrays = [
-                pa.array([int(bucket[a]) for a, _ in spans], pa.int64()), pa.array([row["chunk"].as_py()] * len(spans), pa.int64()),
-                pa.array([int(b - a) for a, b in spans], pa.int64()), pa.array([pack(m[:, a:b]) for a, b in spans], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "n", "data"])
-
-    sent = facts.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(send, "bucket long, chunk long, n long, data binary")
-    if hot is not None:
-        sent = cut_lineage(sent)
+            yield _asked(row, np.unique(np.concatenate([ids[ids < 0], pair_keys(pair[1], pair[0])])))
+
+    def ask_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, ids, _ in _chunks(batches):
+            ids = np.unique(ids[ids < 0])
+            yield _asked(row, ids[_look_up(ids, found_by(row)) == 0])
+
+    def _asked(row: dict, keys: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row["chunk"].as_py())), pa.array(keys)], names=["chunk", "key"])
+
+    def answered(asked: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        # At most two keys a token of the chunk.
+        return asked.join(table, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias(column))
+
+    if known.count() <= HELD_COUNTS:
+        held = _facts(pa.StructArray.from_arrays([x.combine_chunks() for x in known.select("key", "c").toArrow().columns], ["key", "c"]))
+        chunks = coded.withColumn("facts", F.lit(None).cast("array<struct<key: long, c: long>>"))
+    else:
+        held = None
+        chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known, "facts"), "chunk", "left"))
+        _drop(coded)
+
+    def found_by(row: dict) -> dict[str, np.ndarray]:
+        return _facts(row["facts"].values) if held is None else held
+
+    def send(only: np.ndarray | None):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row, ids, sizes in _chunks(batches):
+                trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+                found = found_by(row)
+                place, at = _seen_windows(ids, sizes, found, depth)
+                if only is not None:
+                    some = np.isin(place[1], only)
+                    place, at = place[:, some], at[some]
+                windows, bucket, which = _different(place, plan)
+                n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
+                of_word = np.where(windows[0] < 0, _look_up(windows[0], found), 0)
+                of_pair = np.zeros(len(bucket), np.int64)
+                split = _is_hot(windows[1], plan)
+                of_pair[split] = _look_up(pair_keys(windows[1][split], windows[0][split]), found)
+                m = np.vstack([windows, n, of_word, of_pair])
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+                spans = list(zip(first, np.append(first[1:], len(bucket))))
+                arrays = [
+                    pa.array(bucket[first]), pa.array(np.full(len(first), row["chunk"].as_py())),
+                    pa.array([int(b - a) for a, b in spans], pa.int64()), pa.array([pack(m[:, a:b]) for a, b in spans], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "n", "data"])
+
+        return chunks.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(run, "bucket long, chunk long, n long, data binary")
+
+    if hot is not None and not hot.passed.all():
         tested = hot
 
         def need(table: pa.Table) -> pa.Table:
@@ -465,9 +514,8 @@ def score_documents(
             return pa.table({"word": _solve(np.hstack(parts), plan, tested)[1]})
 
         # One row a split word.
-        more = sent.where(F.col("bucket") >= plan.buckets).groupBy("bucket").applyInArrow(need, "word long").distinct()
-        wanted = more.toArrow()["word"].to_numpy()
-        hot = hot._replace(kept=hot.passed | np.isin(hot.words, wanted))
+        more = send(hot.words[~hot.passed]).groupBy("bucket").applyInArrow(need, "word long").distinct()
+        hot = hot._replace(kept=hot.passed | np.isin(hot.words, more.toArrow()["word"].to_numpy()))
 
     def solve(table: pa.Table) -> pa.Table:
         sizes, parts = _bucket(table, depth + 4)
@@ -476,16 +524,15 @@ def score_documents(
         data = [pack(change[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "data": pa.array(data, pa.binary())})
 
-    solved = sent.groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary")
+    solved = send(None).groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary")
     changes = solved.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("changes"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
-            place, at = _windows(ids, sizes, depth)
+            found = found_by(row)
+            place, at = _seen_windows(ids, sizes, found, depth)
             windows, _, which = _different(place, plan)
-            of_word = _look_up(ids, _facts(row))
-            if len(counts):
-                of_word = np.where(ids >= 0, counts[np.maximum(ids, 0)], of_word)
+            of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(row["seldom"].values)), plan)
             base = np.log10((of_word + 0.1) / norm)
             got = sorted((row["changes"].as_py() or []), key=lambda x: x["bucket"])
             change = np.concatenate([np.zeros(0), *(unpack(x["data"], x["n"], np.float64) for x in got)])
@@ -496,7 +543,9 @@ def score_documents(
             names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
             yield pa.RecordBatch.from_arrays([row["keys"].values, row["held"].values, pa.array(sizes), *sums], names=names)
 
-    scored = facts.join(changes, "chunk", "left").mapInArrow(
+    asked = chunks.select("chunk", "n", "ids", "sizes", "facts").mapInArrow(ask_rare, "chunk long, key long")
+    seldom = answered(asked, words.where((F.col("key") < 0) & (F.col("c") < fewest)), "seldom")
+    scored = chunks.join(changes, "chunk", "left").join(seldom, "chunk", "left").mapInArrow(
         score, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(

@@ -319,11 +319,13 @@ def test_suffix_tree_keeps_contexts_at_any_size(spark, monkeypatch):
     assert all(k.any() for k in scores.kept)
     want = {r["key"]: float(plain_tree._word_scores(np.array(r["ids"]), tree.end, tree, scores).sum()) for r in coded.collect()}
     base = {r["key"]: sum(scores.root[i] for i in r["ids"] if i >= 0) for r in coded.collect()}
-    for share, bucket, chunk, split in [(1e-6, 10**6, 10**6, 0), (0.01, 10**6, 100, 0), (1.0, 200, 500, 0), (1e-6, 100, 300, 4), (0.001, 20, 50, 9)]:
-        monkeypatch.setattr(suffix_tree, "COMMON", share)
+    ways = [(10**6, 10**6, 10**6, 0, 10**6), (9, 10**6, 100, 0, 0), (0, 200, 500, 0, 10**6), (10**6, 100, 300, 4, 0), (20, 20, 50, 9, 10**6), (20, 20, 50, 9, 0)]
+    for common, bucket, chunk, split, held in ways:
+        monkeypatch.setattr(suffix_tree, "COMMON", common)
+        monkeypatch.setattr(suffix_tree, "HELD_COUNTS", held)
         monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
         monkeypatch.setattr(suffix_tree, "CHUNK", chunk)
-        assert sum(c > max(bucket // 2, share * words.total) for c in tree.counts) >= split
+        assert sum(c > bucket // 2 for c in tree.counts) >= split
         found = suffix_tree.score_documents(df).collect()
         assert len(found) == len(texts)
         for r in found:
@@ -350,8 +352,8 @@ def test_suffix_tree_with_a_split_word_that_only_longer_contexts_keep(spark, mon
 
 
 def test_suffix_tree_drops_no_context_of_a_large_corpus(spark):
-    # Five million tokens more made a share of 1e-6 of what three repetitions don't reach; one word is two thirds of all.
-    texts = [(i, "red fox jumps") for i in (1, 2, 3)] + [(100 + i, "pad pad of%d " % (i % 3) * 140_000) for i in range(12)]
+    # Four million tokens more made a share of 1e-6 of what three repetitions don't reach; one word is two thirds of all.
+    texts = [(i, "red fox jumps") for i in (1, 2, 3)] + [(100 + i, "pad pad of%d " % (i % 3) * 110_000) for i in range(12)]
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
     found = {r["doc_id"]: r for r in suffix_tree.score_documents(df).collect()}
     assert len(found) == 15 and found[1]["train_tokens"] > 3e6
