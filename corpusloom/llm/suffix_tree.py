@@ -43,7 +43,9 @@ DEPTH, FEWEST = 3, 2
 #: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
 COMMON, HELD_COUNTS = 500_000, 1_000_000
 #: Tokens of a chunk of texts, and windows of a bucket, about.
-CHUNK, BUCKET = 500_000, 1_000_000
+CHUNK, BUCKET = 1_000_000, 1_000_000
+#: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 4e-9.
+STEPS = 1 << 27
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
 DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
@@ -121,13 +123,13 @@ class Keys(dict):
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Longs or doubles, compressed by their first bytes, second bytes, ..."""
+    """Longs, compressed by their first bytes, second bytes, ..."""
     return pa.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
 
 
-def unpack(data: bytes, n: int, dtype: type = np.int64) -> np.ndarray:
+def unpack(data: bytes, n: int) -> np.ndarray:
     planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, n).T).reshape(-1).view(dtype)
+    return np.ascontiguousarray(planes.reshape(8, n).T).reshape(-1).view(np.int64)
 
 
 class Plan(NamedTuple):
@@ -521,7 +523,9 @@ def score_documents(
         sizes, parts = _bucket(table, depth + 4)
         change, _ = _solve(np.hstack(parts), plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
         ends = np.append(0, np.cumsum(sizes))
-        data = [pack(change[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+        steps = np.rint(change * STEPS).astype(np.int64)
+        steps = (steps << 1) ^ (steps >> 63)  # small numbers of either sign have few bytes
+        data = [pack(steps[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "data": pa.array(data, pa.binary())})
 
     solved = send(None).groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary")
@@ -535,7 +539,8 @@ def score_documents(
             of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(row["seldom"].values)), plan)
             base = np.log10((of_word + 0.1) / norm)
             got = sorted((row["changes"].as_py() or []), key=lambda x: x["bucket"])
-            change = np.concatenate([np.zeros(0), *(unpack(x["data"], x["n"], np.float64) for x in got)])
+            steps = np.concatenate([np.zeros(0, np.int64), *(unpack(x["data"], x["n"]) for x in got)])
+            change = ((steps >> 1) ^ -(steps & 1)) / STEPS
             full = base.copy()
             full[at] += change[which]
             starts = np.cumsum(sizes) - sizes
