@@ -44,8 +44,8 @@ DEPTH, FEWEST = 3, 2
 COMMON, HELD_COUNTS = 500_000, 1_000_000
 #: Tokens of a chunk of texts, and windows of a bucket, about.
 CHUNK, BUCKET = 1_000_000, 1_000_000
-#: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 4e-9.
-STEPS = 1 << 27
+#: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 3e-8.
+STEPS = 1 << 24
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
 DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
@@ -167,8 +167,8 @@ def _seen_windows(
     ids: np.ndarray, sizes: np.ndarray, found: dict[str, np.ndarray], depth: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Windows without words that are too rare for any string: contexts end there, as last words they are all one."""
-    rare = np.flatnonzero(ids < 0)
     ids = ids.copy()
+    rare = np.flatnonzero(ids < 0)
     ids[rare[_look_up(ids[rare], found) == 0]] = UNSEEN
     words, at = _windows(ids, sizes, depth)
     some = words[1] != UNSEEN
@@ -209,6 +209,14 @@ def _look_up(keys: np.ndarray, facts: dict[str, np.ndarray]) -> np.ndarray:
     return np.where(facts["key"][at] == keys, facts["c"][at], 0)
 
 
+def _number(ids: np.ndarray, keys: np.ndarray, first: int) -> np.ndarray:
+    """Words with those in the sorted ``keys`` numbered from ``first``."""
+    if not len(keys):
+        return ids
+    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
+    return np.where(keys[at] == ids, first + at, ids)
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
     for batch in batches:
         for i in range(batch.num_rows):
@@ -349,7 +357,7 @@ def _bucket(table: pa.Table, rows: int) -> tuple[list[int], list[np.ndarray]]:
 
 
 def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFrame, Hot]:
-    """Counts of the pairs that start with a split word, ``key, c``, and the words' own tests."""
+    """Counts of the pairs that start with a split word, ``first, second, c, key``, and the words' own tests."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
@@ -377,7 +385,7 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
         ratio = r["left"] / r["parent_left"]
         gain = r["whole"] * (r["gain"] + r["left"] * math.log(ratio))
         passed[i], rest[i] = round(gain - PENALTY * (r["n"] + 1), 9) >= 0, math.log10(ratio)
-    return pairs.select("key", "c"), Hot(hot, passed, passed, rest)
+    return pairs, Hot(hot, passed, passed, rest)
 
 
 def _drop(table: DataFrame) -> None:
@@ -451,7 +459,7 @@ def score_documents(
     known, hot = words.where((F.col("key") < 0) & (F.col("c") >= fewest)), None
     if is_hot.any():
         pairs, hot = _split_words(coded, words, plan)
-        known = known.union(pairs)
+        known = known.union(pairs.select("key", "c"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
@@ -461,8 +469,9 @@ def score_documents(
 
     def ask_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, _ in _chunks(batches):
-            ids = np.unique(ids[ids < 0])
-            yield _asked(row, ids[_look_up(ids, found_by(row)) == 0])
+            ids, found = known_by(row, np.unique(ids[ids < 0]))
+            ids = ids[ids < 0]
+            yield _asked(row, ids[_look_up(ids, found) == 0])
 
     def _asked(row: dict, keys: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row["chunk"].as_py())), pa.array(keys)], names=["chunk", "key"])
@@ -472,31 +481,44 @@ def score_documents(
         return asked.join(table, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias(column))
 
     if known.count() <= HELD_COUNTS:
-        held = _facts(pa.StructArray.from_arrays([x.combine_chunks() for x in known.select("key", "c").toArrow().columns], ["key", "c"]))
+        # Tasks hold them all: such words get numbers too, and windows go without counts.
+        rare = words.where((F.col("key") < 0) & (F.col("c") >= fewest)).toArrow().sort_by("key")
+        numbered = rare["key"].to_numpy()
+        plan = plan._replace(
+            counts=np.append(counts, rare["c"].to_numpy()), hot=np.append(is_hot, np.zeros(len(numbered), bool))
+        )
+        of_pairs = {"key": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}
+        if hot is not None:
+            of = pairs.toArrow()
+            keys = pair_keys(of["first"].to_numpy(), _number(of["second"].to_numpy(), numbered, len(common)))
+            order = np.argsort(keys)
+            of_pairs = {"key": keys[order], "c": of["c"].to_numpy()[order]}
         chunks = coded.withColumn("facts", F.lit(None).cast("array<struct<key: long, c: long>>"))
     else:
-        held = None
+        numbered = of_pairs = None
         chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known, "facts"), "chunk", "left"))
         _drop(coded)
 
-    def found_by(row: dict) -> dict[str, np.ndarray]:
-        return _facts(row["facts"].values) if held is None else held
+    size = len(common)  # tasks below need no words
+
+    def known_by(row: dict, ids: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """The words, by number where tasks hold the counts, and the counts that the chunk was told."""
+        return (ids, _facts(row["facts"].values)) if numbered is None else (_number(ids, numbered, size), _facts(None))
 
     def send(only: np.ndarray | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row, ids, sizes in _chunks(batches):
                 trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
-                found = found_by(row)
+                ids, found = known_by(row, ids)
                 place, at = _seen_windows(ids, sizes, found, depth)
                 if only is not None:
                     some = np.isin(place[1], only)
                     place, at = place[:, some], at[some]
                 windows, bucket, which = _different(place, plan)
                 n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
+                # Nothing where tasks hold the counts.
                 of_word = np.where(windows[0] < 0, _look_up(windows[0], found), 0)
-                of_pair = np.zeros(len(bucket), np.int64)
-                split = _is_hot(windows[1], plan)
-                of_pair[split] = _look_up(pair_keys(windows[1][split], windows[0][split]), found)
+                of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], windows[0]), found), 0)
                 m = np.vstack([windows, n, of_word, of_pair])
                 first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
                 spans = list(zip(first, np.append(first[1:], len(bucket))))
@@ -508,12 +530,18 @@ def score_documents(
 
         return chunks.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(run, "bucket long, chunk long, n long, data binary")
 
+    def whole(parts: list[np.ndarray]) -> np.ndarray:
+        m = np.hstack(parts)
+        if of_pairs is not None:
+            m[-1] = _look_up(pair_keys(m[1], m[0]), of_pairs)
+        return m
+
     if hot is not None and not hot.passed.all():
         tested = hot
 
         def need(table: pa.Table) -> pa.Table:
             _, parts = _bucket(table, depth + 4)
-            return pa.table({"word": _solve(np.hstack(parts), plan, tested)[1]})
+            return pa.table({"word": _solve(whole(parts), plan, tested)[1]})
 
         # One row a split word.
         more = send(hot.words[~hot.passed]).groupBy("bucket").applyInArrow(need, "word long").distinct()
@@ -521,7 +549,7 @@ def score_documents(
 
     def solve(table: pa.Table) -> pa.Table:
         sizes, parts = _bucket(table, depth + 4)
-        change, _ = _solve(np.hstack(parts), plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
+        change, _ = _solve(whole(parts), plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
         ends = np.append(0, np.cumsum(sizes))
         steps = np.rint(change * STEPS).astype(np.int64)
         steps = (steps << 1) ^ (steps >> 63)  # small numbers of either sign have few bytes
@@ -533,7 +561,7 @@ def score_documents(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
-            found = found_by(row)
+            ids, found = known_by(row, ids)
             place, at = _seen_windows(ids, sizes, found, depth)
             windows, _, which = _different(place, plan)
             of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(row["seldom"].values)), plan)
