@@ -41,9 +41,9 @@ from corpusloom.session import cut_lineage, delete_table
 #: Longest context, and smallest count of a string that takes part.
 DEPTH, FEWEST = 3, 2
 #: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
-COMMON, HELD_COUNTS = 500_000, 1_000_000
+COMMON, HELD_COUNTS = 200_000, 1_000_000
 #: Tokens of a chunk of texts, and windows of a bucket, about.
-CHUNK, BUCKET = 1_000_000, 1_000_000
+CHUNK, BUCKET = 500_000, 1_000_000
 #: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 3e-8.
 STEPS = 1 << 24
 #: Taken off each count of a next word; gain in nats that an entry of a kept context must bring on average.
@@ -224,6 +224,10 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarra
             yield row, unpack(row["ids"].as_py(), row["n"].as_py()), row["sizes"].values.to_numpy().astype(np.int64)
 
 
+def _trained(row: dict) -> np.ndarray:
+    return ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+
+
 def _counts(words: np.ndarray, of_rare: np.ndarray, plan: Plan) -> np.ndarray:
     return np.where(words >= 0, plan.counts[np.maximum(words, 0)], of_rare) if len(plan.counts) else of_rare
 
@@ -361,7 +365,7 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
-            trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+            trained = _trained(row)
             place, at = _windows(ids, sizes, 1)
             pair = place[:, np.repeat(trained, sizes)[at] & _is_hot(place[1], plan)]
             pair, n = np.unique(pair, axis=1, return_counts=True)
@@ -369,8 +373,10 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
 
     found = coded.mapInArrow(count, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("c"))
     pairs = cut_lineage(found.where(F.col("c") >= plan.fewest).withColumn("key", F.xxhash64("first", "second")))
+    # A pair is no more frequent than its words.
+    words = words.where(F.col("c") >= plan.fewest)
     second = words.select(F.col("key").alias("second"), ((F.col("c") + 0.1) / plan.norm).alias("parent"))
-    first = words.select(F.col("key").alias("first"), F.col("c").alias("whole"))
+    first = words.where((F.col("key") >= 0) & (F.col("c") > BUCKET // 2)).select(F.col("key").alias("first"), F.col("c").alias("whole"))
     own = pairs.join(second, "second").join(first, "first").withColumn("own", (F.col("c") - DISCOUNT) / F.col("whole"))
     tests = own.groupBy("first").agg(
         F.first("whole").alias("whole"), F.count("*").alias("n"),
@@ -468,7 +474,9 @@ def score_documents(
             yield _asked(row, np.unique(np.concatenate([ids[ids < 0], pair_keys(pair[1], pair[0])])))
 
     def ask_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, _ in _chunks(batches):
+        for row, ids, sizes in _chunks(batches):
+            if fewest == 2:  # seen less often, a word of a text learned from was seen once
+                ids = ids[np.repeat(_trained(row), sizes) == 0]
             ids, found = known_by(row, np.unique(ids[ids < 0]))
             ids = ids[ids < 0]
             yield _asked(row, ids[_look_up(ids, found) == 0])
@@ -508,7 +516,7 @@ def score_documents(
     def send(only: np.ndarray | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row, ids, sizes in _chunks(batches):
-                trained = ~row["held"].values.to_numpy(zero_copy_only=False).astype(bool)
+                trained = _trained(row)
                 ids, found = known_by(row, ids)
                 place, at = _seen_windows(ids, sizes, found, depth)
                 if only is not None:
@@ -565,6 +573,8 @@ def score_documents(
             place, at = _seen_windows(ids, sizes, found, depth)
             windows, _, which = _different(place, plan)
             of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(row["seldom"].values)), plan)
+            if fewest == 2:
+                of_word = np.maximum(of_word, np.repeat(_trained(row), sizes))
             base = np.log10((of_word + 0.1) / norm)
             got = sorted((row["changes"].as_py() or []), key=lambda x: x["bucket"])
             steps = np.concatenate([np.zeros(0, np.int64), *(unpack(x["data"], x["n"]) for x in got)])
@@ -576,7 +586,7 @@ def score_documents(
             names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
             yield pa.RecordBatch.from_arrays([row["keys"].values, row["held"].values, pa.array(sizes), *sums], names=names)
 
-    asked = chunks.select("chunk", "n", "ids", "sizes", "facts").mapInArrow(ask_rare, "chunk long, key long")
+    asked = chunks.select("chunk", "held", "n", "ids", "sizes", "facts").mapInArrow(ask_rare, "chunk long, key long")
     seldom = answered(asked, words.where((F.col("key") < 0) & (F.col("c") < fewest)), "seldom")
     scored = chunks.join(changes, "chunk", "left").join(seldom, "chunk", "left").mapInArrow(
         score, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
