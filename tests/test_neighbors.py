@@ -136,3 +136,48 @@ def test_pruned_search_equals_all_pairs(spark, metric):
     if metric == "euclidean":
         assert report["big"][1] * 3 < report["big"][0]
     assert knn_pruned(df.where("false"), 5, metric, ("s",)).edges.count() == 0
+
+
+def dealt_rows(monkeypatch, *modules):
+    """Counts the rows that ``search_groups`` is given, call by call."""
+    counted, search = [], N.search_groups
+
+    def counting(dealt, *args):
+        counted.append(dealt.count())
+        return search(dealt, *args)
+
+    for module in modules:
+        monkeypatch.setattr(module, "search_groups", counting)
+    return counted
+
+
+@pytest.mark.parametrize("method", ["exact", "ivf"])
+def test_vectors_are_copied_a_bounded_number_of_times(spark, monkeypatch, method):
+    """Far more blocks than groups: copies follow the groups, and no list is cut again by all pairs of blocks."""
+    m = np.random.default_rng(9).normal(size=(900, 4))
+    counted = dealt_rows(monkeypatch, N)
+    if method == "exact":
+        found = N.knn_exact(frame(spark, {"a": m}), 5, "euclidean", SPLIT, block_rows=8)
+    else:
+        found = N.knn_ivf(frame(spark, {"a": m}), 5, "euclidean", SPLIT, cells=3, probes=3, block_rows=8)
+    check(found, {"a": m}, 5, "euclidean")
+    assert counted == [900 * (N.GROUPS if method == "exact" else 3)]
+
+
+def test_pruned_copies_follow_groups_not_cells(spark, monkeypatch):
+    from corpusloom.operators import pruned
+
+    m = np.random.default_rng(10).normal(size=(600, 4))
+    counted = dealt_rows(monkeypatch, pruned)
+    found = pruned.knn_pruned(frame(spark, {"a": m}), 5, "euclidean", SPLIT, block_rows=64, cell_rows=4)
+    check(found.edges, {"a": m}, 5, "euclidean")
+    assert max(counted) <= 600 * 11  # ten groups of 64 rows, 150 cells
+
+
+def test_rows_of_one_id_share_a_list(spark):
+    rows = [("a", i // 2, [float(i), 1.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "s string, row_id long, embeddings array<double>")
+    got = N.knn_exact(df, 3, "euclidean", SPLIT, block_rows=8)
+    assert got.groupBy("row_id").count().where("count <> 3").isEmpty() and got.where("neighbor = row_id").isEmpty()
+    first = got.where("row_id = 0").orderBy("rank").collect()
+    assert [(r["neighbor"], r["distance"]) for r in first] == [(1, 1.0), (1, 2.0), (1, 2.0)]
