@@ -26,22 +26,22 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut_lineage, delete_table
+from corpusloom.session import cut_lineage, delete_table, shuffles_removed
 
 #: Longest context, and smallest count of a string that takes part.
 DEPTH, FEWEST = 3, 2
 #: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
-COMMON, HELD_COUNTS = 200_000, 1_000_000
+COMMON, HELD_COUNTS = 200_000, 4_000_000
 #: Tokens of a chunk of texts, and windows of a bucket, about.
 CHUNK, BUCKET = 500_000, 1_000_000
 #: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 3e-8.
@@ -51,7 +51,8 @@ DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
 NOTHING = np.iinfo(np.int64).min  # in place of a word before the first
 UNSEEN = NOTHING + 1  # in place of a word seen too seldom for any string
-SLICE = 256
+#: Bytes of texts that are split at once, about.
+SLICE = 1 << 23
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
 
@@ -62,32 +63,53 @@ def tokens_of(text: str | None) -> list[bytes]:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``SLICE`` bytes, or one row."""
     for batch in batches:
-        for start in range(0, batch.num_rows, SLICE):
-            yield batch.slice(start, SLICE)
+        rows = max(1, batch.num_rows * SLICE // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def split_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """How many tokens each text has, where each token is among the different ones, and these; as ``tokens_of``."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words, text = lists.flatten(), pc.list_parent_indices(lists)
+    full = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty one
+    named = words.filter(full).dictionary_encode()
+    sizes = np.bincount(text.filter(full).to_numpy(zero_copy_only=False), minlength=len(texts)) + 1
+    different = pa.concat_arrays([named.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
+    is_word = np.ones(sizes.sum(), bool)
+    is_word[np.cumsum(sizes) - 1] = False
+    tokens = np.full(len(is_word), len(different) - 1)
+    tokens[is_word] = named.indices.to_numpy(zero_copy_only=False)
+    return sizes, tokens, different
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """``word, c`` over all tokens of a one-column table of texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        seen, size = [], 0
         for part in _slices(batches):
-            for text in part.column(0).to_pylist():
-                seen.update(tokens_of(text))
-            if len(seen) > HELD:
-                yield _rows(seen)
-                seen.clear()
+            _, tokens, different = split_texts(part.column(0))
+            seen.append(pa.table({"word": different, "c": np.bincount(tokens)}))
+            size += len(different)
+            if size > HELD:
+                seen = [_merged(seen)]
+                size = seen[0].num_rows
+            if size > HELD // 2 and len(seen) == 1:
+                yield from seen[0].to_batches()
+                seen, size = [], 0
         if seen:
-            yield _rows(seen)
+            yield from _merged(seen).to_batches()
 
-    def _rows(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "c"]
-        )
+    def _merged(seen: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return found.rename_columns({"c_sum": "c"}).select(["word", "c"])
 
     return texts.mapInArrow(count, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
+
 def held_out(key: Column) -> Column:
     """Documents not learned from: crc32 of the id as text, mod 10, is 0. A null id counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % 10 == 0
@@ -123,13 +145,28 @@ class Keys(dict):
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Longs, compressed by their first bytes, second bytes, ..."""
-    return pa.compress(np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    """Rows of longs, compressed by their first bytes, second bytes, ..., as many as the row needs.
 
-
-def unpack(data: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, n).T).reshape(-1).view(np.int64)
+    Turned by a bit, numbers and the lowest longs, NOTHING and UNSEEN, need few.
+    """
+    x = np.ascontiguousarray(np.atleast_2d(a), np.int64).view(np.uint64)
+    x = (x << np.uint64(1)) | (x >> np.uint64(63))
+    need = [(int(row.max(initial=0)).bit_length() + 7) // 8 for row in x]
+    planes = [np.ascontiguousarray(row.view(np.uint8).reshape(-1, 8)[:, :k].T).tobytes() for row, k in zip(x, need)]
+    return bytes(need) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes, n: int, rows: int = 1) -> np.ndarray:
+    """Rows of ``n`` longs; just the longs where there is one row."""
+    need = list(data[:rows])
+    planes = np.frombuffer(pa.decompress(data[rows:], decompressed_size=n * sum(need), codec="zstd", asbytes=True), np.uint8)
+    x, start = np.zeros((rows, n, 8), np.uint8), 0
+    for i, k in enumerate(need):
+        x[i, :, :k] = planes[start : start + n * k].reshape(k, n).T
+        start += n * k
+    x = x.view(np.uint64)[..., 0]
+    x = ((x >> np.uint64(1)) | (x << np.uint64(63))).view(np.int64)
+    return x[0] if rows == 1 else x
 
 
 class Plan(NamedTuple):
@@ -193,12 +230,40 @@ def _different(words: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, n
     second = words[2] if plan.depth > 1 else words[0]
     named = pair_keys(words[1], np.where(hot, second, 0)).astype(np.uint64) % np.uint64(plan.buckets)
     bucket = named.astype(np.int64) + np.where(hot, plan.buckets, 0)
-    order = np.lexsort([*words[[0, *range(plan.depth, 0, -1)]], bucket])
-    words = words[:, order]
-    new = np.append(True, (words[:, 1:] != words[:, :-1]).any(0)) if len(order) else np.zeros(0, bool)
+    order, new = _sorted(np.vstack([bucket, words[1:], words[:1]]))
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
-    return words[:, new], bucket[order][new], which
+    first = order[new]
+    return words[:, first], bucket[first], which
+
+
+def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of columns by the first of some rows, the second, ..., and which of them in this order is a new one."""
+    # As many rows as fit go into one key.
+    keys: list[tuple[np.ndarray, int]] = []
+    for row in rows:
+        row, span = _small(row)
+        if keys and keys[-1][1] * span < 1 << 62:
+            keys[-1] = keys[-1][0] * span + row, keys[-1][1] * span
+        else:
+            keys.append((row, span))
+    order = np.lexsort([key for key, _ in reversed(keys)])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key, _ in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    return order, new
+
+
+def _small(row: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers from 0 in the order of the words, and how many there may be: as they are if they are few, else by rank."""
+    words = row[row > UNSEEN]
+    low, high = int(words.min(initial=0)), int(words.max(initial=0))
+    if low < 0 or high >= 1 << 28:
+        different, place = np.unique(row, return_inverse=True)
+        return place.reshape(-1), max(1, len(different))
+    return np.where(row < 0, row - NOTHING, row + 2), high + 3
 
 
 def _look_up(keys: np.ndarray, facts: dict[str, np.ndarray]) -> np.ndarray:
@@ -213,8 +278,10 @@ def _number(ids: np.ndarray, keys: np.ndarray, first: int) -> np.ndarray:
     """Words with those in the sorted ``keys`` numbered from ``first``."""
     if not len(keys):
         return ids
-    at = np.minimum(np.searchsorted(keys, ids), len(keys) - 1)
-    return np.where(keys[at] == ids, first + at, ids)
+    ids, rare = ids.copy(), np.flatnonzero(ids < 0)
+    at = np.minimum(np.searchsorted(keys, ids[rare]), len(keys) - 1)
+    ids[rare] = np.where(keys[at] == ids[rare], first + at, ids[rare])
+    return ids
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:
@@ -355,9 +422,15 @@ def _solve(m: np.ndarray, plan: Plan, hot: Hot | None) -> tuple[np.ndarray, np.n
     return change, needed
 
 
-def _bucket(table: pa.Table, rows: int) -> tuple[list[int], list[np.ndarray]]:
+def _bucket(table: pa.Table, rows: int) -> tuple[list[int], np.ndarray]:
+    """Windows of each chunk in a bucket, and all of them. Last context words come as steps from the one before."""
     sizes = table["n"].to_pylist()
-    return sizes, [unpack(d, rows * n).reshape(rows, n) for d, n in zip(table["data"].to_pylist(), sizes)]
+    m, start = np.empty((rows, sum(sizes)), np.int64), 0
+    for data, n in zip(table["data"], sizes):
+        m[:, start : start + n] = unpack(data.as_py(), n, rows)
+        m[1, start : start + n] = np.cumsum(m[1, start : start + n])
+        start += n
+    return sizes, m
 
 
 def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFrame, Hot]:
@@ -368,7 +441,9 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
             trained = _trained(row)
             place, at = _windows(ids, sizes, 1)
             pair = place[:, np.repeat(trained, sizes)[at] & _is_hot(place[1], plan)]
-            pair, n = np.unique(pair, axis=1, return_counts=True)
+            order, new = _sorted(pair[::-1])
+            n = np.bincount(np.cumsum(new) - 1)
+            pair = pair[:, order[new]]
             yield pa.RecordBatch.from_arrays([pa.array(pair[1]), pa.array(pair[0]), pa.array(n)], names=["first", "second", "n"])
 
     found = coded.mapInArrow(count, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("c"))
@@ -414,7 +489,8 @@ def score_documents(
     gets back what contexts change of each window's score.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
-    counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
+    with shuffles_removed(docs.sparkSession):
+        counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
     sizes = {r["bits"]: r for r in counted.groupBy(F.length(F.bin("c")).alias("bits")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
     total, different = sum(r["c"] for r in sizes.values()), sum(r["n"] for r in sizes.values())
     norm = total + 0.1 * (different + 1)
@@ -444,13 +520,19 @@ def score_documents(
             return pa.RecordBatch.from_arrays(arrays, names=["keys", "held", "sizes", "n", "ids"])
 
         for part in _slices(batches):
-            # One text at a time, so that a chunk grows beyond its size by one text at most.
-            for i, content in enumerate(part.column(2).to_pylist()):
-                tokens = tokens_of(content)
-                held.append(np.fromiter(map(keys.__getitem__, tokens), np.int64, len(tokens)))
-                size += len(tokens)
-                one = [part.column(0).slice(i, 1), part.column(1).slice(i, 1), pa.array([len(tokens)], pa.int32())]
-                parts.append(pa.RecordBatch.from_arrays(one, names=["key", "held", "size"]))
+            sizes, tokens, different = split_texts(part.column(2))
+            names = different.to_numpy(zero_copy_only=False).tolist()
+            ids = np.fromiter(map(keys.__getitem__, names), np.int64, len(names))[tokens]
+            ends, at = np.cumsum(sizes), 0
+            while at < len(sizes):
+                # Up to the text that fills the chunk, so that it grows beyond its size by one text at most.
+                start = ends[at] - sizes[at]
+                stop = min(int(np.searchsorted(ends, start + CHUNK - size)) + 1, len(sizes))
+                held.append(ids[start : ends[stop - 1]])
+                size += int(ends[stop - 1] - start)
+                some = [part.column(0).slice(at, stop - at), part.column(1).slice(at, stop - at), pa.array(sizes[at:stop], pa.int32())]
+                parts.append(pa.RecordBatch.from_arrays(some, names=["key", "held", "size"]))
+                at = stop
                 if size >= CHUNK:
                     yield chunk()
                     parts, held, size = [], [], 0
@@ -464,7 +546,8 @@ def score_documents(
     coded = cut_lineage(coded.withColumn("chunk", F.monotonically_increasing_id()))
     known, hot = words.where((F.col("key") < 0) & (F.col("c") >= fewest)), None
     if is_hot.any():
-        pairs, hot = _split_words(coded, words, plan)
+        with shuffles_removed(docs.sparkSession):
+            pairs, hot = _split_words(coded, words, plan)
         known = known.union(pairs.select("key", "c"))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -504,7 +587,8 @@ def score_documents(
         chunks = coded.withColumn("facts", F.lit(None).cast("array<struct<key: long, c: long>>"))
     else:
         numbered = of_pairs = None
-        chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known, "facts"), "chunk", "left"))
+        with shuffles_removed(docs.sparkSession):
+            chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known, "facts"), "chunk", "left"))
         _drop(coded)
 
     size = len(common)  # tasks below need no words
@@ -529,6 +613,8 @@ def score_documents(
                 of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], windows[0]), found), 0)
                 m = np.vstack([windows, n, of_word, of_pair])
                 first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+                m[1] = np.diff(windows[1], prepend=0)
+                m[1, first] = windows[1, first]
                 spans = list(zip(first, np.append(first[1:], len(bucket))))
                 arrays = [
                     pa.array(bucket[first]), pa.array(np.full(len(first), row["chunk"].as_py())),
@@ -538,26 +624,26 @@ def score_documents(
 
         return chunks.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(run, "bucket long, chunk long, n long, data binary")
 
-    def whole(parts: list[np.ndarray]) -> np.ndarray:
-        m = np.hstack(parts)
+    def bucket_of(table: pa.Table) -> tuple[list[int], np.ndarray]:
+        sizes, m = _bucket(table, depth + 4)
         if of_pairs is not None:
             m[-1] = _look_up(pair_keys(m[1], m[0]), of_pairs)
-        return m
+        return sizes, m
 
     if hot is not None and not hot.passed.all():
         tested = hot
 
         def need(table: pa.Table) -> pa.Table:
-            _, parts = _bucket(table, depth + 4)
-            return pa.table({"word": _solve(whole(parts), plan, tested)[1]})
+            return pa.table({"word": _solve(bucket_of(table)[1], plan, tested)[1]})
 
         # One row a split word.
-        more = send(hot.words[~hot.passed]).groupBy("bucket").applyInArrow(need, "word long").distinct()
-        hot = hot._replace(kept=hot.passed | np.isin(hot.words, more.toArrow()["word"].to_numpy()))
+        with shuffles_removed(docs.sparkSession):
+            more = send(hot.words[~hot.passed]).groupBy("bucket").applyInArrow(need, "word long").distinct().toArrow()
+        hot = hot._replace(kept=hot.passed | np.isin(hot.words, more["word"].to_numpy()))
 
     def solve(table: pa.Table) -> pa.Table:
-        sizes, parts = _bucket(table, depth + 4)
-        change, _ = _solve(whole(parts), plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
+        sizes, m = bucket_of(table)
+        change, _ = _solve(m, plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
         ends = np.append(0, np.cumsum(sizes))
         steps = np.rint(change * STEPS).astype(np.int64)
         steps = (steps << 1) ^ (steps >> 63)  # small numbers of either sign have few bytes
