@@ -18,15 +18,16 @@ aggregated table, and a first pass over its buckets finds whether any longer
 context in them keeps it.
 
 Windows travel as blocks of numbers, each different one of a chunk once. Buckets
-hold about ``BUCKET`` windows at any size of the corpus; only two words in a row
-that stand in front of more than that are not split further.
+hold about half of ``BUCKET`` windows at any size of the corpus; only two words in
+a row that stand in front of more than that are not split further. What buckets
+send back is written before it meets the texts, so that windows can go first.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -36,13 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut_lineage, delete_table, shuffles_removed
+from corpusloom.session import cut_lineage, delete_table, setting, shuffles_removed
 
 #: Longest context, and smallest count of a string that takes part.
 DEPTH, FEWEST = 3, 2
 #: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
 COMMON, HELD_COUNTS = 200_000, 4_000_000
-#: Tokens of a chunk of texts, and windows of a bucket, about.
+#: Tokens of a chunk of texts, about, and windows of a bucket at most, unless two words in a row have more.
 CHUNK, BUCKET = 500_000, 1_000_000
 #: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 3e-8.
 STEPS = 1 << 24
@@ -51,8 +52,8 @@ DISCOUNT, PENALTY = 0.5, 1.0
 END = b"\n"  # no word holds white space
 NOTHING = np.iinfo(np.int64).min  # in place of a word before the first
 UNSEEN = NOTHING + 1  # in place of a word seen too seldom for any string
-#: Bytes of texts that are split at once, about.
-SLICE = 1 << 23
+#: Bytes of texts that are split at once, about, and texts that go to Python at once.
+SLICE, TEXTS = 1 << 21, 1000
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
 
@@ -70,6 +71,11 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, rows)
 
 
+def _release() -> None:
+    """Give back what Arrow has freed: its pool keeps it, and workers stay while tasks come and go."""
+    pa.default_memory_pool().release_unused()
+
+
 def split_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """How many tokens each text has, where each token is among the different ones, and these; as ``tokens_of``."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -102,6 +108,8 @@ def count_words(texts: DataFrame) -> DataFrame:
                 seen, size = [], 0
         if seen:
             yield from _merged(seen).to_batches()
+        del seen
+        _release()
 
     def _merged(seen: list[pa.Table]) -> pa.Table:
         found = pa.concat_tables(seen).group_by("word", use_threads=False).aggregate([("c", "sum")])
@@ -173,7 +181,7 @@ class Plan(NamedTuple):
     """What tasks know of the corpus: numbers of common words by their bounded list, and the ways to the buckets."""
 
     counts: np.ndarray  # of common words
-    hot: np.ndarray  # which of them are split
+    hot: np.ndarray  # those that are split
     norm: float
     buckets: int
     depth: int
@@ -189,27 +197,37 @@ class Hot(NamedTuple):
     rest: np.ndarray
 
 
-def _windows(ids: np.ndarray, sizes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Words by distance from each place that has a word in front of it (NOTHING before a text), and these places."""
-    place = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.flatnonzero(place > 0)
-    words = np.full((depth + 1, len(at)), NOTHING, np.int64)
+def _windows(
+    ids: np.ndarray, sizes: np.ndarray, depth: int, some: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Words by distance from each place that has a word in front of it (NOTHING before a text), and these places.
+
+    ``some`` marks the words whose windows are wanted, those behind them.
+    """
+    place = (np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+    wanted = place > 0
+    if some is not None:
+        wanted[1:] &= some[:-1]
+    at = np.flatnonzero(wanted)
+    place = place[at]
+    words = np.empty((depth + 1, len(at)), np.int64)
     for j in range(depth + 1):
-        ok = place[at] >= j
-        words[j][ok] = ids[at[ok] - j]
+        words[j] = ids[np.maximum(at - j, 0)]
+        words[j][place < j] = NOTHING
     return words, at
 
 
 def _seen_windows(
-    ids: np.ndarray, sizes: np.ndarray, found: dict[str, np.ndarray], depth: int
+    ids: np.ndarray, sizes: np.ndarray, found: dict[str, np.ndarray], depth: int, only: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Windows without words that are too rare for any string: contexts end there, as last words they are all one."""
+    """Windows without words that are too rare for any string: contexts end there, as last words they are all one.
+
+    ``only`` names the last context words that are wanted, where not all are.
+    """
     ids = ids.copy()
     rare = np.flatnonzero(ids < 0)
     ids[rare[_look_up(ids[rare], found) == 0]] = UNSEEN
-    words, at = _windows(ids, sizes, depth)
-    some = words[1] != UNSEEN
-    words, at = words[:, some], at[some]
+    words, at = _windows(ids, sizes, depth, ids != UNSEEN if only is None else np.isin(ids, only))
     cut = np.zeros(len(at), bool)
     for k in range(2, depth + 1):
         cut |= words[k] == UNSEEN
@@ -218,7 +236,7 @@ def _seen_windows(
 
 
 def _is_hot(words: np.ndarray, plan: Plan) -> np.ndarray:
-    return (words >= 0) & plan.hot[np.maximum(words, 0)] if len(plan.hot) else np.zeros(len(words), bool)
+    return np.isin(words, plan.hot)
 
 
 def _different(words: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -230,14 +248,14 @@ def _different(words: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, n
     second = words[2] if plan.depth > 1 else words[0]
     named = pair_keys(words[1], np.where(hot, second, 0)).astype(np.uint64) % np.uint64(plan.buckets)
     bucket = named.astype(np.int64) + np.where(hot, plan.buckets, 0)
-    order, new = _sorted(np.vstack([bucket, words[1:], words[:1]]))
+    order, new = _sorted([bucket, *words[1:], words[0]])
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
     first = order[new]
     return words[:, first], bucket[first], which
 
 
-def _sorted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sorted(rows: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The order of columns by the first of some rows, the second, ..., and which of them in this order is a new one."""
     # As many rows as fit go into one key.
     keys: list[tuple[np.ndarray, int]] = []
@@ -299,6 +317,11 @@ def _counts(words: np.ndarray, of_rare: np.ndarray, plan: Plan) -> np.ndarray:
     return np.where(words >= 0, plan.counts[np.maximum(words, 0)], of_rare) if len(plan.counts) else of_rare
 
 
+def _short(counts: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each if these are enough."""
+    return counts.astype(np.int32) if counts.max(initial=0) < 1 << 31 else counts
+
+
 def _facts(found: pa.Array | None) -> dict[str, np.ndarray]:
     if found is None or not len(found):
         return {"key": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}
@@ -460,7 +483,7 @@ def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFr
     )
     # One row a split word, COMMON at most.
     t = {r["first"]: r for r in tests.collect()}
-    hot = np.flatnonzero(plan.hot)
+    hot = plan.hot
     passed, rest = np.zeros(len(hot), bool), np.zeros(len(hot))
     for i, r in ((i, t[w]) for i, w in enumerate(hot.tolist()) if w in t):
         ratio = r["left"] / r["parent_left"]
@@ -489,7 +512,9 @@ def score_documents(
     gets back what contexts change of each window's score.
     """
     rows = docs.select(F.col(key).alias("key"), held_out(F.col(key)).alias("held_out"), F.col(text).alias("text"))
-    with shuffles_removed(docs.sparkSession):
+    spark = docs.sparkSession
+    batches_of_texts = "spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXTS)
+    with shuffles_removed(spark), setting(spark, *batches_of_texts):
         counted = cut_lineage(count_words(rows.where("NOT held_out").select("text")))
     sizes = {r["bits"]: r for r in counted.groupBy(F.length(F.bin("c")).alias("bits")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()}
     total, different = sum(r["c"] for r in sizes.values()), sum(r["n"] for r in sizes.values())
@@ -497,8 +522,8 @@ def score_documents(
     bits = next(b for b in range(2, 66) if sum(r["n"] for k, r in sizes.items() if k >= b) <= COMMON)
     some = counted.where(F.col("c") >= F.lit(1 << (bits - 1))).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     common, counts = some["word"].to_pylist(), some["c"].to_numpy()
-    is_hot = (counts > BUCKET // 2) & np.array([w != END for w in common], bool)
-    plan = Plan(counts, is_hot, norm, max(1, math.ceil(total / BUCKET)), depth, fewest)
+    split = np.flatnonzero((counts > BUCKET // 2) & np.array([w != END for w in common], bool))
+    plan = Plan(counts, split, norm, max(1, math.ceil(2 * total / BUCKET)), depth, fewest)
     kind = docs.schema[key].dataType.simpleString()
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -536,6 +561,7 @@ def score_documents(
                 if size >= CHUNK:
                     yield chunk()
                     parts, held, size = [], [], 0
+                    _release()
         if parts:
             yield chunk()
 
@@ -543,10 +569,11 @@ def score_documents(
     _drop(counted)
     coded = rows.mapInArrow(code, f"keys array<{kind}>, held array<boolean>, sizes array<int>, n long, ids binary")
     # Numbered and written in one go: the numbers hold from here on.
-    coded = cut_lineage(coded.withColumn("chunk", F.monotonically_increasing_id()))
+    with setting(spark, *batches_of_texts):
+        coded = cut_lineage(coded.withColumn("chunk", F.monotonically_increasing_id()))
     known, hot = words.where((F.col("key") < 0) & (F.col("c") >= fewest)), None
-    if is_hot.any():
-        with shuffles_removed(docs.sparkSession):
+    if len(split):
+        with shuffles_removed(spark):
             pairs, hot = _split_words(coded, words, plan)
         known = known.union(pairs.select("key", "c"))
 
@@ -567,46 +594,49 @@ def score_documents(
     def _asked(row: dict, keys: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), row["chunk"].as_py())), pa.array(keys)], names=["chunk", "key"])
 
-    def answered(asked: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    def answered(asked: DataFrame, table: DataFrame) -> DataFrame:
         # At most two keys a token of the chunk.
-        return asked.join(table, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias(column))
+        return asked.join(table, "key").groupBy("chunk").agg(F.collect_list(F.struct("key", "c")).alias("facts"))
 
     if known.count() <= HELD_COUNTS:
         # Tasks hold them all: such words get numbers too, and windows go without counts.
         rare = words.where((F.col("key") < 0) & (F.col("c") >= fewest)).toArrow().sort_by("key")
         numbered = rare["key"].to_numpy()
-        plan = plan._replace(
-            counts=np.append(counts, rare["c"].to_numpy()), hot=np.append(is_hot, np.zeros(len(numbered), bool))
-        )
+        plan = plan._replace(counts=_short(np.append(counts, rare["c"].to_numpy())))
         of_pairs = {"key": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)}
         if hot is not None:
             of = pairs.toArrow()
             keys = pair_keys(of["first"].to_numpy(), _number(of["second"].to_numpy(), numbered, len(common)))
             order = np.argsort(keys)
-            of_pairs = {"key": keys[order], "c": of["c"].to_numpy()[order]}
+            of_pairs = {"key": keys[order], "c": _short(of["c"].to_numpy()[order])}
+            del of, keys, order
+        del rare
         chunks = coded.withColumn("facts", F.lit(None).cast("array<struct<key: long, c: long>>"))
     else:
         numbered = of_pairs = None
-        with shuffles_removed(docs.sparkSession):
-            chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known, "facts"), "chunk", "left"))
+        with shuffles_removed(spark):
+            chunks = cut_lineage(coded.join(answered(coded.mapInArrow(ask, "chunk long, key long"), known), "chunk", "left"))
         _drop(coded)
 
     size = len(common)  # tasks below need no words
+    # Sent to an executor once, not with each function.
+    shared, shared_pairs = spark.sparkContext.broadcast((plan, numbered)), spark.sparkContext.broadcast(of_pairs)
+    del numbered, of_pairs
 
     def known_by(row: dict, ids: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
         """The words, by number where tasks hold the counts, and the counts that the chunk was told."""
+        _, numbered = shared.value
         return (ids, _facts(row["facts"].values)) if numbered is None else (_number(ids, numbered, size), _facts(None))
 
     def send(only: np.ndarray | None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            plan, _ = shared.value
             for row, ids, sizes in _chunks(batches):
                 trained = _trained(row)
                 ids, found = known_by(row, ids)
-                place, at = _seen_windows(ids, sizes, found, depth)
-                if only is not None:
-                    some = np.isin(place[1], only)
-                    place, at = place[:, some], at[some]
+                place, at = _seen_windows(ids, sizes, found, depth, only)
                 windows, bucket, which = _different(place, plan)
+                del place
                 n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
                 # Nothing where tasks hold the counts.
                 of_word = np.where(windows[0] < 0, _look_up(windows[0], found), 0)
@@ -621,11 +651,14 @@ def score_documents(
                     pa.array([int(b - a) for a, b in spans], pa.int64()), pa.array([pack(m[:, a:b]) for a, b in spans], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, names=["bucket", "chunk", "n", "data"])
+                del windows, m, arrays
+                _release()
 
         return chunks.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(run, "bucket long, chunk long, n long, data binary")
 
     def bucket_of(table: pa.Table) -> tuple[list[int], np.ndarray]:
         sizes, m = _bucket(table, depth + 4)
+        of_pairs = shared_pairs.value
         if of_pairs is not None:
             m[-1] = _look_up(pair_keys(m[1], m[0]), of_pairs)
         return sizes, m
@@ -634,15 +667,17 @@ def score_documents(
         tested = hot
 
         def need(table: pa.Table) -> pa.Table:
-            return pa.table({"word": _solve(bucket_of(table)[1], plan, tested)[1]})
+            return pa.table({"word": _solve(bucket_of(table)[1], shared.value[0], tested)[1]})
 
         # One row a split word.
-        with shuffles_removed(docs.sparkSession):
+        with shuffles_removed(spark):
             more = send(hot.words[~hot.passed]).groupBy("bucket").applyInArrow(need, "word long").distinct().toArrow()
         hot = hot._replace(kept=hot.passed | np.isin(hot.words, more["word"].to_numpy()))
 
     def solve(table: pa.Table) -> pa.Table:
+        plan, _ = shared.value
         sizes, m = bucket_of(table)
+        _release()
         change, _ = _solve(m, plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
         ends = np.append(0, np.cumsum(sizes))
         steps = np.rint(change * STEPS).astype(np.int64)
@@ -650,31 +685,39 @@ def score_documents(
         data = [pack(steps[a:b]) for a, b in zip(ends[:-1], ends[1:])]
         return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "n": table["n"], "data": pa.array(data, pa.binary())})
 
-    solved = send(None).groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary")
-    changes = solved.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "data")).alias("changes"))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, ids, sizes in _chunks(batches):
-            ids, found = known_by(row, ids)
-            place, at = _seen_windows(ids, sizes, found, depth)
-            windows, _, which = _different(place, plan)
-            of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(row["seldom"].values)), plan)
-            if fewest == 2:
-                of_word = np.maximum(of_word, np.repeat(_trained(row), sizes))
-            base = np.log10((of_word + 0.1) / norm)
-            got = sorted((row["changes"].as_py() or []), key=lambda x: x["bucket"])
-            steps = np.concatenate([np.zeros(0, np.int64), *(unpack(x["data"], x["n"]) for x in got)])
-            change = ((steps >> 1) ^ -(steps & 1)) / STEPS
-            full = base.copy()
-            full[at] += change[which]
-            starts = np.cumsum(sizes) - sizes
-            sums = [pa.array(np.add.reduceat(x, starts)) for x in ((of_word > 0).astype(np.int64), base, full)]
-            names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
-            yield pa.RecordBatch.from_arrays([row["keys"].values, row["held"].values, pa.array(sizes), *sums], names=names)
+    with shuffles_removed(spark):
+        changes = cut_lineage(send(None).groupBy("bucket").applyInArrow(solve, "chunk long, bucket long, n long, data binary"))
+    shared_pairs.destroy()
+
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        plan, _ = shared.value
+        row, ids, sizes = next(_chunks(chunk.combine_chunks().to_batches()))
+        seldom = answers.filter(pc.is_valid(answers["key"])).select(["key", "c"]).combine_chunks()
+        ids, found = known_by(row, ids)
+        place, at = _seen_windows(ids, sizes, found, depth)
+        which = _different(place, plan)[2]
+        of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(seldom.to_struct_array().combine_chunks())), plan)
+        if fewest == 2:
+            of_word = np.maximum(of_word, np.repeat(_trained(row), sizes))
+        base = np.log10((of_word + 0.1) / norm)
+        got = answers.filter(pc.is_valid(answers["data"])).sort_by("bucket")
+        steps = [unpack(data.as_py(), n.as_py()) for data, n in zip(got["data"], got["n"])]
+        steps = np.concatenate([np.zeros(0, np.int64), *steps])
+        change = ((steps >> 1) ^ -(steps & 1)) / STEPS
+        del got, steps
+        _release()
+        full = base.copy()
+        full[at] += change[which]
+        starts = np.cumsum(sizes) - sizes
+        sums = [pa.array(np.add.reduceat(x, starts)) for x in ((of_word > 0).astype(np.int64), base, full)]
+        names = ["key", "held_out", "n_tokens", "n_known", "base_score", "score"]
+        return pa.Table.from_arrays([row["keys"].values, row["held"].values, pa.array(sizes), *sums], names=names)
 
     asked = chunks.select("chunk", "held", "n", "ids", "sizes", "facts").mapInArrow(ask_rare, "chunk long, key long")
-    seldom = answered(asked, words.where((F.col("key") < 0) & (F.col("c") < fewest)), "seldom")
-    scored = chunks.join(changes, "chunk", "left").join(seldom, "chunk", "left").mapInArrow(
+    seldom = asked.join(words.where((F.col("key") < 0) & (F.col("c") < fewest)), "key")
+    # Row by row, so that no list of them is built.
+    answers = changes.unionByName(seldom.select("chunk", "key", "c"), allowMissingColumns=True)
+    scored = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"key {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select(
