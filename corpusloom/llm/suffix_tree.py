@@ -18,7 +18,7 @@ aggregated table, and a first pass over its buckets finds whether any longer
 context in them keeps it.
 
 Windows travel as blocks of numbers, each different one of a chunk once. Buckets
-hold about half of ``BUCKET`` windows at any size of the corpus; only two words in
+hold about ``BUCKET`` windows at any size of the corpus; only two words in
 a row that stand in front of more than that are not split further. What buckets
 send back is written before it meets the texts, so that windows can go first.
 """
@@ -43,7 +43,7 @@ from corpusloom.session import cut_lineage, delete_table, setting, shuffles_remo
 DEPTH, FEWEST = 3, 2
 #: The most frequent words, so many at most, that tasks know by number, and other counts that they hold instead of joining them.
 COMMON, HELD_COUNTS = 200_000, 4_000_000
-#: Tokens of a chunk of texts, about, and windows of a bucket at most, unless two words in a row have more.
+#: Tokens of a chunk of texts, and windows of a bucket, about.
 CHUNK, BUCKET = 500_000, 1_000_000
 #: What contexts change of a window's log10 score is sent in steps of 1 / STEPS, so to within 3e-8.
 STEPS = 1 << 24
@@ -53,7 +53,7 @@ END = b"\n"  # no word holds white space
 NOTHING = np.iinfo(np.int64).min  # in place of a word before the first
 UNSEEN = NOTHING + 1  # in place of a word seen too seldom for any string
 #: Bytes of texts that are split at once, about, and texts that go to Python at once.
-SLICE, TEXTS = 1 << 21, 1000
+SLICE, TEXTS = 1 << 23, 2500
 #: Different strings that a task holds before it hands their counts on.
 HELD = 1_500_000
 
@@ -265,12 +265,19 @@ def _sorted(rows: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
             keys[-1] = keys[-1][0] * span + row, keys[-1][1] * span
         else:
             keys.append((row, span))
-    order = np.lexsort([key for key, _ in reversed(keys)])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for key, _ in keys:
-        key = key[order]
-        new[1:] |= key[1:] != key[:-1]
+    # The place by the keys before comes in front of the next key, so that each sort is one of plain numbers.
+    order = place = None
+    for key, span in keys:
+        if order is not None:
+            key = key[order]
+            if len(key) * span >= 1 << 62:
+                different, key = np.unique(key, return_inverse=True)
+                span = len(different)
+            key = place * span + key
+        by = np.argsort(key)
+        order, key = by if order is None else order[by], key[by]
+        new = np.append(True, key[1:] != key[:-1])[: len(key)]
+        place = np.cumsum(new) - 1
     return order, new
 
 
@@ -358,7 +365,10 @@ def _levels(words: np.ndarray, c: np.ndarray, depth: int, fewest: int) -> list[L
         valid = valid & (words[k] != NOTHING)
         last, before = context, string
         context = np.full(n, -1, np.int64)
-        context[valid] = _dense(last[valid], pd.factorize(words[k][valid])[0])
+        word = words[k][valid]
+        if word.min(initial=0) < 0 or word.max(initial=0) >= 1 << 28:
+            word = pd.factorize(word)[0]
+        context[valid] = _dense(last[valid], word)
         rows = valid & alive
         named = np.full(n, -1, np.int64)
         named[rows] = _dense(context[rows], target[rows])
@@ -456,21 +466,45 @@ def _bucket(table: pa.Table, rows: int) -> tuple[list[int], np.ndarray]:
     return sizes, m
 
 
-def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFrame, Hot]:
-    """Counts of the pairs that start with a split word, ``first, second, c, key``, and the words' own tests."""
+def count_pairs(coded: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs that start with a split word and their counts in each chunk, ``part, n, data``.
+
+    In blocks, as windows are: with a row a pair, rows would grow with the number of split words.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, ids, sizes in _chunks(batches):
             trained = _trained(row)
             place, at = _windows(ids, sizes, 1)
             pair = place[:, np.repeat(trained, sizes)[at] & _is_hot(place[1], plan)]
-            order, new = _sorted(pair[::-1])
-            n = np.bincount(np.cumsum(new) - 1)
-            pair = pair[:, order[new]]
-            yield pa.RecordBatch.from_arrays([pa.array(pair[1]), pa.array(pair[0]), pa.array(n)], names=["first", "second", "n"])
+            part = pair_keys(pair[1], pair[0]).astype(np.uint64) % np.uint64(plan.buckets)
+            order, new = _sorted([part.astype(np.int64), pair[1], pair[0]])
+            n, part = np.bincount(np.cumsum(new) - 1), part[order[new]]
+            m = np.vstack([pair[::-1, order[new]], n[: len(part)]])
+            ends = [*np.flatnonzero(np.diff(part, prepend=-1)), len(part)] if len(part) else [0]
+            spans = list(zip(ends[:-1], ends[1:]))
+            arrays = [
+                pa.array([int(part[a]) for a, _ in spans], pa.int64()), pa.array([int(b - a) for a, b in spans], pa.int64()),
+                pa.array([pack(m[:, a:b]) for a, b in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["part", "n", "data"])
+
+    return coded.mapInArrow(count, "part long, n long, data binary")
+
+
+def _split_words(coded: DataFrame, words: DataFrame, plan: Plan) -> tuple[DataFrame, Hot]:
+    """Counts of the pairs that start with a split word, ``first, second, c, key``, and the words' own tests."""
+
+    def add(table: pa.Table) -> pa.Table:
+        m = np.hstack([unpack(data.as_py(), n.as_py(), 3) for data, n in zip(table["data"], table["n"])])
+        order, new = _sorted(m[:2])
+        c = np.add.reduceat(m[2, order], np.flatnonzero(new))
+        first, second = m[:2, order[new]]
+        some = c >= plan.fewest
+        arrays = [x[some] for x in (first, second, c, pair_keys(first, second))]
+        return pa.Table.from_arrays([pa.array(x) for x in arrays], names=["first", "second", "c", "key"])
 
-    found = coded.mapInArrow(count, "first long, second long, n long").groupBy("first", "second").agg(F.sum("n").alias("c"))
-    pairs = cut_lineage(found.where(F.col("c") >= plan.fewest).withColumn("key", F.xxhash64("first", "second")))
+    pairs = cut_lineage(count_pairs(coded, plan).groupBy("part").applyInArrow(add, "first long, second long, c long, key long"))
     # A pair is no more frequent than its words.
     words = words.where(F.col("c") >= plan.fewest)
     second = words.select(F.col("key").alias("second"), ((F.col("c") + 0.1) / plan.norm).alias("parent"))
@@ -523,7 +557,7 @@ def score_documents(
     some = counted.where(F.col("c") >= F.lit(1 << (bits - 1))).toArrow().sort_by([("c", "descending"), ("word", "ascending")])
     common, counts = some["word"].to_pylist(), some["c"].to_numpy()
     split = np.flatnonzero((counts > BUCKET // 2) & np.array([w != END for w in common], bool))
-    plan = Plan(counts, split, norm, max(1, math.ceil(2 * total / BUCKET)), depth, fewest)
+    plan = Plan(counts, split, norm, max(1, math.ceil(total / BUCKET)), depth, fewest)
     kind = docs.schema[key].dataType.simpleString()
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -639,8 +673,10 @@ def score_documents(
                 del place
                 n = np.bincount(which, np.repeat(trained, sizes)[at], len(bucket)).astype(np.int64)
                 # Nothing where tasks hold the counts.
-                of_word = np.where(windows[0] < 0, _look_up(windows[0], found), 0)
-                of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], windows[0]), found), 0)
+                of_word, of_pair = np.zeros((2, len(bucket)), np.int64)
+                if len(found["key"]):
+                    of_word = np.where(windows[0] < 0, _look_up(windows[0], found), 0)
+                    of_pair = np.where(_is_hot(windows[1], plan), _look_up(pair_keys(windows[1], windows[0]), found), 0)
                 m = np.vstack([windows, n, of_word, of_pair])
                 first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
                 m[1] = np.diff(windows[1], prepend=0)
@@ -656,12 +692,13 @@ def score_documents(
 
         return chunks.select("chunk", "held", "sizes", "n", "ids", "facts").mapInArrow(run, "bucket long, chunk long, n long, data binary")
 
-    def bucket_of(table: pa.Table) -> tuple[list[int], np.ndarray]:
+    def bucket_of(table: pa.Table) -> tuple[list[int], np.ndarray, bool]:
+        """Windows of each chunk, all of them, and whether they are of split words."""
         sizes, m = _bucket(table, depth + 4)
-        of_pairs = shared_pairs.value
-        if of_pairs is not None:
+        is_split, of_pairs = table["bucket"][0].as_py() >= shared.value[0].buckets, shared_pairs.value
+        if is_split and of_pairs is not None:
             m[-1] = _look_up(pair_keys(m[1], m[0]), of_pairs)
-        return sizes, m
+        return sizes, m, is_split
 
     if hot is not None and not hot.passed.all():
         tested = hot
@@ -676,9 +713,9 @@ def score_documents(
 
     def solve(table: pa.Table) -> pa.Table:
         plan, _ = shared.value
-        sizes, m = bucket_of(table)
+        sizes, m, is_split = bucket_of(table)
         _release()
-        change, _ = _solve(m, plan, hot if table["bucket"][0].as_py() >= plan.buckets else None)
+        change, _ = _solve(m, plan, hot if is_split else None)
         ends = np.append(0, np.cumsum(sizes))
         steps = np.rint(change * STEPS).astype(np.int64)
         steps = (steps << 1) ^ (steps >> 63)  # small numbers of either sign have few bytes
@@ -696,7 +733,10 @@ def score_documents(
         ids, found = known_by(row, ids)
         place, at = _seen_windows(ids, sizes, found, depth)
         which = _different(place, plan)[2]
-        of_word = _counts(ids, _look_up(ids, found) + _look_up(ids, _facts(seldom.to_struct_array().combine_chunks())), plan)
+        of_rare, rare = np.zeros(len(ids), np.int64), np.flatnonzero(ids < 0)
+        for facts in (found, _facts(seldom.to_struct_array().combine_chunks())):
+            of_rare[rare] += _look_up(ids[rare], facts)
+        of_word = _counts(ids, of_rare, plan)
         if fewest == 2:
             of_word = np.maximum(of_word, np.repeat(_trained(row), sizes))
         base = np.log10((of_word + 0.1) / norm)
