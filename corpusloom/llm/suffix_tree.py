@@ -79,10 +79,12 @@ def _release() -> None:
 def split_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """How many tokens each text has, where each token is among the different ones, and these; as ``tokens_of``."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    words, text = lists.flatten(), pc.list_parent_indices(lists)
-    full = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves an empty one
-    named = words.filter(full).dictionary_encode()
-    sizes = np.bincount(text.filter(full).to_numpy(zero_copy_only=False), minlength=len(texts)) + 1
+    words, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False) + 1
+    full = pc.not_equal(pc.binary_length(words), 0)  # white space at either end leaves an empty one
+    if not pc.all(full, min_count=0).as_py():
+        text = pc.list_parent_indices(lists)
+        words, sizes = words.filter(full), np.bincount(text.filter(full).to_numpy(zero_copy_only=False), minlength=len(texts)) + 1
+    named = words.dictionary_encode()
     different = pa.concat_arrays([named.dictionary.cast(pa.binary()), pa.array([END], pa.binary())])
     is_word = np.ones(sizes.sum(), bool)
     is_word[np.cumsum(sizes) - 1] = False
@@ -159,8 +161,8 @@ def pack(a: np.ndarray) -> bytes:
     """
     x = np.ascontiguousarray(np.atleast_2d(a), np.int64).view(np.uint64)
     x = (x << np.uint64(1)) | (x >> np.uint64(63))
-    need = [(int(row.max(initial=0)).bit_length() + 7) // 8 for row in x]
-    planes = [np.ascontiguousarray(row.view(np.uint8).reshape(-1, 8)[:, :k].T).tobytes() for row, k in zip(x, need)]
+    need = [(int(most).bit_length() + 7) // 8 for most in x.max(axis=1, initial=0)]
+    planes = [np.ascontiguousarray(row.view(np.uint8).reshape(-1, 8)[:, :k].T).tobytes() for row, k in zip(x, need) if k]
     return bytes(need) + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
@@ -244,10 +246,11 @@ def _different(words: np.ndarray, plan: Plan) -> tuple[np.ndarray, np.ndarray, n
 
     A bucket has all windows of a last context word; of a split word, of the last two.
     """
-    hot = _is_hot(words[1], plan)
+    hot = np.flatnonzero(_is_hot(words[1], plan))
     second = words[2] if plan.depth > 1 else words[0]
-    named = pair_keys(words[1], np.where(hot, second, 0)).astype(np.uint64) % np.uint64(plan.buckets)
-    bucket = named.astype(np.int64) + np.where(hot, plan.buckets, 0)
+    bucket = (words[1].view(np.uint64) * _P1 >> np.uint64(33)).astype(np.int64) % plan.buckets
+    named = pair_keys(words[1][hot], second[hot]).astype(np.uint64) % np.uint64(plan.buckets)
+    bucket[hot] = named.astype(np.int64) + plan.buckets
     order, new = _sorted([bucket, *words[1:], words[0]])
     which = np.empty(len(order), np.int64)
     which[order] = np.cumsum(new) - 1
@@ -283,12 +286,13 @@ def _sorted(rows: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _small(row: np.ndarray) -> tuple[np.ndarray, int]:
     """Numbers from 0 in the order of the words, and how many there may be: as they are if they are few, else by rank."""
-    words = row[row > UNSEEN]
-    low, high = int(words.min(initial=0)), int(words.max(initial=0))
-    if low < 0 or high >= 1 << 28:
+    high, none = int(row.max(initial=0)), row <= UNSEEN
+    if high >= 1 << 28 or np.count_nonzero(row < 0) > np.count_nonzero(none):
         different, place = np.unique(row, return_inverse=True)
         return place.reshape(-1), max(1, len(different))
-    return np.where(row < 0, row - NOTHING, row + 2), high + 3
+    small = row + 2
+    small[none] = row[none] - NOTHING
+    return small, high + 3
 
 
 def _look_up(keys: np.ndarray, facts: dict[str, np.ndarray]) -> np.ndarray:
@@ -358,31 +362,34 @@ def _levels(words: np.ndarray, c: np.ndarray, depth: int, fewest: int) -> list[L
     """Count the strings of 2 to ``depth + 1`` words that end rows."""
     target = pd.factorize(words[0])[0]
     n = len(target)
-    valid, alive = np.ones(n, bool), words[0] != UNSEEN
-    context, string = np.zeros(n, np.int64), target
+    # Rows that have a context of this length, and rows whose string takes part, with these.
+    within, contexts_of = np.arange(n), np.zeros(n, np.int64)
+    rows = np.flatnonzero(words[0] != UNSEEN)
+    strings_of = target[rows]
     levels = []
     for k in range(1, depth + 1):
-        valid = valid & (words[k] != NOTHING)
-        last, before = context, string
-        context = np.full(n, -1, np.int64)
-        word = words[k][valid]
+        word = words[k][within]
+        some = word != NOTHING
+        within, last, word = within[some], contexts_of[some], word[some]
         if word.min(initial=0) < 0 or word.max(initial=0) >= 1 << 28:
             word = pd.factorize(word)[0]
-        context[valid] = _dense(last[valid], word)
-        rows = valid & alive
-        named = np.full(n, -1, np.int64)
-        named[rows] = _dense(context[rows], target[rows])
-        count = np.bincount(named[rows], c[rows])
+        contexts_of = _dense(last, word)
+        contexts = int(contexts_of.max(initial=-1)) + 1
+        context, shorter = np.full(n, -1, np.int64), np.zeros(contexts, np.int64)
+        context[within], shorter[contexts_of] = contexts_of, last
+        whole = np.bincount(contexts_of, c[within], contexts)
+        around = context[rows]
+        some = around >= 0
+        rows, around, before = rows[some], around[some], strings_of[some]
+        named = _dense(around, target[rows])
+        count = np.bincount(named, c[rows])
         ok = count >= fewest
-        number = np.where(ok, np.cumsum(ok) - 1, -1)
-        string = np.full(n, -1, np.int64)
-        string[rows] = number[named[rows]]
-        alive = string >= 0
-        contexts, strings = int(context.max(initial=-1)) + 1, int(ok.sum())
-        shorter, inside, parent = np.zeros(contexts, np.int64), np.zeros(strings, np.int64), np.zeros(strings, np.int64)
-        shorter[context[valid]] = last[valid]
-        inside[string[alive]], parent[string[alive]] = context[alive], before[alive]
-        whole = np.bincount(context[valid], c[valid], contexts)
+        strings = int(ok.sum())
+        strings_of = np.where(ok, np.cumsum(ok) - 1, -1)[named]
+        some = strings_of >= 0
+        rows, strings_of = rows[some], strings_of[some]
+        string, inside, parent = np.full(n, -1, np.int64), np.zeros(strings, np.int64), np.zeros(strings, np.int64)
+        string[rows], inside[strings_of], parent[strings_of] = strings_of, around[some], before[some]
         levels.append(Level(context, string, whole, shorter, inside, count[ok], parent))
     return levels
 
@@ -567,7 +574,7 @@ def score_documents(
             yield pa.RecordBatch.from_arrays([named, part.column(1)], names=["key", "c"])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = Keys((w, i) for i, w in enumerate(common))
+        numbers, rest = pa.array(common, pa.binary()), Keys()
         parts, held, size = [], [], 0
 
         def chunk() -> pa.RecordBatch:
@@ -580,8 +587,10 @@ def score_documents(
 
         for part in _slices(batches):
             sizes, tokens, different = split_texts(part.column(2))
-            names = different.to_numpy(zero_copy_only=False).tolist()
-            ids = np.fromiter(map(keys.__getitem__, names), np.int64, len(names))[tokens]
+            named = pc.index_in(different, numbers).fill_null(-1).to_numpy().astype(np.int64)
+            rare = np.flatnonzero(named < 0)
+            named[rare] = np.fromiter(map(rest.__getitem__, different.take(pa.array(rare)).to_pylist()), np.int64, len(rare))
+            ids = named[tokens]
             ends, at = np.cumsum(sizes), 0
             while at < len(sizes):
                 # Up to the text that fills the chunk, so that it grows beyond its size by one text at most.
