@@ -15,9 +15,16 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def worker_memo(name: str) -> dict:
-    """A dict that lives as long as the Python worker process, so that its tasks share what they have computed."""
+    """A dict that lives in the Python worker process, so that its tasks share what they have computed.
+
+    Asking for one drops the others: workers outlive an operator, and what those
+    of a pipeline remember would add up.
+    """
     module = sys.modules.setdefault("_corpusloom_worker_memo", types.ModuleType("_corpusloom_worker_memo"))
-    return module.__dict__.setdefault("memo", {}).setdefault(name, {})
+    memos = module.__dict__.setdefault("memo", {})
+    for other in memos.keys() - {name}:
+        del memos[other]
+    return memos.setdefault(name, {})
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, rows: int = 256) -> DataFrame:

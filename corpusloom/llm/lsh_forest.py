@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import worker_memo
 from corpusloom.llm.components import connected_components
-from corpusloom.session import broadcast_if_small, cut_lineage
+from corpusloom.session import broadcast_if_small, cut_lineage, setting
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, DEEPEST, RECALL = 24, 16, 0.9999
 #: Members, and shingles of all members, of a block of a bucket.
 BLOCK_ROWS, BLOCK_SHINGLES = 256, 500_000
-MEMO_WORDS = 300_000
+MEMO_WORDS = 50_000
+#: Rows of a batch that travels to or from a Python worker in the passes that end in a written table.
+BATCH = 1_000
 #: Columns of a matrix product.
 CHUNK = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -249,7 +251,9 @@ def similarity_classes(
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("text_key"), "text")
     kind = "id long, text_key long, set_key long, n int, buckets array<long>"
-    prints = cut_lineage(rows.mapInArrow(_prints(trees, depth), kind))
+    small_batches = "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)
+    with setting(docs.sparkSession, *small_batches):
+        prints = cut_lineage(rows.mapInArrow(_prints(trees, depth), kind))
     sizes = prints.groupBy("set_key").agg(
         F.min("id").alias("first"), F.count("*").alias("copies"), F.min("text_key").alias("text_key")
     )
@@ -286,7 +290,8 @@ def similarity_classes(
     )
     order = ["bucket", "low", "high"]
     solved = dealt.repartition(*order).sortWithinPartitions(*order, "set_key")
-    solved = cut_lineage(solved.mapInArrow(_verified(threshold), "set_key long, links long, root long"))
+    with setting(docs.sparkSession, *small_batches):
+        solved = cut_lineage(solved.mapInArrow(_verified(threshold), "set_key long, links long, root long"))
 
     links = solved.groupBy("set_key").agg(F.sum("links").alias("links"))
     classes = connected_components(solved.where("set_key <> root"), "set_key", "root")

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import map_rows, worker_memo
 
 SPACE = "▁"
-#: Bounds of what a worker remembers; when one is reached the memo starts anew, which changes no result.
-MEMO_WORDS, MEMO_PAIRS, MEMO_CHARS = 400_000, 1_000_000, 48
+#: Bounds of what a worker remembers, which change no result. Words are kept in two generations of so many each:
+#: when the younger is full it replaces the older, so words met again and again stay. Pairs start anew.
+MEMO_WORDS, MEMO_PAIRS, MEMO_CHARS = 75_000, 1_000_000, 48
 
 
 class PieceTable:
@@ -52,6 +53,7 @@ class PieceTable:
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self._ids)
         self._cut = re.compile("(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def _merge(self, text: str) -> list[str]:
         """Merge adjacent symbols, best score first and leftmost among equals, until none is left."""
@@ -107,10 +109,11 @@ class PieceTable:
         for word in self._cut.findall(self._sp.normalize(text)):
             ids = words.get(word)
             if ids is None:
-                ids = self._backwards(word)
+                ids = self._older.get(word) or self._backwards(word)
                 if len(word) <= MEMO_CHARS:
                     if len(words) >= MEMO_WORDS:
-                        words.clear()
+                        self._older, words = words, {}
+                        self._words = words
                     words[word] = ids
             out.append(ids)
         return list(chain.from_iterable(out))

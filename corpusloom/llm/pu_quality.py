@@ -17,13 +17,15 @@ from operator import eq
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FEATURES = 20
 #: Training rows looked at, at most about so many of each kind, chosen by a hash of their id.
 SAMPLE_ROWS = 20_000
+#: Texts that a task turns into Python strings at once.
+TEXTS = 256
 THRESHOLD = 0.3
 #: Added to a text's number of words before shares are taken, so that one odd word in a short text weighs little.
 FEW_WORDS = 20
@@ -83,6 +85,12 @@ def features(texts: list[str | None], classes: np.ndarray) -> np.ndarray:
     return rows
 
 
+def _by_slices(texts: pa.Array, classes: np.ndarray) -> np.ndarray:
+    """``features`` of a batch, of which only a slice at a time is Python strings."""
+    found = [features(texts.slice(i, TEXTS).to_pylist(), classes) for i in range(0, len(texts), TEXTS)]
+    return np.concatenate([np.zeros((0, FEATURES)), *found])
+
+
 class QualityModel(NamedTuple):
     """Weights on standardised features, and the prior they were fitted with."""
 
@@ -156,11 +164,9 @@ def _sampled(key: Column, share: float) -> Column:
 
 def _feature_rows(docs: DataFrame, text: str) -> np.ndarray:
     def rows(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         classes = _classes()
         for batch in batches:
-            found = features(batch.column(0).to_pylist(), classes)
+            found = _by_slices(batch.column(0), classes)
             yield pa.RecordBatch.from_arrays([pa.array(found.tolist(), pa.list_(pa.float64()))], ["x"])
 
     table = docs.select(text).mapInArrow(rows, "x array<double>").toArrow()
@@ -196,11 +202,11 @@ def train(
 def quality_score(model: QualityModel, text: Column) -> Column:
     """Column with the model's probability that a text is good, 0 to 1; null texts score as empty ones."""
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         classes = _classes()
         for texts in batches:
-            yield pd.Series(model.score(features(list(texts), classes)))
+            yield pa.array(model.score(_by_slices(texts, classes)))
 
     return score(F.coalesce(text, F.lit("")))
 

@@ -12,14 +12,18 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
 from oracle import compare, connect
 
 import plain_tree
-from corpusloom.llm import chat_layouts, chunk_prints, pu_quality, suffix_tree, text_density, voronoi_knn
+from corpusloom.llm import (
+    chat_layouts, chunk_prints, lsh_forest, piece_table, pu_quality, suffix_tree, text_density, voronoi_knn,
+)
 from corpusloom.llm import queries as q
+from corpusloom.llm.common import worker_memo
 from corpusloom.llm.piece_table import PieceTable, encode_texts
 
 
@@ -51,6 +55,31 @@ def test_pieces_equal_the_library(spark):
 # ---- chat formatting
 
 
+def test_a_worker_remembers_a_bounded_part_of_one_operator(monkeypatch):
+    monkeypatch.setattr(piece_table, "MEMO_WORDS", 20)
+    table = PieceTable(q.tokenizer_model())
+    sp = sentencepiece.SentencePieceProcessor(model_proto=q.tokenizer_model())
+    rng = random.Random(4)
+    for _ in range(200):
+        text = "common " + " ".join("".join(rng.choices("abcdeé", k=5)) for _ in range(rng.randrange(4)))
+        assert table.encode(text) == sp.encode(text)
+        held = table._words | table._older
+        assert len(held) <= 40 and piece_table.SPACE + "common" in held
+
+    lsh_forest.shingle_sets(["some words of a text"])
+    worker_memo("piece_table")["table"] = table
+    assert not worker_memo("word_hashes") and not worker_memo("piece_table")
+
+
+def test_quality_features_of_a_batch_by_slices(monkeypatch):
+    monkeypatch.setattr(pu_quality, "TEXTS", 3)
+    texts, seen = [f"Text {i}! " * i for i in range(8)], []
+    whole, plain = pu_quality.features(texts, pu_quality._classes()), pu_quality.features
+    monkeypatch.setattr(pu_quality, "features", lambda part, classes: seen.append(len(part)) or plain(part, classes))
+    assert (pu_quality._by_slices(pa.array(texts), pu_quality._classes()) == whole).all() and max(seen) == 3
+    assert pu_quality._by_slices(pa.array([], pa.string()), pu_quality._classes()).shape == (0, pu_quality.FEATURES)
+
+
 def test_layouts_and_round_trip(spark):
     wild = ["</s>[INST] ok [/INST]", "\\[\\INST]", "[[INST]", "<<<SYS>>>", "\\", "\\\\", "", "a\n[AS] x [TEXT] y [/TEXT]", " <s> "]
     schema = (
