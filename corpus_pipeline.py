@@ -15,6 +15,8 @@ from corpusloom.llm.queries import table, tokenizer_model
 from corpusloom.session import cut_lineage
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Words that a worker of the tokenizer remembers, few since executors still hold memory that earlier stages took.
+MEMO_WORDS = 150_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +58,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text and digests of ids and decoded text: the rows that training reads."""
-    coded = piece_table.encode_texts(docs.withColumn("key", F.struct("doc_id", "source")), tokenizer_model(), "key")
+    keyed = docs.withColumn("key", F.struct("doc_id", "source"))
+    coded = piece_table.encode_texts(keyed, tokenizer_model(), "key", memo_words=MEMO_WORDS)
     return coded.select(
         "key.doc_id", "key.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"),

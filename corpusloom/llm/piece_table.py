@@ -24,15 +24,15 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import map_rows, worker_memo
 
 SPACE = "▁"
-#: Bounds of what a worker remembers, which change no result. Words are kept in two generations of so many each:
+#: Bounds of what a worker remembers, which change no result. Words are kept in two generations of half as many:
 #: when the younger is full it replaces the older, so words met again and again stay. Pairs start anew.
-MEMO_WORDS, MEMO_PAIRS, MEMO_CHARS = 75_000, 1_000_000, 48
+MEMO_WORDS, MEMO_PAIRS, MEMO_CHARS = 400_000, 1_000_000, 48
 
 
 class PieceTable:
     """Encoder and decoder of one merge-type SentencePiece model."""
 
-    def __init__(self, model: bytes) -> None:
+    def __init__(self, model: bytes, memo_words: int = MEMO_WORDS) -> None:
         import ahocorasick
         import sentencepiece
 
@@ -52,6 +52,7 @@ class PieceTable:
         self._automaton.make_automaton()
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self._ids)
         self._cut = re.compile("(?s).+" if crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self._generation = memo_words // 2
         self._words: dict[str, tuple[int, ...]] = {}
         self._older: dict[str, tuple[int, ...]] = {}
 
@@ -111,7 +112,7 @@ class PieceTable:
             if ids is None:
                 ids = self._older.get(word) or self._backwards(word)
                 if len(word) <= MEMO_CHARS:
-                    if len(words) >= MEMO_WORDS:
+                    if len(words) >= self._generation:
                         self._older, words = words, {}
                         self._words = words
                     words[word] = ids
@@ -122,10 +123,13 @@ class PieceTable:
         return self._sp.decode(ids)
 
 
-def encode_texts(docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_texts(
+    docs: DataFrame, model: bytes, key: str = "doc_id", text: str = "text", memo_words: int = MEMO_WORDS
+) -> DataFrame:
     """Token ids of every whole text and the text decoded from them: ``key, ids, decoded``.
 
     ``model`` is the content of a model file, which travels with the tasks.
+    ``memo_words`` bounds what a worker remembers; fewer take less memory and more time.
     A null text counts as empty; an empty text has no ids and decodes to an
     empty text. Null keys and repeated rows are kept as they are; other columns
     take no part, whatever their names. One narrow pass, no shuffle: a lost
@@ -134,9 +138,9 @@ def encode_texts(docs: DataFrame, model: bytes, key: str = "doc_id", text: str =
 
     def make():
         memo = worker_memo("piece_table")
-        key_of = hash(model)
+        key_of = hash(model), memo_words
         if key_of not in memo:
-            memo[key_of] = PieceTable(model)
+            memo[key_of] = PieceTable(model, memo_words)
         table = memo[key_of]
 
         def step(cols: dict) -> dict:

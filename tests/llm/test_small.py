@@ -55,9 +55,8 @@ def test_pieces_equal_the_library(spark):
 # ---- chat formatting
 
 
-def test_a_worker_remembers_a_bounded_part_of_one_operator(monkeypatch):
-    monkeypatch.setattr(piece_table, "MEMO_WORDS", 20)
-    table = PieceTable(q.tokenizer_model())
+def test_a_worker_remembers_a_bounded_part_of_one_operator():
+    table = PieceTable(q.tokenizer_model(), memo_words=40)
     sp = sentencepiece.SentencePieceProcessor(model_proto=q.tokenizer_model())
     rng = random.Random(4)
     for _ in range(200):
